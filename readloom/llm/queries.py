@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from readloom.llm import mixing
-from readloom.llm.common import documents
+from readloom.llm import langid, mixing, quality
+from readloom.llm.common import documents, fold
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +14,21 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op7_mixing": op7_mixing}
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = documents(spark, sf_dir)
+    found = langid.predict(docs, langid.learn(docs))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; 1 from 0.7 on."""
+    docs = documents(spark, sf_dir)
+    odds = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = quality.score(docs, odds)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES = {"op5_language": op5_language, "op7_mixing": op7_mixing, "op10_quality": op10_quality}
 
 ORACLES = {"op7_mixing": mixing.ORACLE}
