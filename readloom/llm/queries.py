@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import langid, mixing, quality
+from readloom.llm import fingerprint, langid, mixing, quality, simhash
 from readloom.llm.common import documents, fold
 
 
@@ -21,6 +21,17 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likenesses."""
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document, and the component of near copies that it is in."""
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; 1 from 0.7 on."""
     docs = documents(spark, sf_dir)
@@ -29,6 +40,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {"op5_language": op5_language, "op7_mixing": op7_mixing, "op10_quality": op10_quality}
+QUERIES = {"op5_language": op5_language, "op7_mixing": op7_mixing, "op8_fingerprints": op8_fingerprints, "op9_simhash": op9_simhash, "op10_quality": op10_quality}
 
 ORACLES = {"op7_mixing": mixing.ORACLE}
