@@ -18,7 +18,7 @@ from readloom.llm.common import fold
 class Settings:
     """``sample`` bounds the labelled rows that are fitted; all rows are scored. The rest are the model's sizes."""
 
-    sample: int = 6000
+    sample: int = 3000
     buckets: int = 1 << 17
     dim: int = 12
     shortest: int = 2
@@ -27,6 +27,7 @@ class Settings:
     rate: float = 2.0
     seed: int = 11
     word_cache: int = 400_000
+    fit_cache: int = 50_000
 
 
 def subwords(word: bytes, s: Settings) -> list[int]:
@@ -41,20 +42,23 @@ def repeats(s: Settings) -> list[int]:
     return [crc32(b"<same again %d>" % i) % s.buckets for i in range(8)]
 
 
-def features(text: bytes, s: Settings, known: dict[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def features(text: bytes, s: Settings, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and the share of each among all its features."""
-    found: list[int] = []
-    last, again = None, repeats(s)
+    found: list[np.ndarray] = [np.zeros(0, dtype=np.int32)]
+    last, again = None, np.array(repeats(s), dtype=np.int32)
+    if len(known) > s.fit_cache:
+        known.clear()
     for w in text.split():
         ids = known.get(w)
         if ids is None:
-            ids = known[w] = subwords(w, s)
-        found += ids
+            ids = known[w] = np.array(subwords(w, s), dtype=np.int32)
+        found.append(ids)
         if w == last:
-            found += again
+            found.append(again)
         last = w
-    ids, counts = np.unique(np.array(found, dtype=np.int64), return_counts=True)
-    return ids, (counts / max(1, len(found))).astype(np.float32)
+    every = np.concatenate(found)
+    ids, counts = np.unique(every, return_counts=True)
+    return ids, (counts / max(1, len(every))).astype(np.float32)
 
 
 def fit(texts: list[bytes], labels: list[int], s: Settings) -> np.ndarray:
@@ -67,8 +71,9 @@ def fit(texts: list[bytes], labels: list[int], s: Settings) -> np.ndarray:
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
     out = np.zeros((s.dim, 2), dtype=np.float32)
-    known: dict[bytes, list[int]] = {}
+    known: dict[bytes, np.ndarray] = {}
     docs = [features(t, s, known) for t in texts]
+    known.clear()
     steps, done = max(1, len(docs) * s.epochs), 0
     for _ in range(s.epochs):
         for i in rng.permutation(len(docs)):

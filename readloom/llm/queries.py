@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import fingerprint, langid, mixing, quality, simhash
+from readloom.llm import fingerprint, langid, lines, mixing, quality, simhash, vectors
 from readloom.llm.common import documents, fold
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-duplicate embeddings."""
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document when the sources are mixed to their target weights."""
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text less the lines that many sources carry."""
+    return lines.remove_boilerplate(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = documents(spark, sf_dir)
@@ -40,6 +50,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {"op5_language": op5_language, "op7_mixing": op7_mixing, "op8_fingerprints": op8_fingerprints, "op9_simhash": op9_simhash, "op10_quality": op10_quality}
+QUERIES = {
+    "op3_lines": op3_lines,
+    "op5_language": op5_language,
+    "op6_vectors": op6_vectors,
+    "op7_mixing": op7_mixing,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_simhash": op9_simhash,
+    "op10_quality": op10_quality,
+}
 
-ORACLES = {"op7_mixing": mixing.ORACLE}
+ORACLES = {"op3_lines": lines.ORACLE, "op7_mixing": mixing.ORACLE}
