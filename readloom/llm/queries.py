@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import fingerprint, langid, lines, mixing, quality, simhash, vectors
+from readloom.llm import fingerprint, langid, lines, mixing, pieces, quality, simhash, vectors
 from readloom.llm.common import documents, fold
 
 
@@ -24,6 +24,11 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.remove_boilerplate(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's token ids, and whether decoding gives the text again."""
+    return pieces.encode(documents(spark, sf_dir), pieces.load(), ids=False)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = documents(spark, sf_dir)
@@ -52,6 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_lines": op3_lines,
+    "op4_pieces": op4_pieces,
     "op5_language": op5_language,
     "op6_vectors": op6_vectors,
     "op7_mixing": op7_mixing,
