@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import fingerprint, langid, lines, mixing, pieces, quality, simhash, vectors
+from readloom.llm import fingerprint, html, langid, lines, mixing, pieces, quality, simhash, vectors
 from readloom.llm.common import documents, fold
 
 
@@ -19,6 +19,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text less the lines that many sources carry."""
     return lines.remove_boilerplate(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
@@ -56,6 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op3_lines": op3_lines,
     "op4_pieces": op4_pieces,
     "op5_language": op5_language,
