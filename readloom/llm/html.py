@@ -139,10 +139,11 @@ def lines_of(html: str) -> list[Line]:
             continue
         if name in BLOCK:
             flush()
-            if stack and any(s[0] == "p" for s in stack[-6:]):
-                k = max(i for i, s in enumerate(stack) if s[0] == "p")
-                if all(s[0] not in BLOCK for s in stack[k + 1 :]):
-                    del stack[k:]
+            for k in range(len(stack) - 1, -1, -1):  # a block ends the paragraph that it starts in
+                if stack[k][0] in BLOCK:
+                    if stack[k][0] == "p":
+                        del stack[k:]
+                    break
             if name in CLOSES and stack and stack[-1][0] in CLOSES[name]:
                 del stack[-1:]
         if name in VOID:
@@ -163,7 +164,8 @@ def kept(lines: list[Line], settings: Settings) -> list[bool]:
 
     A line counts its characters outside links; clutter counts nothing. Where the page marks its article, lines outside
     it count nothing and each line in it is a surge of its own. A run starts at the first line of a window that
-    surges and ends where a window sinks to nothing. If no window surges, the largest one does.
+    surges and ends where a window sinks to nothing. If no window surges, the largest one does. An article without text
+    marks nothing.
     """
     marked = any(x.article and not x.clutter for x in lines)
     weight = [0 if x.clutter or (marked and not x.article) else x.plain + (settings.surge + 1) * marked for x in lines]

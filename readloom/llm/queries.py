@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import fingerprint, html, langid, lines, mixing, pieces, quality, simhash, vectors
+from readloom.llm import fingerprint, html, langid, lines, mixing, pieces, quality, recurrent, simhash, vectors
 from readloom.llm.common import documents, fold
 
 
@@ -24,6 +24,12 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op2_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by the recurrent model, beside that of smoothed word counts."""
+    found = recurrent.score_documents(documents(spark, sf_dir))
+    return found.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text less the lines that many sources carry."""
     return lines.remove_boilerplate(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
@@ -62,6 +68,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html": op1_html,
+    "op2_recurrent": op2_recurrent,
     "op3_lines": op3_lines,
     "op4_pieces": op4_pieces,
     "op5_language": op5_language,

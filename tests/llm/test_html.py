@@ -23,7 +23,7 @@ LONG = "This sentence is long enough to count as running text of an article on i
         ("<article><p hidden>no</p><p style='display: none'>no</p><p>y<b>e</b>s</p></article>", "yes"),
         ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
         ("<article><p>a</p><!-- never ends <p>b</p></article>", "a"),
-        ("<article><div class=ad>never closed<p>still</p></article><p>out</p>", ""),
+        ("<article><div class=ad>never closed<p>still</p></article><p>out</p>", "out"),
         ("plain text", "plain text"),
         ("", ""),
         (None, ""),
