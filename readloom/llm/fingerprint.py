@@ -22,7 +22,7 @@ LOWEST = -(2**63)
 class Settings:
     """``samples`` per signature; ``cached`` bounds the words whose draws a task keeps (12 bytes per word and sample)."""
 
-    samples: int = 128
+    samples: int = 64
     seed: int = 3
     cached: int = 50_000
 
@@ -45,12 +45,16 @@ class Sampler:
         step = np.arange(1, s.samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         self.steps = [mixed(step + np.uint64(s.seed * 3 + i)) for i in range(3)]
         self.places: dict[bytes, int] = {}
-        self.clear()
+        self.room = 0
+        self.grow(1024)
 
-    def clear(self) -> None:
-        self.places.clear()
-        self.hashes = np.zeros(0, dtype=np.uint64)
-        self.r = self.b = self.first = np.zeros((0, self.s.samples), dtype=np.float32)
+    def grow(self, room: int) -> None:
+        """Tables of ``room`` rows, with the rows that are there."""
+        old, self.room, n = self.places and (self.hashes, self.r, self.b, self.first), room, len(self.places)
+        self.hashes = np.zeros(room, dtype=np.uint64)
+        self.r, self.b, self.first = (np.zeros((room, self.s.samples), dtype=np.float32) for _ in range(3))
+        for new, kept in zip((self.hashes, self.r, self.b, self.first), old or (), strict=False):
+            new[:n] = kept[:n]
 
     def draw(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """r, b and the value ``ln c + r b - r`` that a word of weight 1 takes; three 64-bit numbers give five uniform ones."""
@@ -70,13 +74,14 @@ class Sampler:
         if not new:
             return
         if len(self.places) + len(new) > self.s.cached:
-            self.clear()
+            self.places.clear()
             new = list(words)
-        self.places.update(zip(new, range(len(self.hashes), len(self.hashes) + len(new)), strict=True))
-        h = np.array([xxhash.xxh64_intdigest(w, self.s.seed) for w in new], dtype=np.uint64)
-        drawn = self.draw(h)
-        self.hashes = np.concatenate([self.hashes, h])
-        self.r, self.b, self.first = (np.concatenate([a, x]) for a, x in zip((self.r, self.b, self.first), drawn, strict=True))
+        lo, hi = len(self.places), len(self.places) + len(new)
+        if hi > self.room:
+            self.grow(max(hi, min(2 * self.room, self.s.cached)))
+        self.places.update(zip(new, range(lo, hi), strict=True))
+        self.hashes[lo:hi] = [xxhash.xxh64_intdigest(w, self.s.seed) for w in new]
+        self.r[lo:hi], self.b[lo:hi], self.first[lo:hi] = self.draw(self.hashes[lo:hi])
 
     def signature(self, counts: Counter) -> np.ndarray:
         """For each sample the word, and its quantised weight, whose draw is least: 16 bits of their hash."""
