@@ -145,8 +145,8 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], settings: Settin
     doc_id and text are read.
     """
     names = sorted(prototypes)
-    rows = np.array([prototypes[k] for k in names]).reshape(len(names), -1)
-    unit = (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32) if names else rows
+    rows = np.array([prototypes[k] for k in names]) if names else np.zeros((0, settings.dim))
+    unit = (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, base = class_table(), letters(settings)

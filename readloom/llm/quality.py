@@ -139,20 +139,21 @@ def score(docs: DataFrame, odds: np.ndarray, settings: Settings = Settings(), ke
     """The ``keep`` columns and ``score`` (probability of label 1) of every row.
 
     Every whole text is scored; a null, empty or blank text has no features and scores 0.5. Only ``text`` and the
-    ``keep`` columns are read. Repeated rows score alike. An empty table gives an empty result.
+    ``keep`` columns are read, and no kept column may be named score. Repeated rows score alike. An empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(odds)  # one number per bucket: settings.buckets * 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, tuple[float, int]] = {}
         for b in batches:
-            texts = b.column("_text").cast(pa.binary())
+            texts = b.column("_text" if "_text" in b.schema.names else "text").cast(pa.binary())
             found: list[float] = []
             for lo in range(0, len(texts), 512):
                 found += text_scores(texts.slice(lo, 512).to_pylist(), model.value, settings, known)
-            kept = [b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.float64())], names=[*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(found, pa.float64())], names=[*names, "score"])
 
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    # The text crosses to Python once, as one of the kept columns or beside them.
+    names, n = list(keep), len(keep)
+    rows = docs.select(*keep, *([] if "text" in keep else [F.col("text").cast("string").alias("_text")]))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
     return rows.mapInArrow(run, f"{kinds}, score double")
