@@ -43,13 +43,16 @@ def end_window(window: int) -> Column:
 
 def detect_adapters(reads: DataFrame, adapters: DataFrame, check: int = 1000, window: int = 150, mismatches: int = 2, share: float = 0.01) -> DataFrame:
     """Rows (name, n_reads, n_checked, present): how many of each sample's first ``check`` reads have the adapter at an end."""
+    known = adapter_rows(adapters)
     rows = first_reads(reads, check).select("seq")
+    if not known:
+        return rows.select(F.lit("").alias("name"), F.lit(0).cast("long").alias("n_reads"), F.lit(0).cast("long").alias("n_checked"), F.lit(False).alias("present")).limit(0)
     found = F.array(*[
         F.struct(
             F.lit(name).alias("name"),
             ((F.size(match_places(F.substr(F.col("seq"), F.lit(1), F.lit(window)), seq, mismatches)) > 0) | (F.size(match_places(end_window(window), seq, mismatches)) > 0)).alias("hit"),
         )
-        for name, seq in adapter_rows(adapters)
+        for name, seq in known
     ])
     hits = rows.select(F.explode(found).alias("f")).groupBy("f.name").agg(F.sum(F.col("f.hit").cast("long")).alias("n_reads"), F.count("*").alias("n_checked"))
     return hits.withColumn("present", F.col("n_reads") >= share * F.col("n_checked"))

@@ -16,7 +16,10 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def discover_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (sample, path): accepted files below the folder; of two with one sample name the last path stays."""
+    """Rows (sample, path): accepted files below the folder; of two with one sample name the last path stays.
+
+    A file of zero bytes is no sample: scans do not list it.
+    """
     files = list_files(spark, folder).where(accepted_extension("path"))
     found = files.groupBy(sample_name("path").alias("sample")).agg(F.max("path").alias("path"))
     if found.isEmpty():
