@@ -78,7 +78,8 @@ def linked_pairs(classes: DataFrame, radius: int = 3) -> DataFrame:
     if not 0 <= radius <= 3:
         raise ValueError("the variants reach pairs at distance 3 and less")
     ways = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(k).alias("keep"), F.lit(f).alias("flip"), F.lit(i).alias("way")) for i, (p, k, f) in enumerate(variants())])
-    emitted = classes.select("fp", F.explode(ways).alias("w")).select(
+    spread = classes.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    emitted = spread.select("fp", F.explode(ways).alias("w")).select(
         "fp", F.col("w.way").alias("way"), (F.col("w.flip") == 0).alias("plain"),
         F.xxhash64("w.part", F.col("fp").bitwiseAND(F.col("w.keep")).bitwiseXOR(F.col("w.flip"))).alias("variant"),
     )
@@ -87,7 +88,8 @@ def linked_pairs(classes: DataFrame, radius: int = 3) -> DataFrame:
     near = (F.col("a") < F.col("b")) & ((F.col("way_a") > F.col("way_b")) | (F.col("plain_a") & F.col("plain_b")))
     near &= F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     meet = F.col("variant") == F.col("variant_b")
-    return a.join(b.withColumnRenamed("variant", "variant_b"), meet & near).select("a", "b").distinct()
+    # Both sides are many times the size that Spark expects of them: never a broadcast.
+    return a.hint("merge").join(b.withColumnRenamed("variant", "variant_b"), meet & near).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:

@@ -121,7 +121,7 @@ def candidates(classes: DataFrame, budget: float) -> DataFrame:
     right = rows.select(cell(False).alias("key_r"), F.col("rep").alias("y"), F.col("q").alias("r"))
     apart = sum((F.col("p")[i].cast("double") - F.col("r")[i].cast("double")) * (F.col("p")[i].cast("double") - F.col("r")[i].cast("double")) for i in range(BLOCK))
     near = (~F.col("same") | (F.col("x") < F.col("y"))) & (F.col("x") != F.col("y")) & (apart <= F.col("room"))
-    pairs = left.join(right, (F.col("key") == F.col("key_r")) & near)
+    pairs = left.hint("merge").join(right, (F.col("key") == F.col("key_r")) & near)  # never a broadcast: left is many times its estimate
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
