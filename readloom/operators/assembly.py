@@ -11,6 +11,10 @@ from readloom.operators.variants import unique_flanks
 from readloom.sources.stages import stage_table
 
 
+#: Bases of the reference that are settled together, so that a look-up searches few calls.
+TILE = 256
+
+
 def pileup(reads: DataFrame, ref: DataFrame, h: int = 12) -> DataFrame:
     """Rows (sample, pos, base, n): bases that reads have between flanks that are unique in the reference."""
     own = kmers(reads, 2 * h + 1, ["sample"]).select("sample", F.concat(F.substring("kmer", 1, h), F.substring("kmer", h + 2, h)).alias("flanks"), F.substring("kmer", h + 1, 1).alias("base"))
@@ -25,11 +29,15 @@ def pileup_consensus(reads: DataFrame, ref: DataFrame, min_depth: int = 1, h: in
     Ties go to the larger base; sites with fewer than ``min_depth`` reads keep the reference's. ``ref`` has one row.
     """
     best = pileup(reads, ref, h).groupBy("sample", "pos").agg(F.max(F.struct("n", "base"))["base"].alias("base"), F.sum("n").alias("depth"))
-    changed = best.where(F.col("depth") >= min_depth)
-    calls = changed.groupBy("sample").agg(F.map_from_entries(F.collect_list(F.struct("pos", "base"))).alias("calls"), F.count("*").alias("n_called"))
-    rows = calls.crossJoin(broadcast_if_small(ref.select(F.col("seq").alias("ref")), 1000))
-    bases = F.transform(F.split("ref", ""), lambda b, i: F.coalesce(F.element_at(F.col("calls"), i), b))
-    return rows.select("sample", F.array_join(bases, "").alias("seq"), "n_called")
+    changed = best.where(F.col("depth") >= min_depth).withColumn("o", F.col("pos") - F.col("pos") % TILE)
+    calls = changed.groupBy("sample", "o").agg(F.map_from_entries(F.collect_list(F.struct("pos", "base"))).alias("calls"))
+    offsets = F.sequence(F.lit(0), F.length("seq") - 1, F.lit(TILE))
+    cut = ref.where("seq <> ''").select(F.explode(F.transform(offsets, lambda o: F.struct(o.alias("o"), F.substr(F.col("seq"), o + 1, F.lit(TILE)).alias("t")))).alias("x"))
+    rows = changed.select("sample").distinct().crossJoin(broadcast_if_small(cut.select("x.o", "x.t"))).join(calls, ["sample", "o"], "left")
+    bases = F.transform(F.split("t", ""), lambda b, i: F.coalesce(F.try_element_at(F.col("calls"), F.col("o") + i), b))
+    rows = rows.select("sample", "o", F.array_join(bases, "").alias("t"), F.coalesce(F.size("calls"), F.lit(0)).alias("n"))
+    rows = rows.groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("o", "t"))).alias("a"), F.sum(F.when(F.col("n") > 0, F.col("n")).otherwise(0)).cast("long").alias("n_called"))
+    return rows.select("sample", F.array_join(F.transform("a", lambda x: x["t"]), "").alias("seq"), "n_called")
 
 
 def assembly_stats(contigs: DataFrame, reads: DataFrame) -> DataFrame:

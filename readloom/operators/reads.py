@@ -42,20 +42,21 @@ def fasta_length(ref: DataFrame) -> DataFrame:
 
 
 def nx(reads: DataFrame, shares: tuple[int, ...] = (50, 90), group: str = "sample") -> DataFrame:
-    """Rows (group, n50, n90, ...): the length at which lengths in falling order first reach the share of all bases.
+    """Rows (group, n50, n90, ...): the length at which lengths in falling order first reach the share of all bases."""
+    return read_stats(reads, shares, group).drop("n_reads", "total_bases")
 
-    Works on a histogram of lengths, so that a large sample is as many rows as it has lengths.
+
+def read_stats(reads: DataFrame, shares: tuple[int, ...] = (50, 90), group: str = "sample") -> DataFrame:
+    """Rows (group, n_reads, total_bases, n50, n90, ...).
+
+    All from one histogram of lengths: the reads are read once, and a large sample is as many rows as it has lengths.
     """
     h = reads.groupBy(group, F.length("seq").cast("long").alias("len")).agg(F.count("*").alias("n"))
     w = Window.partitionBy(group)
     h = h.withColumn("cum", F.sum(F.col("len") * F.col("n")).over(w.orderBy(F.desc("len")))).withColumn("total", F.sum(F.col("len") * F.col("n")).over(w))
-    return h.groupBy(group).agg(*[F.max(F.when(F.col("cum") * 100 >= F.col("total") * x, F.col("len"))).alias(f"n{x}") for x in shares])
-
-
-def read_stats(reads: DataFrame) -> DataFrame:
-    """Rows (sample, n_reads, total_bases, n50, n90)."""
-    sums = reads.groupBy("sample").agg(F.count("*").alias("n_reads"), F.sum(F.length("seq")).alias("total_bases"))
-    return sums.join(nx(reads), "sample")
+    return h.groupBy(group).agg(
+        F.sum("n").alias("n_reads"), F.sum(F.col("len") * F.col("n")).alias("total_bases"), *[F.max(F.when(F.col("cum") * 100 >= F.col("total") * x, F.col("len"))).alias(f"n{x}") for x in shares]
+    )
 
 
 def first_reads(reads: DataFrame, n: int = 1000, order: str = "read_id") -> DataFrame:

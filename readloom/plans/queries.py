@@ -19,7 +19,7 @@ from readloom.operators import variants as va
 from readloom.plans import fixtures as fx
 from readloom.plans.fixtures import with_fixtures as sql
 from readloom.sources import files
-from readloom.sources.stages import materialize_stage, stage_path
+from readloom.sources.stages import materialize_stage, stage_path, stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -330,7 +330,8 @@ SQL_NUM = ", num AS (SELECT sample, row_number() OVER (ORDER BY sample) AS i FRO
 
 
 def called(spark, d):
-    return va.called_sites(fx.genomes(spark, d), fx.ref(spark, d))
+    """The called sites as a stage table: core sites, patterns and replicates all read them."""
+    return stage_table(va.called_sites(fx.genomes(spark, d), fx.ref(spark, d)), "sites")
 
 
 @query("j10_call_snps", sql("genomes", SQL_SITES + " SELECT * FROM sites WHERE base <> ref_base"))
