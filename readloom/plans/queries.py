@@ -494,6 +494,25 @@ def written_reads(spark, d):
     return path
 
 
+@query("r1_discover_samples", sql("paths", ", s AS (SELECT replace(replace(split_part(string_split(path, '/')[-1], '.', 1), '_pass', ''), '_filtered', '') AS sample, path FROM paths WHERE " + " OR ".join(f"ends_with(path, '{e}')" for e in fn.EXTENSIONS) + ") SELECT sample, max(path) AS path FROM s GROUP BY sample"))
+def r1(spark, d):
+    return files.samples_of(fx.paths(spark, d))
+
+
+@query("r3_read_fasta", sql("reads", "SELECT sum(length(seq))::BIGINT AS total_bases FROM reads"))
+def r3(spark, d):
+    path = stage_path(spark, "fasta")
+    files.write_contigs(asm.renumber_contigs(fx.reads(spark, d), "read_id"), path)
+    return rd.fasta_length(files.read_fasta(spark, path))
+
+
+@query("r8_read_xmfa_blocks", sql("genomes", SQL_CORE + " SELECT sample::VARCHAR AS entry, string_agg(base, '' ORDER BY pos) AS aligned FROM sites WHERE pos IN (SELECT pos FROM core) GROUP BY sample"))
+def r8(spark, d):
+    s, path = called(spark, d), stage_path(spark, "xmfa")
+    files.write_xmfa(va.core_alignment(s, va.core_sites(s, fx.genomes(spark, d))), path)
+    return files.read_xmfa_blocks(spark, path)
+
+
 @query("w1_write_reads", sql("reads", "SELECT sample, read_id::VARCHAR AS read_id, md5(seq) AS seq_md5, md5(qual) AS qual_md5 FROM reads"))
 def w1(spark, d):
     rows = files.read_written(spark, written_reads(spark, d))

@@ -15,13 +15,17 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
 
 
+def samples_of(files: DataFrame) -> DataFrame:
+    """Rows (sample, path) from rows with a path: accepted files; of two with one sample name the last path stays."""
+    return files.where(accepted_extension("path")).groupBy(sample_name("path").alias("sample")).agg(F.max("path").alias("path"))
+
+
 def discover_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Rows (sample, path): accepted files below the folder; of two with one sample name the last path stays.
 
     A file of zero bytes is no sample: scans do not list it.
     """
-    files = list_files(spark, folder).where(accepted_extension("path"))
-    found = files.groupBy(sample_name("path").alias("sample")).agg(F.max("path").alias("path"))
+    found = samples_of(list_files(spark, folder))
     if found.isEmpty():
         raise ValueError(f"no file with one of the suffixes {EXTENSIONS} below {folder}")
     return found
@@ -120,6 +124,15 @@ def write_contigs(contigs: DataFrame, path: str) -> None:
     contigs.select("sample", record).write.partitionBy("sample").text(path)
 
 
+def write_xmfa(aligned: DataFrame, path: str, block: int = 1000) -> None:
+    """Rows (sample, aligned) as XMFA blocks of at most ``block`` columns; entries in order of sample."""
+    rows = aligned.select("sample", F.explode(F.sequence(F.lit(0), F.greatest(F.length("aligned") - 1, F.lit(0)), F.lit(block))).alias("o"), "aligned")
+    entry = F.concat(F.lit(">"), F.col("sample").cast("string"), F.lit(":"), (F.col("o") + 1).cast("string"), F.lit(" +\n"), F.substr(F.col("aligned"), F.col("o") + 1, F.lit(block)))
+    blocks = rows.groupBy("o").agg(F.array_sort(F.collect_list(F.struct("sample", entry.alias("e")))).alias("a"))
+    text = F.concat(F.array_join(F.transform("a", lambda x: x["e"]), "\n"), F.lit("\n="))
+    blocks.select("o", text.alias("value")).orderBy("o").select("value").coalesce(1).write.text(path)
+
+
 def write_stats_tsv(stats: DataFrame, path: str) -> None:
     """Statistics as tab-separated text with a header."""
     stats.write.option("sep", "\t").option("header", True).csv(path)
