@@ -32,7 +32,7 @@ CLUTTER = frozenset("nav footer aside form menu dialog select button fieldset sv
 #: Words of class, id and role that mark such elements, whole or as the start of a word.
 MARKS = frozenset(
     """ad ads adv advertisement advert banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus
-    footer login masthead menu modal nav navbar navigation navigation newsletter notice notices notification overlay pager pagination paywall popup
+    footer login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup
     promo promotion recommended related respond reactions replies reply search share sharing sidebar signup social sponsor sponsored
     subscribe teaser toolbar widget complementary contentinfo alert alertdialog form""".split()
 )
@@ -154,7 +154,8 @@ def lines_of(html: str) -> list[Line]:
             flush()
         if name == "a":
             links += 1
-        stack.append((name, clutter, inside or (name in ("article", "main") and not clutter)))
+        article = name in ("article", "main") or re.search(r"""\brole\s*=\s*["']?(?:main|article)\b""", attributes, re.I) is not None
+        stack.append((name, clutter, inside or (article and not clutter)))
     flush()
     return lines
 

@@ -18,6 +18,10 @@ CLASSES = 160
 BLOCK = 400_000
 
 
+#: Languages whose n-grams a task counts at once; the counts of a language are some 16 MB.
+COUNTED = 8
+
+
 @dataclass(frozen=True)
 class Settings:
     dim: int = 1024
@@ -88,18 +92,26 @@ def learn(docs: DataFrame, settings: Settings = Settings(), held: int = 2) -> di
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, base = class_table(), letters(settings)
+        bundles: dict[str, np.ndarray] = {}
         counts: dict[str, np.ndarray] = {}
         size = CLASSES**settings.n
+
+        def bundle() -> None:
+            for lang, c in counts.items():
+                seen = np.flatnonzero(c)
+                bundles[lang] = bundles.get(lang, 0) + profile((seen, c[seen]), base, settings.n)
+            counts.clear()
+
         for b in batches:
-            rows = zip(b.column(0).to_pylist(), b.column(1), strict=True)
-            for lang, text in rows:
-                code = codes_of(classes_of(text.as_py(), table), settings.n)
-                if lang not in counts:
-                    counts[lang] = np.zeros(size, dtype=np.int32)
-                add_counts(counts[lang], code)
-        for lang, c in counts.items():
-            seen = np.flatnonzero(c)
-            v = profile((seen, c[seen]), base, settings.n)
+            langs = b.column(0).to_pylist()
+            for i in sorted(range(len(langs)), key=langs.__getitem__):  # a language's texts together
+                if langs[i] not in counts:
+                    if len(counts) == COUNTED:
+                        bundle()
+                    counts[langs[i]] = np.zeros(size, dtype=np.int32)
+                add_counts(counts[langs[i]], codes_of(classes_of(b.column(1)[i].as_py(), table), settings.n))
+        bundle()
+        for lang, v in bundles.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([v.tolist()], pa.list_(pa.float64()))], names=["lang", "v"])
 
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", 4) != held)).select("lang", "text")

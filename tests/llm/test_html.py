@@ -24,6 +24,7 @@ LONG = "This sentence is long enough to count as running text of an article on i
         ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
         ("<article><p>a</p><!-- never ends <p>b</p></article>", "a"),
         ("<article><div class=ad>never closed<p>still</p></article><p>out</p>", "out"),
+        ("<div role='main'><p>a</p></div><div><p>" + LONG + "</p></div>", "a"),
         ("plain text", "plain text"),
         ("", ""),
         (None, ""),

@@ -65,6 +65,15 @@ def test_odd_rows_and_empty_tables(spark):
     assert {r.lang_pred for r in langid.predict(docs, {}, SMALL).collect()} == {"und"}
 
 
+def test_many_languages_in_one_task(spark):
+    rows = [(i, f"wort{i % 40} text", f"l{i % 40:02d}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    learned = langid.learn(docs, SMALL)
+    assert len(learned) == 40
+    want = sum(vector(t, SMALL) for d, t, lang in rows if lang == "l07" and zlib.crc32(str(d).encode()) % 4 != 2)
+    assert np.allclose(learned["l07"], want)
+
+
 def test_blocks_change_nothing():
     table, base = langid.class_table(), langid.letters(SMALL)
     own = [t for _, t, _ in texts(60)]
