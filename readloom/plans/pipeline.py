@@ -12,7 +12,7 @@ from readloom.operators import mapping as mp
 from readloom.operators import reads as rd
 from readloom.operators import trees as tr
 from readloom.operators import variants as va
-from readloom.sources.stages import materialize_stage
+from readloom.sources.stages import materialize_stage, stage_table
 
 
 def bait(reads: DataFrame, ref: DataFrame, method: str = "minimizers", k: int = 99, hdist: int = 2) -> DataFrame:
@@ -26,9 +26,12 @@ def bait(reads: DataFrame, ref: DataFrame, method: str = "minimizers", k: int =
 
 
 def bait_filter_stats(reads: DataFrame, ref: DataFrame, k: int = 31) -> DataFrame:
-    """Exact k-mer baiting, length and quality filters, and statistics per sample."""
+    """Exact k-mer baiting, length and quality filters, and statistics per sample.
+
+    The baited reads are a stage table, as the filter reads them twice.
+    """
     n = rd.fasta_length(ref).first().total_bases
-    kept = rd.filter_best_bases(bait(reads, ref, "kmers", k, 0), n)
+    kept = rd.filter_best_bases(stage_table(bait(reads, ref, "kmers", k, 0), "baited"), n)
     return rd.read_stats(kept)
 
 
