@@ -38,7 +38,8 @@ def query(name: str, oracle: str | None = None):
 
 #: All k-mers of ``{t}`` with columns ``{c}`` and 0-based pos.
 def sql_kmers(t: str, c: str, k: int) -> str:
-    return f"SELECT {c}, pos, substr(seq, pos + 1, {k}) AS kmer FROM (SELECT {c}, seq, unnest(range(0, length(seq) - {k} + 1)) AS pos FROM {t} WHERE length(seq) >= {k})"
+    c = f"{c}, " if c else ""
+    return f"SELECT {c}pos, substr(seq, pos + 1, {k}) AS kmer FROM (SELECT {c}seq, unnest(range(0, length(seq) - {k} + 1)) AS pos FROM {t} WHERE length(seq) >= {k})"
 
 
 def sql_minimizers(t: str, c: str, w: int = 10, k: int = 15) -> str:
@@ -143,7 +144,7 @@ def n5m(spark, d):
     return km.minimizers(fx.ref_items(spark, d), ["ref_id"]).select("ref_id", F.col("pos").cast("long").alias("pos"), "kmer")
 
 
-SQL_BAIT = f", b AS (SELECT DISTINCT kmer FROM ({sql_kmers('ref', '1 AS one', 31).replace('SELECT 1 AS one, seq', 'SELECT 1 AS one, seq').replace('SELECT 1 AS one, pos', 'SELECT pos')})), hit AS (SELECT sample, read_id, count(*) AS n_kmers FROM ({sql_kmers('reads', 'sample, read_id', 31)}) WHERE kmer IN (SELECT kmer FROM b) GROUP BY ALL)"
+SQL_BAIT = f", b AS (SELECT DISTINCT kmer FROM ({sql_kmers('ref', '', 31)})), hit AS (SELECT sample, read_id, count(*) AS n_kmers FROM ({sql_kmers('reads', 'sample, read_id', 31)}) WHERE kmer IN (SELECT kmer FROM b) GROUP BY ALL)"
 
 
 @query("j2_bait_kmers", sql("reads ref", SQL_BAIT + " SELECT * FROM hit"))
@@ -168,11 +169,11 @@ def sql_parts(c: str, k: int = 31) -> str:
     return "[" + ", ".join(f"{{'p': {i}, 'part': substr({c}, {a + 1}, {n})}}" for i, (a, n) in enumerate(km.part_bounds(k, 3))) + "]"
 
 
-@query("j3_bait_kmers_hamming", sql("mutated_reads ref", f""", b AS (SELECT DISTINCT kmer FROM ({sql_kmers('ref', 'seq AS s', 31)})), bp AS (SELECT kmer AS bait, unnest({sql_parts('kmer')}, recursive := true) FROM b),
+@query("j3_bait_kmers_hamming", sql("mutated_reads ref", f""", b AS (SELECT DISTINCT kmer FROM ({sql_kmers('ref', '', 31)})), bp AS (SELECT kmer AS bait, unnest({sql_parts('kmer')}, recursive := true) FROM b),
   own AS (SELECT sample, read_id, kmer, count(*) AS n FROM ({sql_kmers('mutated_reads', 'sample, read_id', 31)}) GROUP BY ALL),
   op AS (SELECT kmer, unnest({sql_parts('kmer')}, recursive := true) FROM (SELECT DISTINCT kmer FROM own)),
   near AS (SELECT DISTINCT op.kmer FROM op JOIN bp ON op.p = bp.p AND op.part = bp.part WHERE hamming(op.kmer, bait) <= 2)
-  SELECT sample, read_id, sum(n)::BIGINT AS n_kmers FROM own WHERE kmer IN (SELECT kmer FROM near) GROUP BY ALL""".replace("seq AS s, seq", "seq AS s, seq").replace("SELECT seq AS s, pos", "SELECT pos")))
+  SELECT sample, read_id, sum(n)::BIGINT AS n_kmers FROM own WHERE kmer IN (SELECT kmer FROM near) GROUP BY ALL"""))
 def j3(spark, d):
     return km.bait_kmers_hamming(fx.mutated_reads(spark, d), fx.ref(spark, d))
 
@@ -319,7 +320,7 @@ def j8(spark, d):
 
 def sql_flanks(t: str, c: str) -> str:
     keep = f"{c}, " if c else ""
-    inner = sql_kmers(t, c or "seq AS s", 25).replace("SELECT seq AS s, pos", "SELECT pos")
+    inner = sql_kmers(t, c, 25)
     return f"SELECT {keep}flanks, min(pos) AS pos, min(base) AS base FROM (SELECT {keep}pos + 12 AS pos, substr(kmer, 1, 12) || substr(kmer, 14, 12) AS flanks, substr(kmer, 13, 1) AS base FROM ({inner})) GROUP BY {keep}flanks HAVING count(*) = 1"
 
 
