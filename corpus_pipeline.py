@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import lines, mixing, pieces, quality, simhash
+from readloom.llm import jaccard, lines, mixing, pieces, quality
 from readloom.llm.common import documents, stage_table
 
 #: A document with a lower quality score goes.
@@ -26,8 +26,11 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; rows of one doc_id stay or go together."""
-    found = simhash.near_duplicates(docs)
+    """The document with the smallest doc_id of each group of near copies; rows of one doc_id stay or go together.
+
+    Near copies share four fifths of their five-word shingles or more; the contract of op9 binds that query alone.
+    """
+    found = jaccard.near_duplicates(docs)
     drop = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
 

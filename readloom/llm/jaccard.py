@@ -1,0 +1,153 @@
+"""Near copies by exact Jaccard likeness of word shingles: prefix filtering, so that no pair at the threshold is lost."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from readloom.llm.common import connected_components, stage_table
+
+#: Seed of the shingles' XXH64.
+SEED = 42
+#: Pairs link from a likeness of LEAST[0] / LEAST[1] on.
+LEAST = (4, 5)
+#: Cells of the shingles' frequency sketch, and how many of them travel in one row.
+CELLS, BLOCK = 1 << 20, 1 << 15
+
+
+def shingle_set(text: bytes | None, shingle: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's word shingles; a text of fewer words is one shingle, one without words none."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.int64)
+    joined = b" ".join(words)
+    ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
+    starts = [0, *(e + 1 for e in ends[: max(0, len(words) - shingle)])]
+    digest = xxhash.xxh64_intdigest
+    found = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :] or ends[-1:], strict=True)]
+    return np.unique(np.array(found, dtype=np.uint64).view(np.int64))
+
+
+def lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *parts])))
+
+
+def shingle_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """Rows (doc_id, cls, shingles): every text's shingle set, and a hash of the whole set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                sets = [shingle_set(t.as_py(), shingle) for t in part.column(1).cast(pa.binary())]
+                own = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own), lists(sets)], names=["doc_id", "cls", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "doc_id long, cls long, shingles array<long>")
+
+
+def frequency_levels(sets: DataFrame) -> np.ndarray:
+    """Per cell of a sketch the power of two of the number of shingles that fall in it. Only the sketch reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, dtype=np.int64)
+        for b in batches:
+            found = b.column(0).flatten().to_numpy(zero_copy_only=False)
+            cells += np.bincount(found & (CELLS - 1), minlength=CELLS)
+        parts = [cells[lo : lo + BLOCK].tobytes() for lo in range(0, CELLS, BLOCK)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["block", "n"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(n, dtype=np.int64) for n in rows.n)
+        return pd.DataFrame({"block": rows.block[:1], "n": [np.log2(total + 1).astype(np.uint8).tobytes()]})
+
+    found = sets.select("shingles").mapInArrow(run, "block int, n binary").groupBy("block").applyInPandas(add, "block int, n binary").collect()
+    levels = np.zeros(CELLS, dtype=np.uint8)
+    for r in found:
+        levels[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(bytes(r.n), dtype=np.uint8)
+    return levels
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """Rows (cls, n, prefix): one per distinct set, with the shingles of which a near copy shares one at least.
+
+    Two sets at the threshold share so many shingles that, all being sorted by one order, the first n - ceil(n * least) + 1
+    of each have one in common. That holds for any order; this one puts shingles of full sketch cells last, so that
+    a passage that many texts share is in the prefix of none but its copies. The sketch decides what is compared in vain, not
+    what is found.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(frequency_levels(sets))
+    p, q = LEAST
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = shared.value
+        for b in batches:
+            parts, sizes = [], []
+            for x in b.column(1):
+                s = x.values.to_numpy(zero_copy_only=False)
+                sizes.append(len(s))
+                order = np.argsort(levels[s & (CELLS - 1)], kind="stable")  # sets are sorted by hash within a level
+                parts.append(s[order[: len(s) - -(-len(s) * p // q) + 1]])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), lists(parts)], names=["cls", "n", "prefix"])
+
+    return sets.select("cls", "shingles").mapInArrow(run, "cls long, n int, prefix array<long>").dropDuplicates(["cls"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose sets' likeness is LEAST or more, computed from the whole sets."""
+    p, q = LEAST
+    pairs = stage_table(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    own = stage_table(sets.select("cls", "shingles").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "pair-sets")
+    a, b = (own.select(F.col("cls").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    both = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(a, "a").join(b, "b").where((p + q) * both >= p * (F.size("sa") + F.size("sb"))).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """Rows (doc_id, component_id): every row with the smallest doc_id that links reach.
+
+    Two texts link where the Jaccard likeness of their sets of ``shingle``-word shingles is LEAST or more; links are followed
+    to connected components. Rows with equal sets are one class, however many. First each class is compared with some few of
+    those that share a shingle of its prefix, the least by four orders of the classes; so a large group of near copies
+    is one component after few comparisons. Then all pairs that share such a shingle and are not in one component yet
+    are compared. Texts without words are all alike. A null doc_id is never a component's name unless all its rows are
+    null. An empty table gives an empty result. Only doc_id and text are read.
+    """
+    p, q = LEAST
+    sets = stage_table(shingle_sets(docs, shingle), "shingles")
+    keys = stage_table(prefixes(sets).select("cls", "n", F.posexplode("prefix").alias("at", "key")), "prefixes")
+    sizes_fit = (F.col("n_a") * q >= F.col("n_b") * p) & (F.col("n_b") * q >= F.col("n_a") * p)
+    turn = F.xxhash64("cls", F.pmod("key", F.lit(4)))
+    stars = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct(turn.alias("turn"), "cls", "n")).alias("least")).where("rows > 1")
+    keys = stage_table(keys.join(stars, "key"), "shared-prefixes").select("key", "cls", "n", "at", F.col("least.cls").alias("to"), F.col("least.n").alias("n_to"))
+    near = keys.where("cls <> to").select(F.least("cls", "to").alias("a"), F.greatest("cls", "to").alias("b"), F.col("n").alias("n_a"), F.col("n_to").alias("n_b"))
+    first = connected_components(verified(near.where(sizes_fit).select("a", "b").distinct(), sets), "a", "b")
+
+    named = keys.join(first.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", "at", F.coalesce("component", "cls").alias("part"))
+    named = stage_table(named, "named-prefixes")
+    open_keys = named.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+    rest = stage_table(named.join(open_keys, "key", "left_semi"), "open-prefixes")
+    a, b = (rest.select(F.col("key").alias(f"key_{x}"), F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("at").alias(f"at_{x}"), F.col("part").alias(f"part_{x}")) for x in "ab")
+    # Where a pair first meets, the shingles still to come in either set must suffice for the threshold.
+    enough = (p + q) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= p * (F.col("n_a") + F.col("n_b"))
+    meet = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & sizes_fit & enough
+    pairs = a.hint("merge").join(b, meet).select("a", "b").distinct()
+    second = verified(pairs, sets)
+
+    parts = first.withColumnRenamed("node", "cls")
+    of = lambda c: parts.select(F.col("cls").alias(c), F.col("component").alias(f"part_{c}"))
+    links = second.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"))
+    last = connected_components(links, "a", "b").select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    classes = sets.groupBy("cls").agg(F.min("doc_id").alias("first"))
+    named = classes.join(parts, "cls", "left").withColumn("part", F.coalesce("component", "cls")).join(last, "part", "left").select("cls", "first", F.coalesce("whole", "part").alias("whole"))
+    least = named.groupBy("whole").agg(F.min("first").alias("component_id"))
+    return sets.select("doc_id", "cls").join(named.join(least, "whole").select("cls", "component_id"), "cls").select("doc_id", "component_id")
