@@ -22,7 +22,7 @@ LOWEST = -(2**63)
 class Settings:
     """``samples`` per signature; ``cached`` bounds the words whose draws a task keeps (12 bytes per word and sample)."""
 
-    samples: int = 64
+    samples: int = 128
     seed: int = 3
     cached: int = 50_000
 

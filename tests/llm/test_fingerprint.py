@@ -74,3 +74,10 @@ def test_edited_text_counts_code_points():
     assert fingerprint.edited("abcdefghi", "X") == "abcdefX"
     assert fingerprint.edited("ab", "XYZ") == "ab"
     assert np.isclose(jaccard("a a b", "a b b"), 0.5)
+
+
+def test_a_likeness_has_the_error_of_128_samples():
+    assert fingerprint.Settings().samples == 128
+    sampler = fingerprint.Sampler(fingerprint.Settings())
+    sampler.add({b"one", b"two"})
+    assert len(hexed := fingerprint.hexed(sampler.signature(Counter([b"one", b"two"])))) == 512 and set(hexed) <= set("0123456789abcdef")
