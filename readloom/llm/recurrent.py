@@ -25,9 +25,9 @@ class Settings:
 
     ``vocabulary`` words, by corpus count, are symbols of the network; all others share the symbol "other" and divide
     its probability by their own corpus counts. ``head`` bounds the counts that are broadcast; the rest is joined.
-    ``warm`` bounds the documents of the first, common fit. After it every task trains on one in ``share`` of its
-    documents, chosen by a hash of their text, so that what is learned from grows with the corpus; word counts and all
-    that is derived from them cover every document.
+    ``warm`` bounds the documents of the first, common fit. After it every task trains on all of its
+    documents; a ``share`` above 1 would leave it one in so many, chosen by a hash of their text. Word counts and all that is
+    derived from them cover every document.
     """
 
     vocabulary: int = 2047
@@ -38,7 +38,7 @@ class Settings:
     lanes: int = 256
     warm: int = 300
     warm_epochs: int = 3
-    share: int = 2
+    share: int = 1
     rate: float = 0.12
     seed: int = 17
 
@@ -385,7 +385,7 @@ def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -
     """The model of the training documents ``docs`` with word counts ``counts``.
 
     A first fit on at most ``warm`` documents gives all tasks one start. Each task then passes once over its own
-    documents, one in ``share`` of them, and the parameters are averaged, weighted by tokens, in a shuffle by blocks of parameters.
+    documents, all of them unless ``share`` is above 1, and the parameters are averaged, weighted by tokens, in a shuffle by blocks of parameters.
     """
     spark = docs.sparkSession
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()

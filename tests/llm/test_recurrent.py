@@ -1,6 +1,7 @@
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -108,3 +109,11 @@ def test_training_beats_word_counts():
     for _ in range(4):
         net.train(texts[:200])
     assert net.score(texts[200:]).sum() > before * 0.9
+
+
+def test_tasks_learn_from_texts_of_either_hash(spark):
+    texts = [t for t in invented(generator(8), 80) if zlib.crc32(t.encode()) % 2 == 1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    settings = replace(SMALL, share=recurrent.Settings().share)
+    model = recurrent.learn(docs, recurrent.word_counts(docs), settings)
+    assert len(texts) > 20 and model.gradients is None  # the first fit alone would have left its step sizes
