@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -11,11 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Comments, declarations, and tags; a ``<`` that starts none of these is text.
-#: A quote that never ends hides no tag: the last form takes such a tag up to its first ``>``.
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S
-)
+#: What may follow ``<``: a comment or declaration, or a tag's slash and name. Any other ``<`` is text.
+OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+#: The rest of a tag, where a quoted value may hold ``>``.
+REST = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+ROLE = re.compile(r"""\brole\s*=\s*["']?(?:main|article)\b""", re.I)
+LINKED = re.compile(r"\bhref\s*=", re.I)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 #: Elements whose content is no markup, and is no text of the page either.
@@ -27,15 +29,18 @@ BLOCK = frozenset(
     h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th
     thead tr ul""".split()
 )
-#: Elements that never hold the article.
-CLUTTER = frozenset("nav footer aside form menu dialog select button fieldset svg canvas object audio video math datalist".split())
+#: Elements that never hold the article; they are stripped as markup is.
+CLUTTER = frozenset("footer aside form dialog select button fieldset svg canvas object audio video math datalist".split())
 #: Words of class, id and role that mark such elements, whole or as the start of a word.
 MARKS = frozenset(
-    """ad ads adv advertisement advert banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus
-    footer login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup
-    promo promotion recommended related respond reactions replies reply search share sharing sidebar signup social sponsor sponsored
-    subscribe teaser toolbar widget complementary contentinfo alert alertdialog form""".split()
+    """ad ads adv advertisement advert banner comment comments commentlist consent cookie cookies disclaimer disqus footer login masthead
+    modal newsletter notice notices notification overlay paywall popup promo promotion recommended related respond reactions replies reply
+    search share sharing sidebar signup social sponsor sponsored subscribe teaser widget complementary contentinfo alert alertdialog
+    form""".split()
 )
+#: Elements and words of menus. They are not stripped: their text counts as link text, and the windows leave it out.
+MENUS = frozenset("nav menu".split())
+MENU_WORDS = frozenset("breadcrumb breadcrumbs menu nav navbar navigation pager pagination toolbar".split())
 #: The same for what is a header only outside the article.
 TOPS = frozenset("header top topbar site-header".split())
 #: Start tags that close an open element of the same set.
@@ -44,10 +49,14 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 
 @dataclass(frozen=True)
 class Settings:
-    """``window`` lines make a block of lines; text surges where a block has more than ``surge`` characters."""
+    """``window`` lines make a block of lines; text surges where a block weighs more than ``surge`` characters.
+
+    A line in an article or main element weighs ``marked`` times its characters.
+    """
 
     window: int = 3
     surge: int = 86
+    marked: int = 2
 
 
 @dataclass
@@ -56,135 +65,234 @@ class Line:
 
     text: str
     plain: int
-    clutter: bool
+    menu: bool
     article: bool
 
 
-def is_clutter(name: str, attributes: str, article: bool) -> bool:
-    if name in CLUTTER or (name == "header" and not article):
-        return True
-    if not attributes or attributes.isspace() or name in ("html", "body", "main", "head"):
-        return False
+@dataclass
+class Element:
+    """An open element, and whether text in it is clutter, a menu's, or the article's."""
+
+    name: str
+    clutter: bool = False
+    menu: bool = False
+    article: bool = False
+
+
+def words_of(attributes: str) -> set[str] | None:
+    """Words of class, id and role; None for a hidden element."""
     words: set[str] = set()
+    if not attributes or attributes.isspace():
+        return words
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
+            return None
         if key in ("class", "id", "role"):
             words.update(re.split(r"[\s_:-]+", value))
-    if name == "article":
-        return bool(words & {"comment", "comments", "teaser", "related", "reply"})
-    return bool(words & MARKS) or (not article and bool(words & TOPS))
+    return words
 
 
-def lines_of(html: str) -> list[Line]:
-    """The page's blocks in order. Open elements are kept on a stack, so that clutter ends with what holds it."""
-    lines: list[Line] = []
-    parts: list[str] = []
-    plain = 0
-    stack: list[tuple[str, bool, bool]] = []  # name, inside clutter, inside the article
-    links = 0
-
-    def flush() -> None:
-        nonlocal plain
-        if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                lines.append(Line(text, plain, bool(stack) and stack[-1][1], bool(stack) and stack[-1][2]))
-            parts.clear()
-        plain = 0
-
-    def add(text: str) -> None:
-        nonlocal plain
+def element_of(name: str, attributes: str, outer: Element) -> Element:
+    """The element that a start tag opens inside ``outer``."""
+    words = set() if name in ("html", "body", "main", "head") else words_of(attributes)
+    if words is None or name in CLUTTER or (name == "header" and not outer.article):
+        clutter = True
+    elif name == "article":
+        clutter = bool(words & {"comment", "comments", "teaser", "related", "reply"})
+    else:
+        clutter = bool(words & MARKS) or (not outer.article and bool(words & TOPS))
+    article = name in ("article", "main") or ROLE.search(attributes) is not None
+    menu = name in MENUS or bool(words and words & MENU_WORDS)
+    return Element(name, outer.clutter or clutter, outer.menu or menu, outer.article or (article and not clutter))
+
+
+class Page:
+    """Collects the lines of a page in one pass; every step costs as much as it reads, opens or closes.
+
+    Open elements are kept on a stack, with the places of those that scope others (blocks and clutter), and the number
+    of open ones by name: a closing tag without its element costs nothing, and one with it pays for what it closes.
+    """
+
+    def __init__(self) -> None:
+        self.lines: list[Line] = []
+        self.stack: list[Element] = [Element("")]
+        self.scopes: list[int] = [0]
+        self.open: Counter[str] = Counter()
+        self.inner: list[Counter[str]] = [Counter()]
+        self.parts: list[str] = []
+        self.plain = 0
+        # The open link: its place on the stack, the block that it begins in, and per later line the characters that it covers.
+        self.link: int | None = None
+        self.blocks = self.link_block = 0
+        self.covered: list[list[int]] = []
+
+    def flush(self) -> None:
+        self.blocks += 1
+        if self.parts:
+            text = " ".join("".join(self.parts).split())
+            top = self.stack[-1]
+            if text and not top.clutter:
+                self.lines.append(Line(text, 0 if top.menu else self.plain, top.menu, top.article))
+            self.parts.clear()
+        self.plain = 0
+
+    def add(self, text: str) -> None:
         if text:
             text = unescape(text) if "&" in text else text
-            parts.append(text)
-            if not links:
-                plain += len(text.strip())
+            self.parts.append(text)
+            n = len(text.strip())
+            if self.link is None:
+                self.plain += n
+            elif n and self.blocks > self.link_block and not self.stack[-1].clutter:
+                at = len(self.lines)
+                if self.covered and self.covered[-1][0] == at:
+                    self.covered[-1][1] += n
+                else:
+                    self.covered.append([at, n])
+
+    def end_link(self, closed: bool) -> None:
+        """A link that its own tag closes covers all its text; one left open covers what it shares a block with."""
+        if self.link is not None and not closed:
+            for at, n in self.covered:
+                if at < len(self.lines):
+                    if not self.lines[at].menu:
+                        self.lines[at].plain += n
+                else:
+                    self.plain += n
+        self.link = None
+        self.covered = []
+
+    def cut(self, place: int) -> None:
+        """Closes all open elements from ``place`` on."""
+        if self.link is not None and self.link >= place:
+            self.end_link(False)
+        end = len(self.stack)  # where the scopes that end here begin
+        while len(self.scopes) > 1 and self.scopes[-1] >= place:
+            end = self.scopes.pop()
+            self.inner.pop()
+        for e in self.stack[place:]:
+            self.open[e.name] -= 1
+        for e in self.stack[place:end]:
+            self.inner[-1][e.name] -= 1
+        del self.stack[place:]
+
+    def start(self, name: str, attributes: str) -> None:
+        if name == "br":
+            self.parts.append(" ")
+            return
+        if name in BLOCK:
+            self.flush()
+            if self.stack[self.scopes[-1]].name == "p":  # a block ends the paragraph that it starts in
+                self.cut(self.scopes[-1])
+            if name in CLOSES and self.stack[-1].name in CLOSES[name]:
+                self.cut(len(self.stack) - 1)
+        if name in VOID:
+            return
+        if name == "a":
+            self.end_link(False)
+        found = element_of(name, attributes, self.stack[-1])
+        if found.clutter and not self.stack[-1].clutter:
+            self.flush()
+        if name == "a" and LINKED.search(attributes):
+            self.link, self.link_block = len(self.stack), self.blocks
+        self.open[name] += 1
+        if name in BLOCK or name in CLUTTER:
+            self.scopes.append(len(self.stack))
+            self.inner.append(Counter())
+        else:
+            self.inner[-1][name] += 1
+        self.stack.append(found)
 
-    at, end = 0, len(html)
+    def close(self, name: str) -> None:
+        if name == "a":
+            self.end_link(True)
+        if name in BLOCK:
+            self.flush()
+        scoped = name in BLOCK or name in CLUTTER
+        if not (self.open if scoped else self.inner[-1])[name]:
+            return  # no such element is open, or none in the block at hand
+        place = len(self.stack) - 1
+        while self.stack[place].name != name:
+            place -= 1
+        if self.stack[place].clutter:
+            self.flush()
+        self.cut(place)
+
+
+def lines_of(html: str) -> list[Line]:
+    """The page's blocks in order, less markup and clutter."""
+    page = Page()
+    at, end, quotes = 0, len(html), True
     while at < end:
-        m = TOKEN.search(html, at)
+        m = OPENING.search(html, at)
         if m is None:
-            rest = html[at:]
-            cut = re.search(r"<[a-zA-Z/][^>]*\Z", rest)
-            add(rest[: cut.start()] if cut else rest)
+            page.add(html[at:])
             break
-        add(html[at : m.start()])
+        page.add(html[at : m.start()])
+        comment, declaration, slash, name = m.groups()
         at = m.end()
-        closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not name:
+        if comment or declaration:
+            close = html.find("-->" if comment else ">", at)
+            at = end if close < 0 else close + (3 if comment else 1)
             continue
+        rest = REST.match(html, at) if quotes else None
+        if rest is None:
+            # A quote that never ends hides no tag: from here on a tag ends with its first ``>``.
+            quotes = False
+            close = html.find(">", at)
+            if close < 0:
+                break
+            attributes, at = html[at:close], close + 1
+        else:
+            attributes, at = rest[1], rest.end()
         name = name.lower()
-        if closing:
-            if name == "a":
-                links = max(0, links - 1)
-            if name in BLOCK:
-                flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if name not in BLOCK and name not in CLUTTER and any(s[0] in BLOCK for s in stack[k + 1 :]):
-                        break
-                    if stack[k][1]:
-                        flush()
-                    del stack[k:]
-                    break
-            continue
-        if name in RAW:
+        if slash:
+            page.close(name)
+        elif name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             at = close.end() if close else end
-            continue
-        if name == "br":
-            parts.append(" ")
-            continue
-        if name in BLOCK:
-            flush()
-            for k in range(len(stack) - 1, -1, -1):  # a block ends the paragraph that it starts in
-                if stack[k][0] in BLOCK:
-                    if stack[k][0] == "p":
-                        del stack[k:]
-                    break
-            if name in CLOSES and stack and stack[-1][0] in CLOSES[name]:
-                del stack[-1:]
-        if name in VOID:
-            continue
-        inside = bool(stack) and stack[-1][2]
-        clutter = (bool(stack) and stack[-1][1]) or is_clutter(name, attributes, inside)
-        if clutter and not (stack and stack[-1][1]):
-            flush()
-        if name == "a":
-            links += 1
-        article = name in ("article", "main") or re.search(r"""\brole\s*=\s*["']?(?:main|article)\b""", attributes, re.I) is not None
-        stack.append((name, clutter, inside or (article and not clutter)))
-    flush()
-    return lines
+        else:
+            page.start(name, attributes)
+    page.flush()
+    page.end_link(False)
+    return page.lines
 
 
 def kept(lines: list[Line], settings: Settings) -> list[bool]:
     """Which lines lie between a surge and a dive of the windows' text lengths.
 
-    A line counts its characters outside links; clutter counts nothing. Where the page marks its article, lines outside
-    it count nothing and each line in it is a surge of its own. A run starts at the first line of a window that
-    surges and ends where a window sinks to nothing. If no window surges, the largest one does. An article without text
-    marks nothing.
+    A line weighs its characters outside links and menus, in the article ``marked`` times as many. A window is a line
+    and those behind it, up to an edge of the article, so that text outside the article surges by itself or not at all,
+    and so does text inside. A run holds a window that surges and goes on until a window sinks to nothing; it starts
+    with the first line that weighs of the first window to surge, inside the article with the first line of the
+    stretch that weighs. If no window surges, the heaviest one does. Lines of menus inside a run are left out.
     """
-    marked = any(x.article and not x.clutter for x in lines)
-    weight = [0 if x.clutter or (marked and not x.article) else x.plain + (settings.surge + 1) * marked for x in lines]
+    weight = [x.plain * (settings.marked if x.article else 1) for x in lines]
     n = len(weight)
-    sums = [sum(weight[i : i + settings.window]) for i in range(n)]
+    edge = [n] * n
+    for i in range(n - 2, -1, -1):
+        edge[i] = edge[i + 1] if lines[i].article == lines[i + 1].article else i + 1
+    sums = [sum(weight[i : min(i + settings.window, edge[i])]) for i in range(n)]
     if not n or max(sums) == 0:
         return [False] * n
     level = settings.surge if max(sums) > settings.surge else max(sums) - 1
     keep = [False] * n
     i = 0
     while i < n:
-        if sums[i] > level and weight[i]:
-            j = i
-            while j < n and sums[j]:
-                keep[j] = not lines[j].clutter and (not marked or lines[j].article)
-                j += 1
-            i = j
-        i += 1
+        if not sums[i]:
+            i += 1
+            continue
+        j = i  # the stretch i..j-1 of windows that are not empty, on one side of an edge
+        while j < edge[i] and sums[j]:
+            j += 1
+        first = next((k for k in range(i, j) if weight[k] and sums[k] > level), None)
+        if first is not None:
+            if lines[i].article:
+                first = next(k for k in range(i, j) if weight[k])
+            for k in range(first, j):
+                keep[k] = not lines[k].menu
+        i = j
     return keep
 
 
@@ -197,11 +305,12 @@ def main_text(html: str | None, settings: Settings = Settings()) -> str:
 def extract(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows (page_id, url, text, n_chars): the main text of every page, from its whole html.
 
-    Markup is stripped to one line per block; menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-    styles, hidden elements and reader comments count as empty lines. The text is what lies between the surge and dive
-    points of the lines' window sums. Character references are decoded, white space in a block becomes one space, blocks
+    Markup is stripped to one line per block, and so are scripts, styles, forms, hidden elements, and what tags or class
+    names mark as header, footer, sidebar, notice, advert or reader comments. The text is what lies between the surge
+    and dive points of the lines' window sums; text in links and menus weighs nothing. Character references are decoded, white space in a block becomes one space, blocks
     are joined by a line feed in page order. A null or empty html, or one without text, gives an empty text. Unclosed
-    tags end with what holds them, an unclosed comment or script at the end of the page. Rows that repeat are treated
+    tags end with what holds them, an unclosed link with its line, an unclosed comment or script at the end of the page.
+    Time grows in proportion to the page, however broken its tags are. Rows that repeat are treated
     alike. Only page_id, url and html are read. An empty table gives an empty result.
     """
 
