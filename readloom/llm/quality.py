@@ -1,9 +1,10 @@
-"""Quality classifier: hashed word and character n-gram vectors averaged per document, softmax output, numpy SGD."""
+"""Quality classifier: hashed word and n-gram vectors averaged per document, softmax output, numpy SGD."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import fold
+from readloom.llm.common import fold, fresh
 
 
 @dataclass(frozen=True)
@@ -25,9 +26,23 @@ class Settings:
     longest: int = 4
     epochs: int = 6
     rate: float = 2.0
+    bias_rate: float = 0.02
     seed: int = 11
     word_cache: int = 400_000
-    fit_cache: int = 50_000
+    block_bytes: int = 2_000_000
+
+
+@dataclass(frozen=True)
+class Model:
+    """Each bucket's log-odds contribution to label 1, and the bias."""
+
+    odds: np.ndarray
+    bias: float
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    """The text's words; a text without any is one empty word, which has subwords as any other and is in no word n-gram."""
+    return (text or b"").split() or [b""]
 
 
 def subwords(word: bytes, s: Settings) -> list[int]:
@@ -37,123 +52,181 @@ def subwords(word: bytes, s: Settings) -> list[int]:
     return [crc32(g) % s.buckets for g in (w + b"w", *grams)]
 
 
-def repeats(s: Settings) -> list[int]:
-    """Buckets of the word pair "same word again", which stand for all such pairs: a few, to weigh like a word's own."""
-    return [crc32(b"<same again %d>" % i) % s.buckets for i in range(8)]
+def pair_buckets(first: np.ndarray, second: np.ndarray, s: Settings) -> np.ndarray:
+    """Buckets of pairs of neighbouring words, from the words' hashes."""
+    x = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    return ((x >> np.uint64(32)) % np.uint64(s.buckets)).astype(np.int64)
+
+
+def patterns(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Per word a number for the word n-gram that begins there, its words renamed in order of appearance.
+
+    Of four words in a row it tells which are equal: "a a a a", "a b a b", "a b c d" and so on. Words of another text
+    (another ``owner``) equal none.
+    """
+    n, far = len(hashes), 3
+    h = np.concatenate([hashes, np.zeros(far, dtype=hashes.dtype)])
+    text = np.concatenate([owner, np.full(far, -1)])
+    code = np.zeros(n, dtype=np.int64)
+    for bit, (i, j) in enumerate([(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]):
+        same = (h[i : n + i] == h[j : n + j]) & (text[:n] == text[j : n + j])
+        code |= same.astype(np.int64) << bit
+    return code
+
+
+def pattern_buckets(s: Settings) -> np.ndarray:
+    return np.array([crc32(b"<pattern %d>" % i) % s.buckets for i in range(64)], dtype=np.int64)
 
 
-def features(text: bytes, s: Settings, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def features(text: bytes | None, s: Settings, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and the share of each among all its features."""
-    found: list[np.ndarray] = [np.zeros(0, dtype=np.int32)]
-    last, again = None, np.array(repeats(s), dtype=np.int32)
-    if len(known) > s.fit_cache:
-        known.clear()
-    for w in text.split():
-        ids = known.get(w)
-        if ids is None:
-            ids = known[w] = np.array(subwords(w, s), dtype=np.int32)
-        found.append(ids)
-        if w == last:
-            found.append(again)
-        last = w
-    every = np.concatenate(found)
+    words = words_of(text)
+    for w in words:
+        if w not in known:
+            known[w] = np.array(subwords(w, s), dtype=np.int64)
+    hashes = np.fromiter(map(crc32, words), np.uint64, len(words))
+    renamed = pattern_buckets(s)[patterns(hashes, np.zeros(len(words)))] if words[0] else hashes[:0].astype(np.int64)
+    every = np.concatenate([*(known[w] for w in words), pair_buckets(hashes[:-1], hashes[1:], s), renamed])
     ids, counts = np.unique(every, return_counts=True)
-    return ids, (counts / max(1, len(every))).astype(np.float32)
+    return ids.astype(np.int32), (counts / len(every)).astype(np.float32)
 
 
-def fit(texts: list[bytes], labels: list[int], s: Settings) -> np.ndarray:
-    """Each bucket's log-odds contribution to label 1 after stochastic gradient descent, one document a step.
+def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: list[int], s: Settings) -> Model:
+    """Stochastic gradient descent over the documents' features, one document a step.
 
-    A document's vector is the mean of its feature vectors and its output the softmax of ``mean @ out``. As the output is
-    linear in that mean, one number per bucket, ``vectors @ (out[:, 1] - out[:, 0])``, holds all that scoring needs.
-    Without labelled rows, all numbers are 0 and every score 0.5.
+    A document's vector is the mean of its feature vectors and its output the softmax of ``mean @ out + bias``. As the
+    output is linear in that mean, one number per bucket, ``vectors @ (out[:, 1] - out[:, 0])``, holds all that scoring
+    needs. Without labelled rows, all numbers are 0 and every score 0.5.
     """
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
-    out = np.zeros((s.dim, 2), dtype=np.float32)
-    known: dict[bytes, np.ndarray] = {}
-    docs = [features(t, s, known) for t in texts]
-    known.clear()
+    out, bias = np.zeros((s.dim, 2), dtype=np.float32), np.zeros(2, dtype=np.float32)
     steps, done = max(1, len(docs) * s.epochs), 0
     for _ in range(s.epochs):
         for i in rng.permutation(len(docs)):
             ids, share = docs[i]
-            rate, done = s.rate * (1 - done / steps), done + 1
-            if not len(ids):
-                continue
+            rest, done = 1 - done / steps, done + 1
             mean = share @ vectors[ids]
-            z = mean @ out
+            z = mean @ out + bias
             p = np.exp(z - z.max())
             p /= p.sum()
             p[labels[i]] -= 1
             back = out @ p
-            out -= rate * np.outer(mean, p)
-            vectors[ids] -= rate * share[:, None] * back
-    return (vectors @ (out[:, 1] - out[:, 0])).astype(np.float64)
-
-
-def text_scores(texts: list[bytes | None], odds: np.ndarray, s: Settings, known: dict[bytes, tuple[float, int]]) -> list[float]:
-    """Probability of label 1 per text. ``known`` keeps each word's sum over its features and their number."""
-    out = []
-    again = repeats(s)
-    same, m = float(odds[again].sum()), len(again)
-    for t in texts:
-        total, n, last = 0.0, 0, None
-        for w in (t or b"").split():
-            x = known.get(w)
-            if x is None:
-                ids = subwords(w, s)
-                x = known[w] = (float(odds[ids].sum()), len(ids))
-            total += x[0]
-            n += x[1]
-            if w == last:
-                total += same
-                n += m
-            last = w
-        out.append(1 / (1 + np.exp(-total / n)) if n else 0.5)
-        if len(known) > s.word_cache:
-            known.clear()
-    return out
+            bias -= s.bias_rate * rest * p
+            out -= s.rate * rest * np.outer(mean, p)
+            vectors[ids] -= s.rate * rest * share[:, None] * back
+    return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
+
+
+class Scorer:
+    """Scores texts block by block; of each word that it meets it keeps the sum over its features, their number and the word's hash."""
+
+    def __init__(self, model: Model, s: Settings):
+        self.model, self.s = model, s
+        self.known: dict[bytes, int] = {}
+        self.renamed = model.odds[pattern_buckets(s)]
+        self.sums, self.sizes, self.hashes = np.zeros(1024), np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.uint64)
+
+    def place(self, word: bytes) -> int:
+        at = self.known.get(word)
+        if at is None:
+            at = self.known[word] = len(self.known)
+            if at == len(self.sums):
+                self.sums, self.sizes, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sums, self.sizes, self.hashes))
+            ids = subwords(word, self.s)
+            self.sums[at], self.sizes[at], self.hashes[at] = self.model.odds[ids].sum(), len(ids), crc32(word)
+        return at
+
+    def score(self, texts: list[bytes | None]) -> np.ndarray:
+        """Probability of label 1 per text."""
+        if not texts:
+            return np.zeros(0)
+        if len(self.known) > self.s.word_cache:
+            self.known.clear()
+        words = [words_of(t) for t in texts]
+        n = np.array([len(w) for w in words])
+        starts = np.cumsum(n) - n
+        at = np.fromiter(map(self.place, chain.from_iterable(words)), np.int64, int(n.sum()))
+        pairs = np.zeros(len(at))
+        hashes = self.hashes[at]
+        pairs[:-1] = self.model.odds[pair_buckets(hashes[:-1], hashes[1:], self.s)]
+        pairs[starts + n - 1] = 0  # the last word of a text has no neighbour
+        pairs += self.renamed[patterns(hashes, np.repeat(np.arange(len(n)), n))]
+        blank = np.array([not w[0] for w in words])
+        pairs[starts[blank]] = 0
+        total = np.add.reduceat(self.sums[at] + pairs, starts)
+        return 1 / (1 + np.exp(-total / (np.add.reduceat(self.sizes[at], starts) + 2 * n - 1 - blank) - self.model.bias))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, keep: Settings, held: int = 2) -> DataFrame:
-    """At most ``keep.sample`` training rows (text, quality), those with the smallest hash of doc_id; a document marked both 0 and 1 counts as 0."""
-    ids = (
-        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 4) != held))
-        .groupBy("doc_id")
-        .agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id", F.lit(keep.seed)), "doc_id")
-        .limit(keep.sample)
-    )
-    rows = docs.where(fold("doc_id", 4) != held).select("doc_id", "text")
-    return rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "quality")  # ids: at most keep.sample rows
+    """At most ``keep.sample`` training rows (doc_id, quality, text): the doc_ids with the smallest hash.
 
+    A document marked both 0 and 1 counts as 0; of rows that repeat a doc_id the text with the smallest hash is taken.
+    So the sample does not depend on how the tables are partitioned.
+    """
+    training = F.col("doc_id").isNotNull() & (fold("doc_id", 4) != held)
+    ids = labels.where(F.col("quality").isNotNull() & training).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = docs.where(training).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = ids.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id", F.lit(keep.seed)), "doc_id").limit(keep.sample)
+    rows = rows.join(F.broadcast(ids), "doc_id")  # ids: at most keep.sample rows
+    return rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
-def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> np.ndarray:
-    """Fit on the labelled sample; its size, and so the driver's share of the work, is bounded by ``settings.sample``."""
-    rows = sorted((r.doc_id, r.text or "", r.quality) for r in labelled_sample(docs, labels, settings).limit(2 * settings.sample).collect())
-    return fit([t.encode() for _, t, _ in rows], [int(q != 0) for *_, q in rows], settings)
 
+def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
+    """Fit on the labelled sample.
 
-def score(docs: DataFrame, odds: np.ndarray, settings: Settings = Settings(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns and ``score`` (probability of label 1) of every row.
+    Tasks turn its texts into features, at most one per bucket; the driver fits those of ``settings.sample`` rows at most.
+    """
 
-    Every whole text is scored; a null, empty or blank text has no features and scores 0.5. Only ``text`` and the
-    ``keep`` columns are read, and no kept column may be named score. Repeated rows score alike. An empty table gives an empty result.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, np.ndarray] = {}
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
+                found = []
+                for t in part.column(2).cast(pa.binary()):
+                    found.append(features(t.as_py(), settings, known))
+                    if len(known) > settings.word_cache // 8:
+                        known.clear()
+                parts = [pa.array([x[i].tobytes() for x in found], pa.binary()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *parts], names=["doc_id", "label", "ids", "share"])
+
+    rows = labelled_sample(docs, labels, settings).select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") != 0).cast("int").alias("label"), "text")
+    rows = sorted(rows.mapInArrow(run, "doc_id long, label int, ids binary, share binary").collect(), key=lambda r: r.doc_id)
+    pairs = [(np.frombuffer(bytes(r.ids), dtype=np.int32), np.frombuffer(bytes(r.share), dtype=np.float32)) for r in rows]
+    return fit(pairs, [r.label for r in rows], settings)
+
+
+def score(docs: DataFrame, model: Model, settings: Settings = Settings(), keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """The ``keep`` columns and ``name`` (probability of label 1) of every row.
+
+    Every whole text is scored; a null, empty or blank text is one empty word. Only ``text`` and the ``keep`` columns are
+    read; ``name`` may be none of them. Repeated rows score alike. An empty table gives an empty result.
     """
-    model = docs.sparkSession.sparkContext.broadcast(odds)  # one number per bucket: settings.buckets * 8 bytes
+    if name.lower() in map(str.lower, keep):
+        raise ValueError(f"{name} is a kept column")
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per bucket: settings.buckets * 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[float, int]] = {}
+        scorer = Scorer(shared.value, settings)
         for b in batches:
-            texts = b.column("_text" if "_text" in b.schema.names else "text").cast(pa.binary())
-            found: list[float] = []
-            for lo in range(0, len(texts), 512):
-                found += text_scores(texts.slice(lo, 512).to_pylist(), model.value, settings, known)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(found, pa.float64())], names=[*names, "score"])
+            texts = b.column(text).cast(pa.binary())
+            found, block, size = [], [], 0
+            for x in texts:
+                block.append(t := x.as_py())
+                size += len(t or b"")
+                if size > settings.block_bytes:
+                    found.append(scorer.score(block))
+                    block, size = [], 0
+            found.append(scorer.score(block))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(np.concatenate(found), pa.float64())], names=[*names, name])
 
-    # The text crosses to Python once, as one of the kept columns or beside them.
     names, n = list(keep), len(keep)
-    rows = docs.select(*keep, *([] if "text" in keep else [F.col("text").cast("string").alias("_text")]))
+    # The text crosses to Python once, as one of the kept columns or behind them.
+    text = fresh("text", keep)
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias(text))
+    if "text" in keep:
+        rows, text = rows.drop(text), "text"
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    return rows.mapInArrow(run, f"{kinds}, `{name}` double")

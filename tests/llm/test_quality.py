@@ -1,6 +1,8 @@
 import math
+import zlib
 
 import numpy as np
+import pytest
 
 from readloom.llm import quality
 from tests.llm.fixtures import generator, invented, no_documents, odd_documents
@@ -19,15 +21,22 @@ def labelled(spark, n=500):
     return docs, labels, {i: q for i, _, q in rows}
 
 
-def plain(text, odds, s):
+def plain(text, model, s):
     """Score by the mean of all feature vectors, one feature at a time."""
-    found, last = [], None
-    for w in text.encode().split():
-        found += quality.subwords(w, s)
-        if w == last:
-            found += quality.repeats(s)
-        last = w
-    return 1 / (1 + math.exp(-float(np.mean(odds[found])))) if found else 0.5
+    words = text.encode().split()
+    if not words:
+        found = quality.subwords(b"", s)
+    else:
+        found = [b for w in words for b in quality.subwords(w, s)]
+        h = np.array([zlib.crc32(w) for w in words], dtype=np.uint64)
+        found += [int(quality.pair_buckets(h[i : i + 1], h[i + 1 : i + 2], s)[0]) for i in range(len(h) - 1)]
+        for i in range(len(words)):
+            code, bit = 0, 0
+            for k, j in ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)):
+                code |= (i + j < len(words) and words[i + k] == words[i + j]) << bit
+                bit += 1
+            found.append(int(quality.pattern_buckets(s)[code]))
+    return 1 / (1 + math.exp(-float(np.mean(model.odds[found])) - model.bias))
 
 
 def test_held_out_accuracy_and_plain_scores(spark):
@@ -36,8 +45,6 @@ def test_held_out_accuracy_and_plain_scores(spark):
     got = {r.doc_id: r.score for r in quality.score(docs, odds, SMALL).collect()}
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert all(abs(got[i] - plain(texts[i], odds, SMALL)) < 1e-9 for i in texts)
-    import zlib
-
     held = [i for i in truth if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([(got[i] >= 0.7) == truth[i] for i in held]) > 0.97
 
@@ -45,16 +52,48 @@ def test_held_out_accuracy_and_plain_scores(spark):
 def test_held_out_labels_are_not_read(spark):
     docs, labels, _ = labelled(spark, 200)
     other = labels.selectExpr("doc_id", "case when crc32(cast(doc_id as string)) % 4 = 2 then 1 - quality else quality end as quality", "toxic")
-    assert (quality.train(docs, labels, SMALL) == quality.train(docs, other, SMALL)).all()
+    assert (quality.train(docs, labels, SMALL).odds == quality.train(docs, other, SMALL).odds).all()
+
+
+def test_repeated_ids_and_partitions_change_no_model(spark):
+    docs, labels, _ = labelled(spark, 120)
+    more = docs.unionByName(docs.selectExpr("doc_id % 7 as doc_id", "concat(text, ' more') as text"))
+    few = quality.Settings(buckets=4096, dim=6, epochs=2, sample=20)
+    models = [quality.train(x, labels, few) for x in (more.repartition(3), more.repartition(8), more.coalesce(1))]
+    assert all((m.odds == models[0].odds).all() and m.bias == models[0].bias for m in models)
+    found = quality.labelled_sample(more, labels, few).collect()
+    assert len(found) == len({r.doc_id for r in found}) == 20
+
+
+def test_empty_texts_are_learned(spark):
+    docs, labels, truth = labelled(spark, 200)
+    blank = spark.range(1000, 1200).selectExpr("id as doc_id", "case id % 3 when 0 then '' when 1 then ' ' end as text")
+    for q in (0, 1):
+        model = quality.train(docs.unionByName(blank), labels.unionByName(blank.selectExpr("doc_id", f"{q} as quality", "0 as toxic")), SMALL)
+        found = {r.score > 0.5 for r in quality.score(blank, model, SMALL).collect()}
+        assert found == {bool(q)}
+
+
+def test_repeated_words_are_seen_in_new_words(spark):
+    rng = generator(4)
+    texts = invented(rng, 300)
+    rows = [(i, " ".join(w for x in t.split() for w in [x] * 4) if i % 2 else t, i % 2) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = quality.train(docs, spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"), SMALL)
+    new = [b"zzz zzz zzz zzz yyy yyy yyy yyy", b"zzz yyy xxx www vvv uuu ttt sss"]
+    a, b = quality.Scorer(model, SMALL).score(new)
+    assert a > 0.5 > b
 
 
 def test_odd_rows_and_empty_tables(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (77, 1), (6, 0), (6, 0)], "doc_id long, quality int")
     odds = quality.train(docs, labels, SMALL)
-    rows = quality.score(docs.drop("score"), odds, SMALL, keep=("doc_id", "text", "bucket")).collect()
-    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
-    assert {r.score for r in rows if r.doc_id in (3, 4, 5)} == {0.5}
+    rows = quality.score(docs, odds, SMALL, keep=tuple(docs.columns), name="own").collect()
+    assert len(rows) == docs.count() and all(0 <= r.own <= 1 for r in rows)
+    assert len({r.own for r in rows if r.doc_id in (3, 4, 5)}) == 1
+    with pytest.raises(ValueError):
+        quality.score(docs, odds, SMALL, keep=tuple(docs.columns))
     assert quality.score(no_documents(spark), odds, SMALL).count() == 0
     none = quality.train(no_documents(spark), labels.limit(0), SMALL)
     assert {r.score for r in quality.score(docs, none, SMALL).collect()} == {0.5}
