@@ -65,10 +65,37 @@ def test_null_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, [1.0, 2.0], 0, 1, 2), (1, [1.0, 2.0], 0, 1, 2), (1, [1.0, 2.0], 0, 1, 2)], KIND)
     got = sorted(tuple(r) for r in vectors.near_duplicates(df).where("vec_id is not null").collect())
     assert got == [(1, 1, 1, True)] * 2
+    assert tuple(vectors.near_duplicates(df).where("vec_id is null").first()) == (None, 0, None, True)
     assert vectors.near_duplicates(df).where("vec_id is null").first().n_links == 0
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_with_other_vectors_are_rows_of_their_own(spark):
+    """Brute force over rows: 1 stands twice, with orthogonal vectors; 2 is near the first, 3 near the second."""
+    rng = generator(5)
+    x, y = np.eye(16)[0], np.eye(16)[1]
+    rows = [(1, x), (1, y), (2, near(rng, x, 0.99)), (3, near(rng, y, 0.99)), (3, near(rng, y, 0.999)), (0, near(rng, x, 0.985)), (7, np.eye(16)[5])]
+    rows = [(i, [float(z) for z in np.float32(v)], 0) for i, v in rows]
+    df = spark.createDataFrame([(i, v, lab, 1, 2) for i, v, lab in rows], KIND)
+    got = sorted(tuple(r) for r in vectors.near_duplicates(df).collect())
+    renamed = plain([(k, v, lab) for k, (_, v, lab) in enumerate(rows)])
+    name = [i for i, *_ in rows]
+    least = {}
+    for k, (_, c, _) in renamed.items():
+        least[c] = min(least.get(c, name[k]), name[k])
+    assert got == sorted((name[k], n, least[c], name[k] == least[c]) for k, (n, c, _) in renamed.items())
+
+
+def test_groups_larger_than_a_tile(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "TILE", 16)
+    rng = generator(11)
+    rows = []
+    for c, n in enumerate((100, 40, 3, 1)):
+        x = rng.normal(size=24)
+        rows += [(1000 * c + i, [float(z) for z in np.float32(near(rng, x, float(rng.choice([0.999, 0.992, 0.99]))))], c % 2) for i in range(n)]
+    check(spark, rows + [(5000 + i, v, lab) for i, (_, v, lab) in enumerate(rows[:20])])
+
+
 def test_a_dense_group_keeps_all_links(spark):
     rng = generator(9)
     x = rng.normal(size=32)
