@@ -1,4 +1,4 @@
-"""Near copies by exact Jaccard likeness of word shingles: prefix filtering, so that no pair at the threshold is lost."""
+"""What SimHash near-dedup checks candidates with: shingle sets, their exact Jaccard likeness, and the pairs beyond its radius."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import connected_components, stage_table
+from readloom.llm.common import stage_table
 
 #: Seed of the shingles' XXH64.
 SEED = 42
@@ -34,13 +34,25 @@ def shingle_set(text: bytes | None, shingle: int = 5) -> np.ndarray:
     return np.unique(np.array(found, dtype=np.uint64).view(np.int64))
 
 
+def majority(h: np.ndarray) -> int:
+    """The 64-bit number whose bits are set in over half of ``h``."""
+    if not len(h):
+        return 0
+    ones = np.zeros(64, dtype=np.int64)
+    for lo in range(0, len(h), 65_280):  # a bit's count in a block of 255 rows fits a byte, and so sums fast
+        part = np.unpackbits(h[lo : lo + 65_280].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += part.sum(axis=0, dtype=np.int32)
+    bits = (2 * ones > len(h)).astype(np.uint8)
+    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+
+
 def lists(parts: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *parts])))
 
 
 def shingle_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """Rows (doc_id, cls, shingles): every text's shingle set, and a hash of the whole set."""
+    """Rows (doc_id, cls, fp, shingles): every text's shingle set, a hash of the whole set, and its SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -48,10 +60,11 @@ def shingle_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
                 part = b.slice(lo, 1024)
                 sets = [shingle_set(t.as_py(), shingle) for t in part.column(1).cast(pa.binary())]
                 own = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own), lists(sets)], names=["doc_id", "cls", "shingles"])
+                fps = np.array([majority(s.view(np.uint64)) for s in sets], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own), pa.array(fps), lists(sets)], names=["doc_id", "cls", "fp", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, cls long, shingles array<long>")
+    return texts.mapInArrow(run, "doc_id long, cls long, fp long, shingles array<long>")
 
 
 def frequency_levels(sets: DataFrame) -> np.ndarray:
@@ -112,42 +125,29 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where((p + q) * both >= p * (F.size("sa") + F.size("sb"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """Rows (doc_id, component_id): every row with the smallest doc_id that links reach.
-
-    Two texts link where the Jaccard likeness of their sets of ``shingle``-word shingles is LEAST or more; links are followed
-    to connected components. Rows with equal sets are one class, however many. First each class is compared with some few of
-    those that share a shingle of its prefix, the least by four orders of the classes; so a large group of near copies
-    is one component after few comparisons. Then all pairs that share such a shingle and are not in one component yet
-    are compared. Texts without words are all alike. A null doc_id is never a component's name unless all its rows are
-    null. An empty table gives an empty result. Only doc_id and text are read.
-    """
+def sizes_fit(a: str = "n_a", b: str = "n_b") -> Column:
+    """Sets of so different sizes that they cannot be near copies need no comparison."""
     p, q = LEAST
-    sets = stage_table(shingle_sets(docs, shingle), "shingles")
-    keys = stage_table(prefixes(sets).select("cls", "n", F.posexplode("prefix").alias("at", "key")), "prefixes")
-    sizes_fit = (F.col("n_a") * q >= F.col("n_b") * p) & (F.col("n_b") * q >= F.col("n_a") * p)
+    return (F.col(a) * q >= F.col(b) * p) & (F.col(b) * q >= F.col(a) * p)
+
+
+def prefix_stars(keys: DataFrame) -> DataFrame:
+    """Rows (a, b): each class of ``keys`` (cls, n, at, key) and the first one at each of its keys, by one of four orders."""
     turn = F.xxhash64("cls", F.pmod("key", F.lit(4)))
     stars = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct(turn.alias("turn"), "cls", "n")).alias("least")).where("rows > 1")
-    keys = stage_table(keys.join(stars, "key"), "shared-prefixes").select("key", "cls", "n", "at", F.col("least.cls").alias("to"), F.col("least.n").alias("n_to"))
-    near = keys.where("cls <> to").select(F.least("cls", "to").alias("a"), F.greatest("cls", "to").alias("b"), F.col("n").alias("n_a"), F.col("n_to").alias("n_b"))
-    first = connected_components(verified(near.where(sizes_fit).select("a", "b").distinct(), sets), "a", "b")
+    met = keys.join(stars, "key").select("cls", F.col("n").alias("n_a"), F.col("least.cls").alias("to"), F.col("least.n").alias("n_b")).where("cls <> to")
+    return met.where(sizes_fit()).select(F.least("cls", "to").alias("a"), F.greatest("cls", "to").alias("b"))
 
-    named = keys.join(first.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", "at", F.coalesce("component", "cls").alias("part"))
+
+def prefix_pairs(keys: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (a, b): classes of ``keys`` that share a key and are in different components of ``parts`` (node, component)."""
+    p, q = LEAST
+    named = keys.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", "at", F.coalesce("component", "cls").alias("part"))
     named = stage_table(named, "named-prefixes")
     open_keys = named.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
     rest = stage_table(named.join(open_keys, "key", "left_semi"), "open-prefixes")
     a, b = (rest.select(F.col("key").alias(f"key_{x}"), F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("at").alias(f"at_{x}"), F.col("part").alias(f"part_{x}")) for x in "ab")
     # Where a pair first meets, the shingles still to come in either set must suffice for the threshold.
     enough = (p + q) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= p * (F.col("n_a") + F.col("n_b"))
-    meet = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & sizes_fit & enough
-    pairs = a.hint("merge").join(b, meet).select("a", "b").distinct()
-    second = verified(pairs, sets)
-
-    parts = first.withColumnRenamed("node", "cls")
-    of = lambda c: parts.select(F.col("cls").alias(c), F.col("component").alias(f"part_{c}"))
-    links = second.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"))
-    last = connected_components(links, "a", "b").select(F.col("node").alias("part"), F.col("component").alias("whole"))
-    classes = sets.groupBy("cls").agg(F.min("doc_id").alias("first"))
-    named = classes.join(parts, "cls", "left").withColumn("part", F.coalesce("component", "cls")).join(last, "part", "left").select("cls", "first", F.coalesce("whole", "part").alias("whole"))
-    least = named.groupBy("whole").agg(F.min("first").alias("component_id"))
-    return sets.select("doc_id", "cls").join(named.join(least, "whole").select("cls", "component_id"), "cls").select("doc_id", "component_id")
+    meet = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & sizes_fit() & enough
+    return a.hint("merge").join(b, meet).select("a", "b").distinct()

@@ -1,4 +1,4 @@
-"""SimHash near-dedup by ball hashing: fingerprints meet at variants within half the radius."""
+"""SimHash near-dedup by meet-in-the-middle ball hashing: fingerprints meet at variants within half the radius."""
 
 from __future__ import annotations
 
@@ -7,13 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import connected_components, stage_table
-
-#: Seed of the shingles' XXH64.
-SEED = 42
+from readloom.llm.likeness import SEED, majority, prefix_pairs, prefix_stars, prefixes, shingle_sets, verified
 
 
 def text_fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -27,13 +25,7 @@ def text_fingerprint(text: bytes | None, shingle: int = 3) -> int:
     ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
     starts = [0, *(e + 1 for e in ends[: len(words) - shingle])]
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :], strict=True)], dtype="<u8")
-    ones = np.zeros(64, dtype=np.int64)
-    for lo in range(0, len(h), 65_280):  # a bit's count in a block of 255 rows fits a byte, and so sums fast
-        part = np.unpackbits(h[lo : lo + 65_280].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += part.sum(axis=0, dtype=np.int32)
-    bits = (2 * ones > len(h)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    return majority(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :], strict=True)], dtype="<u8"))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -68,28 +60,45 @@ def variants(parts: int = 3) -> list[tuple[int, int, int]]:
     return out
 
 
-def linked_pairs(classes: DataFrame, radius: int = 3) -> DataFrame:
-    """Rows (a, b), a < b: distinct fingerprints ``fp`` of ``classes`` that differ in at most ``radius`` (3 or less) bits.
+def meetings(classes: DataFrame, radius: int = 3) -> DataFrame:
+    """Rows (variant, fp, head): the distinct ``fp`` of ``classes`` at each variant where two or more meet, ``head`` being the least.
 
-    The shuffle key is a hash of part and variant; a chance collision fails the exact check. Of the ways in which a pair
-    meets under one part, the join keeps one: ``a`` flips the higher bit, or none is flipped. So each part yields a pair
-    once at most, and nothing but verified pairs leaves the join, which Spark splits where a variant is frequent.
+    The shuffle key is a hash of part and variant; a chance collision fails the exact check that follows.
     """
     if not 0 <= radius <= 3:
         raise ValueError("the variants reach pairs at distance 3 and less")
-    ways = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(k).alias("keep"), F.lit(f).alias("flip"), F.lit(i).alias("way")) for i, (p, k, f) in enumerate(variants())])
-    spread = classes.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    emitted = spread.select("fp", F.explode(ways).alias("w")).select(
-        "fp", F.col("w.way").alias("way"), (F.col("w.flip") == 0).alias("plain"),
-        F.xxhash64("w.part", F.col("fp").bitwiseAND(F.col("w.keep")).bitwiseXOR(F.col("w.flip"))).alias("variant"),
-    )
-    a = emitted.select("variant", F.col("fp").alias("a"), F.col("way").alias("way_a"), F.col("plain").alias("plain_a"))
-    b = emitted.select("variant", F.col("fp").alias("b"), F.col("way").alias("way_b"), F.col("plain").alias("plain_b"))
-    near = (F.col("a") < F.col("b")) & ((F.col("way_a") > F.col("way_b")) | (F.col("plain_a") & F.col("plain_b")))
-    near &= F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    meet = F.col("variant") == F.col("variant_b")
-    # Both sides are many times the size that Spark expects of them: never a broadcast.
-    return a.hint("merge").join(b.withColumnRenamed("variant", "variant_b"), meet & near).select("a", "b").distinct()
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(k).alias("keep"), F.lit(f).alias("flip")) for p, k, f in variants()])
+    emitted = classes.repartition(parts, "fp").select("fp", F.explode(ways).alias("w"))
+    emitted = emitted.select("fp", F.xxhash64("w.part", F.col("fp").bitwiseAND(F.col("w.keep")).bitwiseXOR(F.col("w.flip"))).alias("variant"))
+    emitted = emitted.repartition(parts, "variant")  # the groups and their members come out of one shuffle
+    heads = emitted.groupBy("variant").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).where("head <> last").drop("last")
+    # The members are many times the size that Spark expects of them: never a broadcast.
+    return stage_table(emitted.hint("merge").join(heads, "variant").select("variant", "fp", "head"), "meetings")
+
+
+def apart(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
+def components(classes: DataFrame, radius: int = 3) -> DataFrame:
+    """Rows (node, component): fingerprints ``fp`` of ``classes`` linked by others within ``radius`` (3 or less) bits, as ``connected_components``.
+
+    First each fingerprint is compared with the head of each group that it meets others in, so a dense group becomes one
+    component by one link per row. Then pairs are compared only where a group still holds two components, and of all
+    links between two components one goes on. No link is lost: two fingerprints within the radius meet somewhere.
+    """
+    met = meetings(classes, radius)
+    links = met.where((F.col("fp") != F.col("head")) & (apart("fp", "head") <= radius)).select(F.col("fp").alias("a"), F.col("head").alias("b")).distinct()
+    first = connected_components(links, "a", "b")
+    named = met.join(first.withColumnRenamed("node", "fp"), "fp", "left").select("variant", "fp", F.coalesce("component", "fp").alias("part"))
+    named = stage_table(named, "named-meetings")
+    open_groups = named.groupBy("variant").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("variant")
+    rest = stage_table(named.join(open_groups, "variant", "left_semi"), "open-meetings")
+    a, b = (rest.select(F.col("variant").alias(f"variant_{x}"), F.col("fp").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
+    near = (F.col("variant_a") == F.col("variant_b")) & (F.col("part_a") < F.col("part_b")) & (apart("a", "b") <= radius)
+    between = a.hint("merge").join(b, near).select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).distinct()
+    return connected_components(stage_table(between, "links").unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -102,7 +111,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     """
     rows = stage_table(fingerprints(docs, shingle), "simhash")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    star = connected_components(linked_pairs(classes.select("fp"), radius), "a", "b")
+    star = components(classes.select("fp"), radius)
     named = classes.join(star.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     return rows.join(named.join(least, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def ball_candidates(classes: DataFrame, radius: int = 3) -> DataFrame:
+    """Rows (a, b): classes ``cls`` of equal or near fingerprints ``fp``, one per class and per meeting at most."""
+    heads = classes.groupBy("fp").agg(F.min("cls").alias("first"))
+    equal = classes.join(heads, "fp").where("cls <> first").select(F.col("cls").alias("a"), F.col("first").alias("b"))
+    met = meetings(heads.select("fp"), radius).where((F.col("fp") != F.col("head")) & (apart("fp", "head") <= radius)).select("fp", "head").distinct()
+    near = met.join(heads.select("fp", F.col("first").alias("a")), "fp").join(heads.select(F.col("fp").alias("head"), F.col("first").alias("b")), "head")
+    return equal.unionByName(near.select("a", "b"))
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, radius: int = 3) -> DataFrame:
+    """Rows (doc_id, component_id): every row with the smallest doc_id that links reach.
+
+    Two texts link where the Jaccard likeness of their sets of ``shingle``-word shingles is ``LEAST`` or more, computed
+    from the whole sets; links are followed to connected components. Rows with equal sets are one class, however many.
+
+    Candidates come from the fingerprints' balls: classes of equal SimHash, and those that meet within ``radius`` bits. At
+    the threshold two texts differ in some ten of 64 bits, and no ball of variants reaches that far. So the pairs out of
+    reach come from shingles that both texts have among their rarest, which no pair at the threshold lacks. There, too,
+    each class is first compared with some few others, the least by four orders of the classes; then all pairs that
+    share such a shingle and are not in one component yet.
+
+    Texts without words are all alike. A null doc_id is never a component's name unless all its rows are null. An empty
+    table gives an empty result. Only doc_id and text are read.
+    """
+    sets = stage_table(shingle_sets(docs, shingle), "shingles")
+    keys = stage_table(prefixes(sets).select("cls", "n", F.posexplode("prefix").alias("at", "key")), "prefixes")
+    stars = ball_candidates(sets.groupBy("cls").agg(F.min("fp").alias("fp")), radius).unionByName(prefix_stars(keys)).distinct()
+    first = connected_components(verified(stars, sets), "a", "b")
+    last = connected_components(verified(prefix_pairs(keys, first), sets).unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
+    named = sets.groupBy("cls").agg(F.min("doc_id").alias("first")).join(last.withColumnRenamed("node", "cls"), "cls", "left").withColumn("whole", F.coalesce("component", "cls"))
+    least = named.groupBy("whole").agg(F.min("first").alias("component_id"))
+    return sets.select("doc_id", "cls").join(named.join(least, "whole").select("cls", "component_id"), "cls").select("doc_id", "component_id")

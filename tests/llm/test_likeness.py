@@ -1,5 +1,5 @@
 import corpus_pipeline
-from readloom.llm import jaccard
+from readloom.llm import simhash
 from tests.llm.fixtures import generator, invented, no_documents, odd_documents
 
 
@@ -51,7 +51,7 @@ def rows_of(rng):
 
 def test_components_equal_brute_force(spark):
     rows = rows_of(generator(11))
-    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     want = plain_components(rows)
     assert sorted(tuple(r) for r in got) == sorted(want)
     assert len({c for _, c in want}) < len(want)
@@ -72,6 +72,6 @@ def test_the_stage_takes_out_copies_beyond_three_bits(spark):
 
 
 def test_odd_rows_and_empty_tables(spark):
-    got = jaccard.near_duplicates(odd_documents(spark)).collect()
+    got = simhash.near_copies(odd_documents(spark)).collect()
     assert len(got) == odd_documents(spark).count()
-    assert jaccard.near_duplicates(no_documents(spark)).count() == 0
+    assert simhash.near_copies(no_documents(spark)).count() == 0

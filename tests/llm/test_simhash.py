@@ -75,9 +75,24 @@ def test_every_distance_up_to_three_is_found(spark):
         for _ in range(120):
             fps.add(b ^ sum(1 << int(j) for j in rng.choice(63, rng.integers(1, 6), replace=False)))
     fps = sorted(fps)
-    want = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 3}
-    got = simhash.linked_pairs(spark.createDataFrame([(f,) for f in fps], "fp long"))
-    assert sorted((r.a, r.b) for r in got.collect()) == sorted(want)
+    classes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    at = {}
+    for r in simhash.meetings(classes).collect():
+        at.setdefault(r.fp, set()).add(r.variant)
+    near = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 3]
+    assert near and all(at[a] & at[b] for a, b in near)
+    want = {f: c for f, _, c in plain_components([(f, f) for f in fps])}
+    got = {r.node: r.component for r in simhash.components(classes).collect()}
+    assert {f: got.get(f, f) for f in fps} == want
+
+
+def test_a_dense_group_makes_rows_in_proportion(spark):
+    """All fingerprints within one bit of one, and some of two: their links would be nearly all pairs."""
+    fps = [0] + [1 << i for i in range(62)] + [3 << i for i in range(60)]
+    classes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    got = {r.node: r.component for r in simhash.components(classes).collect()}
+    assert {got.get(f, f) for f in fps} == {0}
+    assert simhash.meetings(classes).count() <= len(fps) * len(simhash.variants())
 
 
 def test_odd_rows_and_empty_tables(spark):
@@ -90,4 +105,4 @@ def test_odd_rows_and_empty_tables(spark):
 
 def test_radius_is_checked(spark):
     with pytest.raises(ValueError):
-        simhash.linked_pairs(spark.createDataFrame([(1,)], "fp long"), radius=4)
+        simhash.meetings(spark.createDataFrame([(1,)], "fp long"), radius=4)
