@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import jaccard, lines, mixing, pieces, quality
-from readloom.llm.common import documents, stage_table
+from readloom.llm import lines, mixing, pieces, quality, simhash
+from readloom.llm.common import documents, fresh, stage_table
 
 #: A document with a lower quality score goes.
 LEAST_QUALITY = 0.7
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts, unchanged. A text without words scores 0.5 and goes."""
-    odds = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, odds, keep=tuple(docs.columns))
-    return scored.where(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+    """Documents that the quality classifier accepts, unchanged."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    score = fresh("score", docs.columns)
+    scored = quality.score(docs, model, keep=tuple(docs.columns), name=score)
+    return scored.where(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,16 +31,18 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Near copies share four fifths of their five-word shingles or more; the contract of op9 binds that query alone.
     """
-    found = jaccard.near_duplicates(docs)
-    drop = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    found = simhash.near_copies(docs)
+    own = fresh("id", docs.columns)
+    drop = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(drop, F.col("doc_id") == F.col(own), "left_anti").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix's epochs reach it, whole; a source so exceeds its target by a part of one document at most."""
-    copies = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    own, times, nth = (fresh(name, docs.columns) for name in ("id", "times", "nth"))
+    copies = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias(own)).agg(F.max("copies").alias(times))
+    mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col(own)))
+    return mixed.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
