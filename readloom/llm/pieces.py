@@ -11,6 +11,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The mark that stands for a space.
 SPACE = "▁"
-#: Characters of distinct segments that are indexed at once, and the segment length from which a heap orders the merges.
-INDEXED, LONG = 400_000, 64
+#: Characters of distinct segments that are indexed at once, characters of the texts that they come from, and the
+#: segment length from which a heap orders the merges.
+INDEXED, READ, LONG = 1_000_000, 8_000_000, 64
 
 
 @dataclass
@@ -41,6 +43,8 @@ class Vocabulary:
         self.deepest = max([len(self.pieces[i]) for i in self.multi], default=1)
         chars = sorted({c for i in self.multi for c in self.pieces[i]})
         self.symbols = {c: k + 1 for k, c in enumerate(chars)}
+        if len(chars) + 1 >= 1 << 15:
+            raise ValueError("the longer pieces have too many characters for the index")
         self.bytes_at = {int(self.pieces[i][3:5], 16): i for i, k in enumerate(self.kinds) if k == "b"}
         # Characters in no longer piece always stand alone: segments end there, which makes them fewer.
         alone = "".join(c for c in "\t\n\x0b\x0c\r" if c not in self.symbols)
@@ -59,6 +63,15 @@ class Vocabulary:
         rows[np.arange(self.deepest)[None] >= length[:, None]] = 0xFFFF
         return low, as_keys(rows), length, np.array(self.multi), np.array([order[self.scores[i]] for i in self.multi], dtype=np.int64)
 
+    @cached_property
+    def by_point(self) -> tuple[np.ndarray, np.ndarray]:
+        """By code point: its symbol in the index (the last one if no longer piece has it), and its own piece or -1."""
+        symbol = np.full(0x110000, len(self.symbols) + 1, dtype=np.int64)
+        single = np.full(0x110000, -1, dtype=np.int64)
+        for table, known in ((symbol, self.symbols), (single, self.single)):
+            table[[ord(c) for c in known]] = list(known.values())
+        return symbol, single
+
     def segments(self, text: str) -> list[str]:
         """The text, spaces marked and one put in front, cut where no piece can span."""
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -90,16 +103,25 @@ def as_keys(rows: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Start positions in the order of the suffixes' first ``depth`` symbols, by doubling ranks."""
-    rank = symbols.astype(np.int64)
-    span = 1
-    while span < depth:
+    """Start positions in the order of the suffixes' first ``depth`` symbols, by doubling ranks.
+
+    Symbols are below 2**15, so the first ranks are those of four symbols in one number.
+    """
+    ahead = np.concatenate([symbols, np.zeros(3, dtype=symbols.dtype)]).astype(np.int64)
+    n = len(symbols)
+    key = (ahead[:n] << 45) | (ahead[1 : n + 1] << 30) | (ahead[2 : n + 2] << 15) | ahead[3:]
+    span = 4
+    while True:
+        order = np.argsort(key)
+        if span >= depth:
+            return order
+        found = key[order]
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.cumsum(np.concatenate([[1], found[1:] != found[:-1]]))
         far = np.zeros_like(rank)
         far[:-span] = rank[span:]
-        pair = rank * (far.max() + 1) + far
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
+        key = rank * (n + 1) + far
         span *= 2
-    return np.argsort(rank, kind="stable")
 
 
 def edges_of(symbols: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -112,7 +134,7 @@ def edges_of(symbols: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     n = last - first
     piece = np.repeat(np.arange(len(n)), n)
     start = order[np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
-    by_place = np.argsort(start, kind="stable")
+    by_place = np.argsort(start)
     start, piece = start[by_place], piece[by_place]
     return start, start + length[piece], ids[piece], rank[piece]
 
@@ -165,74 +187,83 @@ def relax_long(lo: int, hi: int, start: np.ndarray, end: np.ndarray, ids: np.nda
             heappush(offers, (x[0], before[s], s, e))
 
 
-def encode_segments(segments: list[str], vocabulary: Vocabulary) -> list[list[int]]:
-    """Ids of each segment. All segments are indexed as one text, with a symbol that no piece has between them."""
-    none = len(vocabulary.symbols) + 1
+def encode_segments(segments: list[str], vocabulary: Vocabulary) -> list[bytes]:
+    """Ids of each segment, as little-endian 32-bit numbers.
+
+    All segments are indexed as one text, with a symbol that no piece has between them.
+    """
     text = "\0".join(segments) + "\0"
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.array([len(s) + 1 for s in segments])
     heads = np.cumsum(sizes) - sizes
-    symbols = np.array([vocabulary.symbols.get(c, none) for c in text], dtype=np.int64)
+    symbol_of, single_of = vocabulary.by_point
+    symbols, token = symbol_of[points], single_of[points]
     symbols[heads + sizes - 1] = 0
     start, end, ids, rank = edges_of(symbols, vocabulary)
     owner = np.searchsorted(heads, start, "right") - 1
-    bound = np.ones(len(text) + 1, dtype=bool)
-    token = np.array([vocabulary.single.get(c, -1) for c in text], dtype=np.int64)
+    bound = np.ones(len(points) + 1, dtype=bool)
     long = sizes[owner] > LONG
     relax(*(x[~long] for x in (owner, start, end, ids, rank)), bound, token)
     for k in np.unique(owner[long]):
         a, b = np.searchsorted(owner, [k, k + 1])
         relax_long(int(heads[k]), int(heads[k] + sizes[k] - 1), start[a:b], end[a:b], ids[a:b], rank[a:b], bound, token)
     places = np.flatnonzero(bound[:-1] & (symbols != 0))
-    found = token[places].tolist()
-    cuts = np.searchsorted(places, np.concatenate([heads, [len(text)]])).tolist()
-    out = []
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        own = found[a:b]
-        if -1 in own:
-            own = [i for k, x in enumerate(own) for i in ([x] if x >= 0 else vocabulary.of_char(text[places[a + k]]))]
-        out.append(own)
+    found = token[places].astype("<i4")
+    raw = found.tobytes()
+    cuts = np.searchsorted(places, np.concatenate([heads, [len(points)]]))
+    out = [raw[a:b] for a, b in zip((4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist(), strict=True)]
+    # Characters without a piece of their own become bytes or the unknown piece.
+    for k in np.unique(np.searchsorted(cuts, np.flatnonzero(found < 0), "right") - 1):
+        own = [i for j in range(cuts[k], cuts[k + 1]) for i in ([found[j]] if found[j] >= 0 else vocabulary.of_char(text[places[j]]))]
+        out[k] = np.array(own, dtype="<i4").tobytes()
     return out
 
 
 class Encoder:
-    """Encodes texts batch by batch and keeps the ids of at most ``keep`` segments between batches."""
+    """Encodes texts in blocks; each block's distinct segments are indexed anew, and nothing is kept between blocks."""
 
-    def __init__(self, vocabulary: Vocabulary, keep: int = 1_000_000):
-        self.vocabulary, self.keep = vocabulary, keep
-        self.known: dict[str, bytes] = {}
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. A block ends where its distinct segments or its texts are long enough."""
         out: list[np.ndarray] = []
         block: list[list[str]] = []
-        new: dict[str, None] = {}
-        size = 0
+        own: set[str] = set()
+        read = size = 0
         for t in texts:
-            own = self.vocabulary.segments(t or "")
-            block.append(own)
-            for s in own:
-                if s not in self.known and s not in new:
-                    new[s] = None
-                    size += len(s) + 1
-            if size > INDEXED:
-                out += self._finish(block, list(new))
-                block, new, size = [], {}, 0
-        return out + self._finish(block, list(new))
-
-    def _finish(self, block: list[list[str]], new: list[str]) -> list[np.ndarray]:
-        if new:
-            for s, ids in zip(new, encode_segments(new, self.vocabulary), strict=True):
-                self.known[s] = np.array(ids, dtype="<i4").tobytes()
-        out = [np.frombuffer(b"".join(map(self.known.__getitem__, own)), dtype="<i4") for own in block]
-        if len(self.known) > self.keep:
-            self.known.clear()
-        return out
+            block.append(self.vocabulary.segments(t or ""))
+            new = set(block[-1]) - own
+            own |= new
+            read += len(t or "")
+            size += sum(map(len, new)) + len(new)
+            if size > INDEXED or read > READ:
+                out += self._finish(block, own)
+                block, own, read, size = [], set(), 0, 0
+        return out + self._finish(block, own)
+
+    def _finish(self, block: list[list[str]], own: set[str]) -> list[np.ndarray]:
+        names = list(own)
+        found = encode_segments(names, self.vocabulary) if names else []
+        ids = dict(zip(names, found, strict=True))
+        return [np.frombuffer(b"".join(map(ids.__getitem__, x)), dtype="<i4") for x in block]
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of some ``READ`` bytes of text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        before = sizes[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(sizes, before + READ, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, ids: bool = True) -> DataFrame:
     """Rows (doc_id, n_chars, n_tokens, ids_sha256, round_trip) and, if asked for, token_ids, for every row.
 
-    Each task cuts its texts into segments that no piece spans, builds a suffix array over the segments that are new to
-    it, finds every piece's range of occurrences by binary search, sorts the occurrences by position, and merges
+    Each task cuts a batch of texts into segments that no piece spans, builds a suffix array over its distinct segments, finds every piece's range of occurrences by binary search, sorts the occurrences by position, and merges
     neighbours by rank until no occurrence joins two. Ids equal those of the SentencePiece library for the model.
     ``ids_sha256`` is of the ids as little-endian 32-bit numbers; ``round_trip`` tells whether decoding them gives the
     text, which holds unless the text has the space mark itself. Whole texts are encoded, of any length. A null text
@@ -243,8 +274,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, ids: bool = True) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(*model.value))
         for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
+            for part in slices(b):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 found = encoder.encode(texts)
                 columns = {

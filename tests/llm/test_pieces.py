@@ -24,12 +24,13 @@ def library():
     return sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
 
 
-def test_ids_equal_the_library(vocabulary, library):
+def test_ids_equal_the_library(vocabulary, library, monkeypatch):
     rng = generator(5)
     mixed = ["".join(rng.choice(list("aeiou tnrsl\n▁é_=.,日"), rng.integers(1, 200))) for _ in range(400)]
     texts = ODD + invented(rng, 100) + mixed
-    for keep in (50, 10**6):
-        encoder = pieces.Encoder(vocabulary, keep=keep)
+    for indexed in (50, 10**6):  # blocks of few segments, and of all
+        monkeypatch.setattr(pieces, "INDEXED", indexed)
+        encoder = pieces.Encoder(vocabulary)
         for lo in range(0, len(texts), 100):
             part = texts[lo : lo + 100]
             for t, got, want in zip(part, encoder.encode(part), library.encode(part), strict=True):
