@@ -119,27 +119,41 @@ def hexed(signature: np.ndarray) -> str:
 def spread_by_id(docs: DataFrame) -> DataFrame:
     """Rows (bucket, extra, doc_id, text) so that each bucket holds a run of the descending order and what follows it.
 
-    Quantiles of doc_id cut the order into one bucket per shuffle partition, so that texts move once and no bucket is
-    large. Each bucket also gets, as ``extra``, the row that follows its last one: the first of the next bucket that has
-    rows, and for the last bucket the first of all. Only cut points and one doc_id per bucket pass the driver.
+    The order is by doc_id, then a hash of the text. Quantiles of doc_id cut it into some one bucket per shuffle
+    partition, so that texts move once and no bucket is large; a doc_id that several quantiles fall on, such as null
+    in a table with few ids, is cut further by the hash. Each bucket also gets, as ``extra``, the row that follows its
+    last one: the first of the next bucket that has rows, and for the last bucket the first of all. Only cut points and
+    the head of each bucket pass the driver.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("key"), "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    cuts = rows.agg(F.percentile_approx(F.col("key").cast("double"), [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) < 3:
-        splits = [-float("inf"), 0.0, float("inf")]
-    numbered = rows.withColumn("key_d", F.col("key").cast("double"))
-    numbered = Bucketizer(splits=splits, inputCol="key_d", outputCol="bucket_d").transform(numbered).withColumn("bucket", F.col("bucket_d").cast("int"))
-    heads = sorted((r.bucket, r.head) for r in numbered.groupBy("bucket").agg(F.max("key").alias("head")).collect())
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("key"), F.xxhash64(text).alias("turn"), "doc_id", text.alias("text"))
+    cuts = Counter(rows.agg(F.percentile_approx(F.col("key").cast("double"), [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or [0.0])
+    # Ranges of keys from ``low`` on, and how many buckets each is cut into; a frequent key is a range of its own.
+    pieces = {-float("inf"): 1}
+    for cut, times in sorted(cuts.items()):
+        pieces[cut] = times
+        if times > 1:
+            pieces.setdefault(float(np.nextafter(cut, np.inf)), 1)
+    pieces |= {cut: times for cut, times in cuts.items()}
+    low = sorted(pieces)
+    first = np.cumsum([0, *(pieces[x] for x in low)]).tolist()
+    ranges = Bucketizer(splits=[*low, float("inf")], inputCol="key_d", outputCol="range_d")
+    numbered = ranges.transform(rows.withColumn("key_d", F.col("key").cast("double"))).withColumn("range", F.col("range_d").cast("int"))
+    of = lambda values: F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("range") + 1)
+    share = F.col("turn").cast("double") / 2.0**64 + 0.5
+    inner = F.least(F.floor(share * of(pieces[x] for x in low)), of(pieces[x] for x in low) - 1).cast("int")
+    numbered = numbered.withColumn("bucket", of(first[:-1]) + inner)
+    heads = sorted((r.bucket, r.head.key, r.head.turn) for r in numbered.groupBy("bucket").agg(F.max(F.struct("key", "turn")).alias("head")).collect())
     # A bucket's first row also goes to the bucket above it, the top bucket's to the lowest.
-    also = {head: heads[(i + 1) % len(heads)][0] for i, (_, head) in enumerate(heads)}
-    extra = spark.createDataFrame([(k, v, True) for k, v in also.items()], "key long, bucket int, extra boolean")
-    extra = numbered.drop("bucket").join(F.broadcast(extra), "key")  # one row per bucket
-    columns = ["bucket", "extra", "key", "doc_id", "text"]
+    also = [(key, turn, heads[(i + 1) % len(heads)][0], True) for i, (_, key, turn) in enumerate(heads)]
+    extra = spark.createDataFrame(also, "key long, turn long, bucket int, extra boolean")
+    extra = numbered.drop("bucket").join(F.broadcast(extra), ["key", "turn"])  # one row per bucket
+    extra = extra.groupBy("bucket", "extra", "key", "turn", "doc_id").agg(F.min("text").alias("text"))  # of equal heads one
+    columns = ["bucket", "extra", "key", "turn", "doc_id", "text"]
     both = numbered.withColumn("extra", F.lit(False)).select(*columns).unionByName(extra.select(*columns))
-    return both.repartitionById(len(splits) - 1, F.col("bucket")).sortWithinPartitions("bucket", "extra", F.desc("key"), F.desc(F.xxhash64("text")), "text")
+    return both.repartitionById(first[-1], F.col("bucket")).sortWithinPartitions("bucket", "extra", F.desc("key"), F.desc("turn"), "text")
 
 
 def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -12,10 +12,22 @@ from pyspark.sql import functions as F
 
 from readloom.llm.common import fold
 
-#: Letter classes: 0 is every non-letter, 1-26 are a-z, the rest is shared by all other letters by code point.
+#: Letter classes: 0 is every non-letter, 1-26 are a-z. All other letters have classes by script, shared by remainder
+#: within it: rows of first code point, first class and number of classes.
 CLASSES = 160
-#: Texts that are worked on at once, by characters.
-BLOCK = 400_000
+SCRIPTS = np.array(
+    [
+        [0x0000, 27, 40],  # Latin beyond a-z
+        [0x0370, 67, 40],  # Greek, Cyrillic
+        [0x0530, 107, 20],  # Armenian to the scripts of South Asia and beyond
+        [0x3040, 127, 12],  # Kana
+        [0x3100, 139, 13],  # Han
+        [0xAC00, 152, 8],  # Hangul
+        [0xD7B0, 139, 13],  # the rest, most of it Han
+    ]
+)
+#: Texts that are worked on at once, by characters and by number (a text takes 16 KB of counts).
+BLOCK, TEXTS = 400_000, 512
 
 
 #: Languages whose n-grams a task counts at once; the counts of a language are some 16 MB.
@@ -29,23 +41,28 @@ class Settings:
     seed: int = 5
 
 
+def letter_classes(points: np.ndarray) -> np.ndarray:
+    """Class of each code point, in lower case."""
+    low = [chr(cp).lower()[0] for cp in points.tolist()]
+    cp = np.array([ord(c) if c.isalpha() else 0 for c in low], dtype=np.int64)
+    start, first, size = SCRIPTS[np.searchsorted(SCRIPTS[:, 0], cp, "right") - 1].T
+    latin = (cp >= ord("a")) & (cp <= ord("z"))
+    return np.where(cp == 0, 0, np.where(latin, cp - 96, first + (cp - start) % size))
+
+
 def class_table() -> np.ndarray:
-    """Class of every code point below 0x2000 in lower case; letters above share classes by remainder."""
-    table = np.zeros(0x2000, dtype=np.int64)
-    for cp in range(0x2000):
-        c = chr(cp).lower()
-        if c[0].isalpha():
-            table[cp] = ord(c[0]) - 96 if "a" <= c[0] <= "z" else 27 + ord(c[0]) % (CLASSES - 27)
-    return table
+    """Classes of the code points below 0x2000; others are looked up as they come."""
+    return letter_classes(np.arange(0x2000))
 
 
 def classes_of(text: str, table: np.ndarray) -> np.ndarray:
     """The letter classes of a text, with one 0 around and between runs of letters."""
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     out = table[np.minimum(cp, len(table) - 1)]
-    for i in np.flatnonzero(cp >= len(table)):
-        c = chr(cp[i]).lower()[0]
-        out[i] = 27 + ord(c) % (CLASSES - 27) if c.isalpha() else 0
+    far = np.flatnonzero(cp >= len(table))
+    if len(far):
+        points, at = np.unique(cp[far], return_inverse=True)
+        out[far] = letter_classes(points)[at]
     out = np.concatenate([[0], out, [0]])
     return out[np.concatenate([[True], (out[1:] != 0) | (out[:-1] != 0)])]
 
@@ -169,7 +186,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], settings: Settin
             for x in b.column(1):
                 block.append(t := x.as_py())
                 size += len(t or "")
-                if size > BLOCK:
+                if size > BLOCK or len(block) == TEXTS:
                     found += predict_texts(block, names, unit, base, table, settings.n)
                     block, size = [], 0
             found += predict_texts(block, names, unit, base, table, settings.n)

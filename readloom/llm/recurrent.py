@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -25,9 +24,8 @@ class Settings:
 
     ``vocabulary`` words, by corpus count, are symbols of the network; all others share the symbol "other" and divide
     its probability by their own corpus counts. ``head`` bounds the counts that are broadcast; the rest is joined.
-    ``warm`` bounds the documents of the first, common fit. After it every task trains on all of its
-    documents; a ``share`` above 1 would leave it one in so many, chosen by a hash of their text. Word counts and all that is
-    derived from them cover every document.
+    ``warm`` documents of at most ``warm_chars`` characters are the first, common fit, on the driver. After it every
+    task trains on all of its documents. Word counts and all that is derived from them cover every document.
     """
 
     vocabulary: int = 2047
@@ -35,10 +33,10 @@ class Settings:
     classes: int = 32
     hidden: int = 16
     window: int = 16
-    lanes: int = 256
+    lanes: int = 1024
     warm: int = 300
+    warm_chars: int = 20_000
     warm_epochs: int = 3
-    share: int = 1
     rate: float = 0.12
     seed: int = 17
 
@@ -246,17 +244,30 @@ class Network:
             scale = np.float32(1 / max(1, use.sum()) ** 0.5)
             back = np.zeros_like(states)
             back[use] = dh
-            du, carry = np.zeros_like(self.p["u"]), np.zeros_like(h)
-            dx = np.zeros((hi - lo, y.shape[1], 3 * n), dtype=np.float32)
+            carry = np.zeros_like(h)
+            dx = np.empty((hi - lo, y.shape[1], 3 * n), dtype=np.float32)
+            inner = np.empty_like(dx)
             for t in range(hi - lo - 1, -1, -1):
                 before, z, reset, new, r = saved[t]
                 d = carry + back[t]
-                dn = d * (1 - z) * (1 - new * new)
-                dx[t] = np.concatenate([d * (before - new) * z * (1 - z), dn * r * reset * (1 - reset), dn], axis=1)
-                inner = dx[t].copy()
-                inner[:, 2 * n :] *= reset
-                du += before.T @ inner
-                carry = (d * z + inner @ self.p["u"].T) * ~begin[lo + t][:, None]
+                rest = 1 - z
+                dn = d * rest
+                dn *= 1 - new * new
+                g, own = dx[t], inner[t]
+                rest *= z
+                rest *= before - new
+                np.multiply(d, rest, out=g[:, :n])
+                r = r * dn
+                r *= reset
+                np.multiply(r, 1 - reset, out=g[:, n : 2 * n])
+                g[:, 2 * n :] = dn
+                own[:, : 2 * n] = g[:, : 2 * n]
+                np.multiply(dn, reset, out=own[:, 2 * n :])
+                d *= z
+                d += own @ self.p["u"].T
+                d *= ~begin[lo + t][:, None]
+                carry = d
+            du = np.stack([s[0] for s in saved]).reshape(-1, n).T @ inner.reshape(-1, 3 * n)
             rows = np.maximum(x[lo:hi], 0).ravel()
             flat = dx.reshape(-1, 3 * n)
             order = np.argsort(rows, kind="stable")
@@ -276,8 +287,8 @@ class Network:
         """Natural log probability of each whole text; its state runs from its first symbol to its END."""
         out = np.zeros(len(texts))
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        for lo in range(0, len(order), 1024):
-            part = order[lo : lo + 1024]
+        for lo in range(0, len(order), 2048):
+            part = order[lo : lo + 2048]
             size = np.array([len(texts[i]) for i in part])
             end = texts[part[0]][-1] if len(texts[part[0]]) else 0
             h = np.zeros((len(part), self.s.hidden), dtype=np.float32)
@@ -384,8 +395,9 @@ def training(docs: DataFrame, held: int = 1) -> DataFrame:
 def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -> Model:
     """The model of the training documents ``docs`` with word counts ``counts``.
 
-    A first fit on at most ``warm`` documents gives all tasks one start. Each task then passes once over its own
-    documents, all of them unless ``share`` is above 1, and the parameters are averaged, weighted by tokens, in a shuffle by blocks of parameters.
+    A first fit on at most ``warm`` documents gives all tasks one start. Each task then passes once over all of its own
+    documents, and the parameters are averaged, weighted by tokens, in a shuffle by blocks of parameters. So the model,
+    and with it ``score``, depends on how the table is partitioned; word counts and base scores do not.
     """
     spark = docs.sparkSession
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -405,7 +417,8 @@ def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -
     # The documents are the ends counted; a share of the hashes gives some twice as many as are wanted, from all tasks together.
     ends = next((r.c for r in top if r.word == END), total.n)
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 30))
-    warm = texts.where(drawn <= min(1 << 30, (2 * settings.warm << 30) // max(1, ends))).orderBy(drawn, "doc_id", F.xxhash64("text")).limit(settings.warm).collect()
+    short = F.coalesce(F.char_length("text"), F.lit(0)) <= settings.warm_chars
+    warm = texts.where(short & (drawn <= min(1 << 30, (2 * settings.warm << 30) // max(1, ends)))).orderBy(drawn, "doc_id", F.xxhash64("text")).limit(settings.warm).collect()
     net = model.network()
     for _ in range(settings.warm_epochs):
         net.train([model.symbols(model.places((r.text or "").encode())[1]) for r in warm])
@@ -419,10 +432,8 @@ def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -
         own = m.network()
         seen = 0
         for b in batches:
-            column = b.column(0).cast(pa.binary())
-            texts = [t for x in column if crc32(t := x.as_py() or b"") % m.settings.share == 0]
-            seen += own.train([m.symbols(m.places(t)[1]) for t in texts])
-        if seen:  # a task without chosen documents has no say
+            seen += own.train([m.symbols(m.places(x.as_py())[1]) for x in b.column(0).cast(pa.binary())])
+        if seen:  # a task without documents has no say
             flat = np.concatenate([own.p[k].ravel() for k in shapes])
             parts = [flat[lo : lo + block].tobytes() for lo in range(0, len(flat), block)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([float(seen)] * len(parts)), pa.array(parts, pa.binary())], names=["block", "weight", "p"])

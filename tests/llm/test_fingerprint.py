@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from readloom.llm import fingerprint
 from tests.llm.fixtures import generator, invented, no_documents, odd_documents
@@ -35,6 +36,16 @@ def test_rows_equal_the_plain_definition(spark):
     assert len(got) == len(rows)
 
 
+def test_a_frequent_id_is_cut_by_the_texts_hash(spark):
+    texts = [f"{t} {i}" for i, t in enumerate(invented(generator(12), 200))]
+    docs = spark.createDataFrame([(None if i % 2 else i // 50, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    spread = fingerprint.spread_by_id(docs).where("not extra")
+    assert spread.where("doc_id is null").select("bucket").distinct().count() >= 2
+    order = docs.withColumn("turn", F.xxhash64("text")).orderBy(F.desc_nulls_last("doc_id"), F.desc("turn")).collect()
+    want = sorted(hashlib.sha256(fingerprint.edited(r.text, order[(i + 1) % len(order)].text).encode()).hexdigest() for i, r in enumerate(order))
+    assert sorted(r.edited_sha256 for r in fingerprint.fingerprints(docs).collect()) == want
+
+
 def test_the_cache_changes_nothing():
     texts = invented(generator(3), 30)
     small, large = (fingerprint.Sampler(fingerprint.Settings(cached=n)) for n in (40, 10**6))
