@@ -15,9 +15,9 @@ from readloom.llm.common import connected_components, stage_table
 #: Dimensions of a block, and how many of them the grid cuts into cells.
 BLOCK, GRID = 8, 3
 #: Signs of random projections that make a bucket of the first links, and how many sets of them are tried.
-SIGNS, SETS = 24, 8
+SIGNS, SETS = 20, 16
 #: Classes of a component that are compared at once when links are counted.
-TILE = 1024
+TILE = 256
 #: Room for rounding in the block budgets; verification is exact.
 SLACK = 1e-5
 
