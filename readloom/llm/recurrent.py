@@ -24,7 +24,7 @@ class Settings:
 
     ``vocabulary`` words, by corpus count, are symbols of the network; all others share the symbol "other" and divide
     its probability by their own corpus counts. ``head`` bounds the counts that are broadcast; the rest is joined.
-    ``warm`` documents of at most ``warm_chars`` characters are the first, common fit, on the driver. After it every
+    ``warm`` documents of at most ``warm_tokens`` tokens are the first, common fit, on the driver. After it every
     task trains on all of its documents. Word counts and all that is derived from them cover every document.
     """
 
@@ -35,7 +35,7 @@ class Settings:
     window: int = 16
     lanes: int = 1024
     warm: int = 300
-    warm_chars: int = 20_000
+    warm_tokens: int = 4_000
     warm_epochs: int = 3
     rate: float = 0.12
     seed: int = 17
@@ -95,6 +95,19 @@ def layout_of(words: list[str], counts: list[int], others: int, s: Settings) ->
     return Layout(words, edges.astype(np.int64))
 
 
+def exponentials(z: np.ndarray, bias: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the logits ``z + bias`` their exponentials, the ``picked`` one of each row, and the rows' sums. Overwrites ``z``.
+
+    Logits stay far below the 88 at which single precision overflows: states lie in -1..1 and biases are logs of counts.
+    """
+    z += bias
+    np.minimum(z, 80, out=z)
+    own = z[np.arange(len(z)), picked]
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], dtype=np.float32)
+    return z, own, np.maximum(total, np.float32(1e-37))
+
+
 class Network:
     """Gated recurrent network. A symbol's probability is its class's times its own within the class."""
 
@@ -137,23 +150,18 @@ class Network:
         grads: dict = {}
         for lo in range(0, len(y), 2048):  # blocks that stay in the processor's cache
             part, own = h[lo : lo + 2048], cls[lo : lo + 2048]
-            z = part @ self.p["c"]
-            z += self.p["cb"]
-            z -= z.max(axis=1, keepdims=True)
-            every = np.arange(len(own))
-            logp[lo : lo + 2048] = z[every, own]
-            e = np.exp(z, out=z)
-            total = e.sum(axis=1, keepdims=True)
-            logp[lo : lo + 2048] -= np.log(total[:, 0])
+            e, picked, total = exponentials(part @ self.p["c"], self.p["cb"], own)
+            logp[lo : lo + 2048] = picked - np.log(total)
             if learn:
-                e /= total
+                every = np.arange(len(own))
+                e /= total[:, None]
                 e[every, own] -= 1
                 grads["c"] = grads.get("c", 0) + part.T @ e
                 grads["cb"] = grads.get("cb", 0) + e.sum(axis=0)
                 dh[lo : lo + 2048] = e @ self.p["c"].T
         if learn:
             grads["w"], grads["wb"], grads["rows"] = [], [], []
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.uint16), kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(len(self.edges)))
         for k in np.flatnonzero(np.diff(cuts)):
             lo, hi = self.edges[k], self.edges[k + 1]
@@ -161,14 +169,11 @@ class Network:
                 continue
             at = order[cuts[k] : cuts[k + 1]]
             own = h[at]
-            z = own @ self.p["w"][lo:hi].T + self.p["wb"][lo:hi]
-            z -= z.max(axis=1, keepdims=True)
-            e = np.exp(z)
-            total = e.sum(axis=1, keepdims=True)
             t = y[at] - lo
-            logp[at] += z[np.arange(len(at)), t] - np.log(total[:, 0])
+            d, picked, total = exponentials(own @ self.p["w"][lo:hi].T, self.p["wb"][lo:hi], t)
+            logp[at] += picked - np.log(total)
             if learn:
-                d = e / total
+                d /= total[:, None]
                 d[np.arange(len(at)), t] -= 1
                 grads["w"].append(d.T @ own)
                 grads["wb"].append(d.sum(axis=0))
@@ -223,27 +228,31 @@ class Network:
                 begin[at, k] = True
                 at += len(part)
         h = np.zeros((count, n), dtype=np.float32)
+        live = np.arange(count)
+        whole = x, y, begin
         for lo in range(0, steps, self.s.window):
             hi = min(steps, lo + self.s.window)
-            live = np.flatnonzero(y[lo] >= 0)
-            if len(live) < y.shape[1]:
-                x, y, begin, h = x[:, live], y[:, live], begin[:, live], h[live]
-            saved = []
-            for t in range(lo, hi):
+            on = whole[1][lo, live] >= 0
+            if not on.all():
+                live, h = live[on], h[on]
+            x, y, begin = (z[lo:hi] if len(live) == count else z[lo:hi, live] for z in whole)
+            saved, states = [], []
+            for t in range(hi - lo):
                 h = h * ~begin[t][:, None]
                 now = self.step(np.maximum(x[t], 0), h)
                 saved.append((h, *now[:4]))
                 h = now[4]
-            states = np.stack([*(s[0] for s in saved[1:]), h])
-            # The next step's state was zeroed where a text begins: take what the step before made instead.
-            for t in range(hi - lo - 1):
-                z, _, new, _ = saved[t][1:]
-                states[t] = new + z * (saved[t][0] - new)
-            use = y[lo:hi] >= 0
-            _, dh, grads = self.output(states[use], y[lo:hi][use], learn=True)
+                states.append(h)
+            states = np.stack(states)
+            use = y >= 0
+            full = use.all()
+            _, dh, grads = self.output(states.reshape(-1, n) if full else states[use], y.ravel() if full else y[use], learn=True)
             scale = np.float32(1 / max(1, use.sum()) ** 0.5)
-            back = np.zeros_like(states)
-            back[use] = dh
+            if full:
+                back = dh.reshape(states.shape)
+            else:
+                back = np.zeros_like(states)
+                back[use] = dh
             carry = np.zeros_like(h)
             dx = np.empty((hi - lo, y.shape[1], 3 * n), dtype=np.float32)
             inner = np.empty_like(dx)
@@ -265,12 +274,12 @@ class Network:
                 np.multiply(dn, reset, out=own[:, 2 * n :])
                 d *= z
                 d += own @ self.p["u"].T
-                d *= ~begin[lo + t][:, None]
+                d *= ~begin[t][:, None]
                 carry = d
             du = np.stack([s[0] for s in saved]).reshape(-1, n).T @ inner.reshape(-1, 3 * n)
-            rows = np.maximum(x[lo:hi], 0).ravel()
+            rows = np.maximum(x, 0).ravel()
             flat = dx.reshape(-1, 3 * n)
-            order = np.argsort(rows, kind="stable")
+            order = np.argsort(rows.astype(np.uint16) if self.size <= 1 << 16 else rows, kind="stable")  # of 16 bits by radix
             seen, first = np.unique(rows[order], return_index=True)
             self.update("x", np.add.reduceat(flat[order], first, axis=0) * scale, seen)
             self.update("u", du * scale)
@@ -367,8 +376,16 @@ class Model:
         words.append(END.encode())
         return words, np.fromiter(map(self.head.__getitem__, words), np.int64, len(words))
 
+    @property
+    def kind(self) -> np.dtype:
+        """How symbols are stored."""
+        return np.dtype("<u2" if self.layout.size <= 1 << 16 else "<u4")
+
     def symbols(self, places: np.ndarray) -> np.ndarray:
-        return np.where((places >= 0) & (places < len(self.layout.words)), places, self.layout.other)
+        return np.where((places >= 0) & (places < len(self.layout.words)), places, self.layout.other).astype(self.kind)
+
+    def stored(self, column: pa.Array) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_buffer(), dtype=self.kind) for x in column]
 
 
 def frequent(counts: DataFrame, most: int) -> list:
@@ -392,14 +409,8 @@ def training(docs: DataFrame, held: int = 1) -> DataFrame:
     return docs.where(fold("doc_id", 5) != held)
 
 
-def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -> Model:
-    """The model of the training documents ``docs`` with word counts ``counts``.
-
-    A first fit on at most ``warm`` documents gives all tasks one start. Each task then passes once over all of its own
-    documents, and the parameters are averaged, weighted by tokens, in a shuffle by blocks of parameters. So the model,
-    and with it ``score``, depends on how the table is partitioned; word counts and base scores do not.
-    """
-    spark = docs.sparkSession
+def described(counts: DataFrame, settings: Settings = Settings()) -> Model:
+    """A model without parameters: what the word counts ``counts`` fix."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = frequent(counts, settings.head)
     words = [r.word for r in top[: settings.vocabulary]]
@@ -410,18 +421,65 @@ def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -
         words = [r.word for r in top[: settings.vocabulary]]
     numbers = np.array([r.c for r in top], dtype=np.int64)
     layout = layout_of(words, [r.c for r in top[: len(words)]], int(total.n) - int(numbers[: len(words)].sum()), settings)
-    model = Model(Head((r.word.encode(), i) for i, r in enumerate(top)), numbers, layout, settings, int(total.n), int(total.v))
-    if not top:
+    return Model(Head((r.word.encode(), i) for i, r in enumerate(top)), numbers, layout, settings, int(total.n), int(total.v))
+
+
+def tokenised(docs: DataFrame, model: Model) -> DataFrame:
+    """One stored row per row of ``docs``: its symbols, the sums that its frequent words make, and its rare words with their numbers."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        logs = np.log10(m.counts + 0.5)
+        n = len(m.layout.words)
+        for b in batches:
+            for lo in range(0, b.num_rows, 2048):
+                part = b.slice(lo, 2048)
+                rows, kept, words_of_all, times = [], [], [], []
+                for t in part.column(2).cast(pa.binary()).to_pylist():
+                    words, at = m.places(t)
+                    rare = Counter(map(words.__getitem__, np.flatnonzero(at < 0).tolist()))
+                    known = at[at >= 0]
+                    other = known[known >= n]
+                    rows.append((len(at), len(known), logs[known].sum(), logs[other].sum(), len(at) - len(known) + len(other), len(rare)))
+                    kept.append(m.symbols(at).tobytes())
+                    words_of_all += rare
+                    times += rare.values()
+                sums = np.array(rows).T
+                ends = pa.array(np.concatenate([[0], np.cumsum(sums[5])]).astype(np.int32))
+                columns = [pa.array(x if 1 < i < 4 else x.astype(np.int64)) for i, x in enumerate(sums[:5])]
+                columns += [pa.ListArray.from_arrays(ends, x) for x in (pa.array(words_of_all, pa.binary()).cast(pa.string()), pa.array(times, pa.int32()))]
+                columns.append(pa.array(kept, pa.binary()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=["row", "doc_id", "n_tokens", "known", "logs", "other_logs", "others", "words", "times", "symbols"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    kinds = "row long, doc_id long, n_tokens long, known long, logs double, other_logs double, others long, words array<string>, times array<int>, symbols binary"
+    return stage_table(rows.mapInArrow(run, kinds), "lm-rows")
+
+
+def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -> Model:
+    """The model of the training documents ``docs`` with word counts ``counts``."""
+    model = described(counts, settings)
+    return fitted(tokenised(docs, model), model)
+
+
+def fitted(rows: DataFrame, model: Model) -> Model:
+    """``model`` with parameters learned from the tokenised ``rows``.
+
+    A first fit on at most ``warm`` documents gives all tasks one start. Each task then passes once over all of its own
+    documents, and the parameters are averaged, weighted by tokens, in a shuffle by blocks of parameters. So the model,
+    and with it ``score``, depends on how the table is partitioned; word counts and base scores do not.
+    """
+    spark, settings = rows.sparkSession, model.settings
+    if not len(model.counts):
         return model
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    # The documents are the ends counted; a share of the hashes gives some twice as many as are wanted, from all tasks together.
-    ends = next((r.c for r in top if r.word == END), total.n)
+    # A share of the hashes gives some twice as many rows as are wanted, from all tasks together.
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 30))
-    short = F.coalesce(F.char_length("text"), F.lit(0)) <= settings.warm_chars
-    warm = texts.where(short & (drawn <= min(1 << 30, (2 * settings.warm << 30) // max(1, ends)))).orderBy(drawn, "doc_id", F.xxhash64("text")).limit(settings.warm).collect()
+    share = min(1 << 30, (2 * settings.warm << 30) // max(1, rows.count()))
+    warm = rows.where((F.col("n_tokens") <= settings.warm_tokens) & (drawn <= share)).orderBy(drawn, "doc_id", F.xxhash64("symbols")).select("symbols").limit(settings.warm).collect()
     net = model.network()
     for _ in range(settings.warm_epochs):
-        net.train([model.symbols(model.places((r.text or "").encode())[1]) for r in warm])
+        net.train([np.frombuffer(bytes(r.symbols), dtype=model.kind) for r in warm])
     model.parameters, model.gradients = net.p, net.g
     shared = spark.sparkContext.broadcast(model)
     shapes = {k: v.shape for k, v in net.p.items()}
@@ -432,7 +490,7 @@ def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -
         own = m.network()
         seen = 0
         for b in batches:
-            seen += own.train([m.symbols(m.places(x.as_py())[1]) for x in b.column(0).cast(pa.binary())])
+            seen += own.train(m.stored(b.column(0)))
         if seen:  # a task without documents has no say
             flat = np.concatenate([own.p[k].ravel() for k in shapes])
             parts = [flat[lo : lo + block].tobytes() for lo in range(0, len(flat), block)]
@@ -442,7 +500,7 @@ def learn(docs: DataFrame, counts: DataFrame, settings: Settings = Settings()) -
         total = sum(w * np.frombuffer(p, dtype=np.float32).astype(float) for w, p in zip(rows.weight, rows.p, strict=True))
         return pd.DataFrame({"block": rows.block[:1], "p": [(total / rows.weight.sum()).astype(np.float32).tobytes()]})
 
-    parts = texts.select("text").mapInArrow(run, "block int, weight double, p binary")
+    parts = rows.select("symbols").mapInArrow(run, "block int, weight double, p binary")
     found = parts.groupBy("block").applyInPandas(average, "block int, p binary").collect()  # one set of parameters
     if not found:
         return model
@@ -465,40 +523,31 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     words is broadcast. A null or empty text is its end alone. With no training tokens every base is 0. Rows that
     repeat are scored alike. Only doc_id and text are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return scored(tokenised(docs, model), model, counts)
+
+
+def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """``score`` of the tokenised ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         net = m.network()
-        logs = np.log10(m.counts + 0.5)
-        n = len(m.layout.words)
         for b in batches:
             for lo in range(0, b.num_rows, 8192):
                 part = b.slice(lo, 8192)
-                rows, texts = [], []
-                for t in part.column(2).cast(pa.binary()).to_pylist():
-                    words, at = m.places(t)
-                    far = np.flatnonzero(at < 0)
-                    rare = Counter(words[i] for i in far.tolist())
-                    known = at[at >= 0]
-                    rows.append((len(at), len(known), float(logs[known].sum()), float(logs[known[known >= n]].sum()), int((at < 0).sum() + (known >= n).sum()), list(rare), list(rare.values())))
-                    texts.append(m.symbols(at))
-                p = net.score(texts) / np.log(10)
-                lists = [pa.array([[x.decode() for x in r[5]] for r in rows], pa.list_(pa.string())), pa.array([r[6] for r in rows], pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array([r[i] for r in rows], k) for i, k in enumerate([pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()])), pa.array(p), *lists],
-                    names=["row", "doc_id", "n_tokens", "known", "logs", "other_logs", "others", "p", "words", "times"],
-                )
+                p = net.score(m.stored(part.column(n))) / np.log(10)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n)), pa.array(p)], names=[*names, "p"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kinds = "row long, doc_id long, n_tokens long, known long, logs double, other_logs double, others long, p double, words array<string>, times array<int>"
-    rows = stage_table(rows.mapInArrow(run, kinds), "lm-rows")
+    names = ["row", "doc_id", "n_tokens", "known", "logs", "other_logs", "others"]
+    n = len(names)
+    found = rows.select(*names, "symbols").mapInArrow(run, "row long, doc_id long, n_tokens long, known long, logs double, other_logs double, others long, p double")
     rare = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     rare = rare.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("rare_logs"))
     zero = F.lit(0)
     logs = F.coalesce("rare_logs", F.lit(0.0))
-    return rows.join(rare, "row", "left").select(
+    return found.join(rare, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("rare_known", zero)).cast("long").alias("n_known"),
@@ -509,6 +558,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, settings: Settings = Settings(), held: int = 1) -> DataFrame:
-    """Scores of all rows by a model of those whose fold is not ``held``."""
+    """Scores of all rows by a model of those whose fold is not ``held``. Texts are cut into tokens once for the counts and once for both passes."""
     counts = stage_table(word_counts(training(docs, held)), "word-counts")
-    return score(docs, learn(training(docs, held), counts, settings), counts)
+    model = described(counts, settings)
+    rows = tokenised(docs, model)
+    return scored(rows, fitted(training(rows, held), model), counts)
