@@ -17,6 +17,8 @@ from readloom.llm.common import stage_table
 SEED = 42
 #: Pairs link from a likeness of LEAST[0] / LEAST[1] on.
 LEAST = (4, 5)
+#: Classes in candidate pairs up to which their numbers are broadcast to the scan of the sets.
+FEW = 1_000_000
 #: Cells of the shingles' frequency sketch, and how many of them travel in one row.
 CELLS, BLOCK = 1 << 20, 1 << 15
 
@@ -119,6 +121,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     p, q = LEAST
     pairs = stage_table(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    if wanted.count() <= FEW:  # some 10 MB; else the sets are shuffled
+        wanted = F.broadcast(wanted)
     own = stage_table(sets.select("cls", "shingles").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "pair-sets")
     a, b = (own.select(F.col("cls").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
@@ -131,12 +135,21 @@ def sizes_fit(a: str = "n_a", b: str = "n_b") -> Column:
     return (F.col(a) * q >= F.col(b) * p) & (F.col(b) * q >= F.col(a) * p)
 
 
-def prefix_stars(keys: DataFrame) -> DataFrame:
-    """Rows (a, b): each class of ``keys`` (cls, n, at, key) and the first one at each of its keys, by one of four orders."""
+def shared_keys(found: DataFrame) -> DataFrame:
+    """Rows (key, cls, n, at, to, n_to): the prefix shingles of ``found`` that two classes or more share, with the least of those classes by one of four orders."""
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = found.select("cls", "n", F.posexplode("prefix").alias("at", "key")).repartition(parts, "key")  # groups and members come out of one shuffle
     turn = F.xxhash64("cls", F.pmod("key", F.lit(4)))
     stars = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct(turn.alias("turn"), "cls", "n")).alias("least")).where("rows > 1")
-    met = keys.join(stars, "key").select("cls", F.col("n").alias("n_a"), F.col("least.cls").alias("to"), F.col("least.n").alias("n_b")).where("cls <> to")
-    return met.where(sizes_fit()).select(F.least("cls", "to").alias("a"), F.greatest("cls", "to").alias("b"))
+    # Nearly all keys are one class's own, but the plan does not know: never a broadcast of the members.
+    met = keys.hint("merge").join(stars, "key")
+    return stage_table(met.select("key", "cls", "n", "at", F.col("least.cls").alias("to"), F.col("least.n").alias("n_to")), "shared-prefixes")
+
+
+def prefix_stars(keys: DataFrame) -> DataFrame:
+    """Rows (a, b): each class of ``keys`` and the one that each of its keys names."""
+    met = keys.where("cls <> to").where(sizes_fit("n", "n_to"))
+    return met.select(F.least("cls", "to").alias("a"), F.greatest("cls", "to").alias("b"))
 
 
 def prefix_pairs(keys: DataFrame, parts: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import connected_components, stage_table
-from readloom.llm.likeness import SEED, majority, prefix_pairs, prefix_stars, prefixes, shingle_sets, verified
+from readloom.llm.likeness import SEED, majority, prefix_pairs, prefix_stars, prefixes, shared_keys, shingle_sets, verified
 
 
 def text_fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -142,7 +142,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, radius: int = 3) -> DataFrame
     table gives an empty result. Only doc_id and text are read.
     """
     sets = stage_table(shingle_sets(docs, shingle), "shingles")
-    keys = stage_table(prefixes(sets).select("cls", "n", F.posexplode("prefix").alias("at", "key")), "prefixes")
+    keys = shared_keys(prefixes(sets))
     stars = ball_candidates(sets.groupBy("cls").agg(F.min("fp").alias("fp")), radius).unionByName(prefix_stars(keys)).distinct()
     first = connected_components(verified(stars, sets), "a", "b")
     last = connected_components(verified(prefix_pairs(keys, first), sets).unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
