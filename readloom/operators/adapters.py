@@ -74,7 +74,7 @@ def trim_adapters(reads: DataFrame, adapters: DataFrame, window: int = 150, mism
 def split_chimeras(reads: DataFrame, adapter: str) -> DataFrame:
     """Rows (sample, read_id, fragment_id, seq, qual): reads cut where they hold the adapter exactly; empty parts go."""
     n = len(adapter)
-    parts = F.split("seq", adapter, -1)
+    parts = F.split("seq", rf"\Q{adapter}\E", -1)  # the adapter as it is, not as a pattern
     rows = reads.withColumn("_parts", parts).select("sample", "read_id", "qual", "_parts", F.posexplode("_parts").alias("_i", "part"))
     ahead = F.aggregate(F.slice("_parts", F.lit(1), F.col("_i")), F.lit(0), lambda a, x: a + F.length(x) + n)
     return rows.where("part <> ''").select(

@@ -53,17 +53,17 @@ def coordinate_sort(alignments: DataFrame) -> DataFrame:
     return alignments.where(F.col("flag").bitwiseAND(4) == 0).withColumn("place", F.row_number().over(w))
 
 
-def overlap_pairs(reads: DataFrame, least: int = 3000, max_occ: int = 50, w: int = 10, k: int = 15, band: int = 500) -> DataFrame:
+def overlap_pairs(reads: DataFrame, least: int = 3000, w: int = 10, k: int = 15, band: int = 500) -> DataFrame:
     """Rows (sample, a, b, overlap), a < b: reads of a sample whose shared minimizers on one diagonal band span ``least`` bases.
 
-    Minimizers that more than ``max_occ`` reads of a sample have are repeats and are left out before the self-join; the
-    bound is an argument.
+    Every minimizer that two reads or more share counts, however many share it, so that deep samples lose no overlap;
+    those of one read leave before the self-join, whose frequent keys Spark splits.
     """
     m = minimizers(reads, ["sample", "read_id"], w, k)
-    frequent = m.groupBy("sample", "kmer").agg(F.count_distinct("read_id").alias("n"))
-    usable = m.join(frequent.where(F.col("n").between(2, max_occ)).drop("n"), ["sample", "kmer"])
+    shared = m.groupBy("sample", "kmer").agg(F.min("read_id").alias("low"), F.max("read_id").alias("high")).where("low <> high")
+    usable = m.join(shared.select("sample", "kmer"), ["sample", "kmer"])
     a = usable.select("sample", "kmer", F.col("read_id").alias("a"), F.col("pos").alias("pa"))
     b = usable.select("sample", "kmer", F.col("read_id").alias("b"), F.col("pos").alias("pb"))
-    shared = a.join(b, ["sample", "kmer"]).where("a < b")
-    spans = shared.groupBy("sample", "a", "b", F.floor((F.col("pa") - F.col("pb")) / band).alias("d")).agg(F.least(F.max("pa") - F.min("pa"), F.max("pb") - F.min("pb")).alias("span"))
+    met = a.join(b, ["sample", "kmer"]).where("a < b")
+    spans = met.groupBy("sample", "a", "b", F.floor((F.col("pa") - F.col("pb")) / band).alias("d")).agg(F.least(F.max("pa") - F.min("pa"), F.max("pb") - F.min("pb")).alias("span"))
     return spans.groupBy("sample", "a", "b").agg((F.max("span") + k).cast("long").alias("overlap")).where(F.col("overlap") >= least)

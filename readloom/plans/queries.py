@@ -274,7 +274,7 @@ def o1(spark, d):
 
 
 @query("j9_overlap_pairs", sql("genome_reads", f""", m AS ({sql_minimizers('genome_reads', 'sample, read_id')}),
-  f AS (SELECT sample, kmer FROM m GROUP BY ALL HAVING count(DISTINCT read_id) BETWEEN 2 AND 50), u AS (SELECT m.* FROM m JOIN f USING (sample, kmer)),
+  f AS (SELECT sample, kmer FROM m GROUP BY ALL HAVING count(DISTINCT read_id) >= 2), u AS (SELECT m.* FROM m JOIN f USING (sample, kmer)),
   s AS (SELECT a.sample, a.read_id AS a, b.read_id AS b, least(max(a.pos) - min(a.pos), max(b.pos) - min(b.pos)) AS span
     FROM u a JOIN u b ON a.sample = b.sample AND a.kmer = b.kmer AND a.read_id < b.read_id GROUP BY a.sample, a.read_id, b.read_id, floor((a.pos - b.pos) / 500))
   SELECT sample, a, b, (max(span) + 15)::BIGINT AS overlap FROM s GROUP BY ALL HAVING max(span) + 15 >= 200"""))

@@ -47,13 +47,13 @@ def list_assemblies(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(sample_name("path").alias("sample"), "path")
 
 
-def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Rows (path, line_no, value): 0-based line numbers of text files, gz or plain.
+def numbered_lines(spark: SparkSession, paths: str | list[str], name: str = "*") -> DataFrame:
+    """Rows (path, line_no, value): 0-based line numbers of text files, gz or plain, whose names match the glob ``name``.
 
     Ids that grow within a block of a file are taken straight after the scan and kept in a stage table; a block's first
     line number is the number of lines in the file's blocks before it. Only counts per block are added up in order.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(paths).select(
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(paths).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value"
     )
     lines = stage_table(lines, "lines")
@@ -81,8 +81,7 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_log_lines(spark: SparkSession, folder: str, name: str = "flye.log") -> DataFrame:
     """Rows (sample, line_no, line) of all logs of a name below a folder; the sample is the log's folder."""
-    files = list_files(spark, folder).where(F.element_at(F.split("path", "/"), -1) == name).select("path")
-    lines = numbered_lines(spark, folder).join(F.broadcast(files), "path", "left_semi")  # one row per sample's log
+    lines = numbered_lines(spark, folder, name)  # other files below the folder are not read
     return lines.select(F.element_at(F.split("path", "/"), -2).alias("sample"), "line_no", F.col("value").alias("line"))
 
 

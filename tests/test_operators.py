@@ -2,6 +2,7 @@
 
 import gzip
 import itertools
+import random
 
 import numpy as np
 import pytest
@@ -103,6 +104,17 @@ def test_hamming_baits_equal_brute_force_and_grow(spark):
     assert {r.read_id: r.n_kmers for r in km.bait_kmers(r, t, 16).collect()} == {r.read_id: r.n_kmers for r in km.bait_kmers_hamming(r, t, 16, 0).collect()}
 
 
+def test_overlaps_of_a_deep_sample_are_all_found(spark):
+    """Eighty reads over one place: every minimizer is in more than fifty of them."""
+    rng = random.Random(9)
+    ref = "".join(rng.choice("ACGT") for _ in range(760))
+    starts = [2 * i for i in range(80)]
+    found = mp.overlap_pairs(reads(spark, [("s", i, ref[x : x + 600]) for i, x in enumerate(starts)]), 300).collect()
+    assert {(r.a, r.b) for r in found} == {(a, b) for a in range(80) for b in range(a + 1, 80)}
+    assert all(r.overlap <= 600 - (starts[r.b] - starts[r.a]) for r in found)
+
+
+
 def test_mapping_finds_place_and_strand(spark):
     rng = np.random.default_rng(4)
     ref = sequence(rng, 5000)
