@@ -136,19 +136,21 @@ def sizes_fit(a: str = "n_a", b: str = "n_b") -> Column:
 
 
 def shared_keys(found: DataFrame) -> DataFrame:
-    """Rows (key, cls, n, at, to, n_to): the prefix shingles of ``found`` that two classes or more share, with the least of those classes by one of four orders."""
+    """Rows (key, cls, n, at, to, n_to, at_to): the prefix shingles of ``found`` that two classes or more share, with the least of those classes by one of four orders."""
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = found.select("cls", "n", F.posexplode("prefix").alias("at", "key")).repartition(parts, "key")  # groups and members come out of one shuffle
     turn = F.xxhash64("cls", F.pmod("key", F.lit(4)))
-    stars = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct(turn.alias("turn"), "cls", "n")).alias("least")).where("rows > 1")
+    stars = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct(turn.alias("turn"), "cls", "n", "at")).alias("least")).where("rows > 1")
     # Nearly all keys are one class's own, but the plan does not know: never a broadcast of the members.
     met = keys.hint("merge").join(stars, "key")
-    return stage_table(met.select("key", "cls", "n", "at", F.col("least.cls").alias("to"), F.col("least.n").alias("n_to")), "shared-prefixes")
+    return stage_table(met.select("key", "cls", "n", "at", F.col("least.cls").alias("to"), F.col("least.n").alias("n_to"), F.col("least.at").alias("at_to")), "shared-prefixes")
 
 
 def prefix_stars(keys: DataFrame) -> DataFrame:
-    """Rows (a, b): each class of ``keys`` and the one that each of its keys names."""
-    met = keys.where("cls <> to").where(sizes_fit("n", "n_to"))
+    """Rows (a, b): each class of ``keys`` and the one that each of its keys names, where the shingles still to come may suffice."""
+    p, q = LEAST
+    enough = (p + q) * F.least(F.col("n") - F.col("at"), F.col("n_to") - F.col("at_to")) >= p * (F.col("n") + F.col("n_to"))
+    met = keys.where("cls <> to").where(sizes_fit("n", "n_to") & enough)
     return met.select(F.least("cls", "to").alias("a"), F.greatest("cls", "to").alias("b"))
 
 
