@@ -53,77 +53,142 @@ def lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *parts])))
 
 
-def shingle_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """Rows (doc_id, cls, fp, shingles): every text's shingle set, a hash of the whole set, and its SimHash."""
+def parity(s: np.ndarray) -> bytes:
+    """One bit per cell, about one cell per shingle: set where an odd number of the set's hashes fall in the cell."""
+    cells = max(64, 1 << max(0, len(s) - 1).bit_length())
+    return np.packbits((np.bincount(s & (cells - 1), minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                sets = [shingle_set(t.as_py(), shingle) for t in part.column(1).cast(pa.binary())]
-                own = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
-                fps = np.array([majority(s.view(np.uint64)) for s in sets], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own), pa.array(fps), lists(sets)], names=["doc_id", "cls", "fp", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, cls long, fp long, shingles array<long>")
+def least_apart(a: bytes, b: bytes) -> int:
+    """A number of shingles by which two sets of these parities differ at least; the longer one is folded to the shorter's cells."""
+    if len(a) < len(b):
+        a, b = b, a
+    x, cells = int.from_bytes(a, "little"), 8 * len(a)
+    while cells > 8 * len(b):
+        cells //= 2
+        x = (x >> cells) ^ (x & ((1 << cells) - 1))
+    return (x ^ int.from_bytes(b, "little")).bit_count()
 
 
-def frequency_levels(sets: DataFrame) -> np.ndarray:
-    """Per cell of a sketch the power of two of the number of shingles that fall in it. Only the sketch reaches the driver."""
+def described(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """Rows (doc_id, text_key, cls, fp, n, parity) of every text: a hash of it, and of its shingle set a hash, SimHash, size and parity.
+
+    The same pass counts the shingles per cell of a sketch; each task adds its counts as rows (block, counts), all else null.
+    """
+    names = ["doc_id", "text_key", "cls", "fp", "n", "parity", "block", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, dtype=np.int64)
         for b in batches:
-            found = b.column(0).flatten().to_numpy(zero_copy_only=False)
-            cells += np.bincount(found & (CELLS - 1), minlength=CELLS)
-        parts = [cells[lo : lo + BLOCK].tobytes() for lo in range(0, CELLS, BLOCK)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["block", "n"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(n, dtype=np.int64) for n in rows.n)
-        return pd.DataFrame({"block": rows.block[:1], "n": [np.log2(total + 1).astype(np.uint8).tobytes()]})
-
-    found = sets.select("shingles").mapInArrow(run, "block int, n binary").groupBy("block").applyInPandas(add, "block int, n binary").collect()
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                sets = [shingle_set(t.as_py(), shingle) for t in part.column(2).cast(pa.binary())]
+                for s in sets:
+                    np.add.at(cells, s & (CELLS - 1), 1)
+                own = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
+                fps = np.array([majority(s.view(np.uint64)) for s in sets], dtype=np.uint64).view(np.int64)
+                found = [pa.array(own), pa.array(fps), pa.array([len(s) for s in sets], pa.int32()), pa.array([parity(s) for s in sets], pa.binary())]
+                none = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *found, *none], names=names)
+        parts = [c.astype(np.min_scalar_type(int(c.max()))) for c in cells.reshape(-1, BLOCK)]
+        none = [pa.nulls(len(parts), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())]
+        counts = pa.array([c.tobytes() for c in parts], pa.binary())
+        yield pa.RecordBatch.from_arrays([*none, pa.array(range(len(parts)), pa.int32()), counts], names=names)
+
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return texts.mapInArrow(run, "doc_id long, text_key long, cls long, fp long, n int, parity binary, block int, counts binary")
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """Rows (cls, first, text_key, fp, n, parity): the distinct shingle sets, each with its smallest doc_id and one of its texts."""
+    same = [F.first(c).alias(c) for c in ("fp", "n", "parity")]
+    return rows.where("block IS NULL").groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), *same)
+
+
+def frequency_levels(rows: DataFrame) -> np.ndarray:
+    """Per cell of the sketch the power of two of the number of shingles that fall in it. Only the sketch reaches the driver."""
+
+    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for rows in parts:
+            for block, n in zip(rows.block, rows.counts, strict=True):
+                found = np.frombuffer(n, dtype=f"<u{len(n) // BLOCK}").astype(np.int64)
+                total[block] = total[block] + found if block in total else found
+        yield pd.DataFrame({"block": list(total), "counts": [t.tobytes() for t in total.values()]})
+
+    kinds = "block int, counts binary"
+    counts = rows.where("block IS NOT NULL").select("block", "counts").mapInPandas(add, kinds)  # one row a block and task
     levels = np.zeros(CELLS, dtype=np.uint8)
-    for r in found:
-        levels[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(bytes(r.n), dtype=np.uint8)
+    for r in counts.repartition(CELLS // BLOCK, "block").mapInPandas(add, kinds).collect():
+        levels[r.block * BLOCK : (r.block + 1) * BLOCK] = np.log2(np.frombuffer(bytes(r.counts), dtype=np.int64) + 1)
     return levels
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
+def prefixes(docs: DataFrame, levels: np.ndarray, shingle: int = 5) -> DataFrame:
     """Rows (cls, n, prefix): one per distinct set, with the shingles of which a near copy shares one at least.
 
     Two sets at the threshold share so many shingles that, all being sorted by one order, the first n - ceil(n * least) + 1
     of each have one in common. That holds for any order; this one puts shingles of full sketch cells last, so that
     a passage that many texts share is in the prefix of none but its copies. The sketch decides what is compared in vain, not
-    what is found.
+    what is found. The sets are made from the texts again: stored, they would be twice the texts.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(frequency_levels(sets))
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
     p, q = LEAST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
         for b in batches:
-            parts, sizes = [], []
-            for x in b.column(1):
-                s = x.values.to_numpy(zero_copy_only=False)
+            own, sizes, parts = [], [], []
+            for t in b.column(0).cast(pa.binary()):
+                s = shingle_set(t.as_py(), shingle)
+                own.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
                 sizes.append(len(s))
-                order = np.argsort(levels[s & (CELLS - 1)], kind="stable")  # sets are sorted by hash within a level
+                order = np.argsort(shared.value[s & (CELLS - 1)], kind="stable")  # sets are sorted by hash within a level
                 parts.append(s[order[: len(s) - -(-len(s) * p // q) + 1]])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), lists(parts)], names=["cls", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(own, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists(parts)], names=["cls", "n", "prefix"])
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "cls long, n int, prefix array<long>").dropDuplicates(["cls"])
+
+
+def shingle_sets(texts: DataFrame, shingle: int = 5) -> DataFrame:
+    """Rows (cls, shingles): the distinct shingle sets of the column text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                sets = [shingle_set(t.as_py(), shingle) for t in b.column(0).slice(lo, 1024).cast(pa.binary())]
+                own = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own), lists(sets)], names=["cls", "shingles"])
+
+    return texts.select("text").mapInArrow(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
+
+
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows (a, b) of ``pairs`` but those that sizes and parities show to be below LEAST."""
+    p, q = LEAST
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_numpy(zero_copy_only=False) + b.column(3).to_numpy(zero_copy_only=False)
+            apart = [least_apart(x.as_py(), y.as_py()) for x, y in zip(b.column(4), b.column(5), strict=True)]
+            keep = pa.array((p + q) * np.array(apart, dtype=np.int64) <= (q - p) * n)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
-    return sets.select("cls", "shingles").mapInArrow(run, "cls long, n int, prefix array<long>").dropDuplicates(["cls"])
+    a, b = (classes.select(F.col("cls").alias(c), F.col("n").cast("long").alias(f"n_{c}"), F.col("parity").alias(f"parity_{c}")) for c in "ab")
+    met = pairs.join(a, "a").join(b, "b").where(sizes_fit())
+    return met.select("a", "b", "n_a", "n_b", "parity_a", "parity_b").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose sets' likeness is LEAST or more, computed from the whole sets."""
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose sets' likeness is LEAST or more, computed from the whole sets of the pairs that are plausible."""
     p, q = LEAST
-    pairs = stage_table(pairs, "pairs")
+    pairs = stage_table(plausible(pairs, classes), "pairs")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    if wanted.count() <= FEW:  # some 10 MB; else the sets are shuffled
-        wanted = F.broadcast(wanted)
-    own = stage_table(sets.select("cls", "shingles").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "pair-sets")
+    keys = stage_table(classes.join(wanted, "cls", "left_semi").select("text_key").distinct(), "pair-texts")
+    if keys.count() <= FEW:  # some 10 MB; else the texts are shuffled
+        keys = F.broadcast(keys)
+    texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text")).join(keys, "text_key", "left_semi")
+    own = stage_table(shingle_sets(texts, shingle), "pair-sets")
     a, b = (own.select(F.col("cls").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(a, "a").join(b, "b").where((p + q) * both >= p * (F.size("sa") + F.size("sb"))).select("a", "b")

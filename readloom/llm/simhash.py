@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import connected_components, stage_table
-from readloom.llm.likeness import SEED, majority, prefix_pairs, prefix_stars, prefixes, shared_keys, shingle_sets, verified
+from readloom.llm.likeness import SEED, classes_of, described, frequency_levels, majority, prefix_pairs, prefix_stars, prefixes, shared_keys, verified
 
 
 def text_fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -131,6 +131,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, radius: int = 3) -> DataFrame
 
     Two texts link where the Jaccard likeness of their sets of ``shingle``-word shingles is ``LEAST`` or more, computed
     from the whole sets; links are followed to connected components. Rows with equal sets are one class, however many.
+    Pairs that sizes and parities of the sets already show to be less alike are not computed.
 
     Candidates come from the fingerprints' balls: classes of equal SimHash, and those that meet within ``radius`` bits. At
     the threshold two texts differ in some ten of 64 bits, and no ball of variants reaches that far. So the pairs out of
@@ -141,11 +142,13 @@ def near_copies(docs: DataFrame, shingle: int = 5, radius: int = 3) -> DataFrame
     Texts without words are all alike. A null doc_id is never a component's name unless all its rows are null. An empty
     table gives an empty result. Only doc_id and text are read.
     """
-    sets = stage_table(shingle_sets(docs, shingle), "shingles")
-    keys = shared_keys(prefixes(sets))
-    stars = ball_candidates(sets.groupBy("cls").agg(F.min("fp").alias("fp")), radius).unionByName(prefix_stars(keys)).distinct()
-    first = connected_components(verified(stars, sets), "a", "b")
-    last = connected_components(verified(prefix_pairs(keys, first), sets).unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
-    named = sets.groupBy("cls").agg(F.min("doc_id").alias("first")).join(last.withColumnRenamed("node", "cls"), "cls", "left").withColumn("whole", F.coalesce("component", "cls"))
+    rows = stage_table(described(docs, shingle), "shingles")
+    classes = stage_table(classes_of(rows), "classes")
+    keys = shared_keys(prefixes(docs, frequency_levels(rows), shingle))
+    stars = ball_candidates(classes.select("cls", "fp"), radius).unionByName(prefix_stars(keys)).distinct()
+    first = connected_components(verified(stars, classes, docs, shingle), "a", "b")
+    more = verified(prefix_pairs(keys, first), classes, docs, shingle)
+    last = connected_components(more.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
+    named = classes.select("cls", "first").join(last.withColumnRenamed("node", "cls"), "cls", "left").withColumn("whole", F.coalesce("component", "cls"))
     least = named.groupBy("whole").agg(F.min("first").alias("component_id"))
-    return sets.select("doc_id", "cls").join(named.join(least, "whole").select("cls", "component_id"), "cls").select("doc_id", "component_id")
+    return rows.where("block IS NULL").select("doc_id", "cls").join(named.join(least, "whole").select("cls", "component_id"), "cls").select("doc_id", "component_id")
