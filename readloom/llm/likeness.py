@@ -138,14 +138,16 @@ def prefixes(docs: DataFrame, levels: np.ndarray, shingle: int = 5) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own, sizes, parts = [], [], []
-            for t in b.column(0).cast(pa.binary()):
-                s = shingle_set(t.as_py(), shingle)
-                own.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
-                sizes.append(len(s))
-                order = np.argsort(shared.value[s & (CELLS - 1)], kind="stable")  # sets are sorted by hash within a level
-                parts.append(s[order[: len(s) - -(-len(s) * p // q) + 1]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(own, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists(parts)], names=["cls", "n", "prefix"])
+            for lo in range(0, b.num_rows, 1024):
+                own, sizes, parts = [], [], []
+                for t in b.column(0).slice(lo, 1024).cast(pa.binary()):
+                    s = shingle_set(t.as_py(), shingle)
+                    own.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
+                    sizes.append(len(s))
+                    order = np.argsort(shared.value[s & (CELLS - 1)], kind="stable")  # sets are sorted by hash within a level
+                    parts.append(s[order[: len(s) - -(-len(s) * p // q) + 1]])
+                columns = [pa.array(np.array(own, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists(parts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["cls", "n", "prefix"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "cls long, n int, prefix array<long>").dropDuplicates(["cls"])
 

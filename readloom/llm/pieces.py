@@ -21,7 +21,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of distinct segments that are indexed at once, characters of the texts that they come from, and the
 #: segment length from which a heap orders the merges.
-INDEXED, READ, LONG = 1_000_000, 8_000_000, 64
+INDEXED, READ, LONG = 1_000_000, 1_000_000, 64
 
 
 @dataclass
