@@ -58,6 +58,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def finite(vector: str) -> Column:
+    """True where a vector is there and all its components are finite numbers; an empty vector is."""
+    c = F.col(vector)
+    return c.isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
+def join_back(rows: DataFrame, groups: DataFrame, key: list[str], size: str, total: int, share: int = 10_000) -> DataFrame:
+    """``rows`` with the columns of their group; ``groups`` has one row per key, nulls being equal, and its number of rows ``size``.
+
+    Groups with more than one ``share``-th of all ``total`` rows are fewer than ``share``, so they are broadcast; no key
+    of the shuffled join has more rows than that.
+    """
+    named = groups.select(*[F.col(c).alias(f"_{c}") for c in key], *[c for c in groups.columns if c not in key])
+    same = lambda: [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+    large = F.col(size) * share > total
+    hot, cold = named.where(large), named.where(~large)
+    few = rows.join(F.broadcast(hot), same())
+    rest = rows.join(F.broadcast(hot.select(*[f"_{c}" for c in key])), same(), "left_anti").join(cold.hint("merge"), same())
+    return few.unionByName(rest).drop(*[f"_{c}" for c in key], size)
+
+
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """Rows (node, component) for every node on an edge that is not itself its component's smallest node.
 

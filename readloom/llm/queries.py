@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import fingerprint, html, langid, lines, mixing, pieces, quality, recurrent, simhash, vectors
+from readloom.llm import codes, fingerprint, html, langid, lines, mixing, pieces, quality, recurrent, simhash, vectors, whitening
 from readloom.llm.common import documents, fold
 
 
@@ -66,6 +66,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings, with their errors."""
+    return codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all embeddings."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_recurrent": op2_recurrent,
@@ -77,6 +87,8 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op11_codes": op11_codes,
+    "op13_whitening": op13_whitening,
 }
 
-ORACLES = {"op3_lines": lines.ORACLE, "op7_mixing": mixing.ORACLE}
+ORACLES = {"op3_lines": lines.ORACLE, "op7_mixing": mixing.ORACLE, "op11_codes": codes.ORACLE}
