@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import codes, fingerprint, html, langid, lines, mixing, pieces, quality, recurrent, simhash, vectors, whitening
+from readloom.llm import codes, fingerprint, html, langid, lines, mixing, pieces, pii, quality, recurrent, simhash, vectors, whitening
 from readloom.llm.common import documents, fold
 
 
@@ -71,6 +71,12 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.train(docs))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened components of all embeddings."""
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -88,6 +94,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
     "op11_codes": op11_codes,
+    "op12_pii": op12_pii,
     "op13_whitening": op13_whitening,
 }
 
