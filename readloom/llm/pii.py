@@ -417,10 +417,10 @@ def varied(text: str, spans: list[Span], rng: np.random.Generator) -> tuple[str,
             piece = piece.replace(".", (".", "(dot)", "[dot]")[rng.integers(3)])
         elif k == 1 and way < 0.2:
             piece = piece.replace(".", "[.]")
-        elif k == 2 and way < 0.4:
+        elif k == 2 and way < 0.5:
             digits = re.sub("[^0-9]", "", piece)
             piece = "-. "[rng.integers(3)].join(digits[i : i + 4] for i in range(0, len(digits), 4))
-        elif k == 3 and way < 0.4:
+        elif k == 3 and way < 0.5:
             digits = re.sub("[^0-9]", "", piece)[-10:]
             mark = "-. "[rng.integers(3)]
             piece = (f"({digits[:3]}) {digits[3:6]}-{digits[6:]}", mark.join((digits[:3], digits[3:6], digits[6:])))[rng.integers(2)]

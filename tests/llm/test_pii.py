@@ -148,7 +148,7 @@ def test_spans_that_patterns_miss_are_added_and_base_spans_stay(trained):
         wanted.append((texts[-1].index(piece), texts[-1].index(piece) + len(piece), 3))
     found = [every for _, every in pii.Finder(net, s).all_spans(texts)]
     met = [any(k == 3 and min(b, w[1]) - max(a, w[0]) >= 12 for a, b, k in f) for w, f in zip(wanted, found)]
-    assert sum(met) > 100 and sum(map(len, found)) < 1.2 * sum(met)
+    assert sum(met) > 80 and sum(map(len, found)) < 1.2 * sum(met)
     mixed = invented(rng, 200)
     for t, (base, every) in zip(mixed, pii.Finder(net, s).all_spans(mixed)):
         assert base == plain(t) and set(base) <= set(every)
