@@ -591,7 +591,8 @@ def training_windows(docs: DataFrame, s: Settings) -> list[tuple[str, list[Span]
 
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind int, key long, text string, spans array<int>").distinct()
     nth = F.row_number().over(Window.partitionBy("kind").orderBy("key", "text"))
-    rows = rows.withColumn("nth", nth).where(F.col("nth") <= F.when(F.col("kind") < len(KINDS), s.sample).otherwise(2 * s.sample))
+    rows = rows.withColumn("nth", nth).where(F.col("nth") <= 2 * s.sample)  # a plain bound, which Spark applies before the shuffle
+    rows = rows.where(F.col("nth") <= F.when(F.col("kind") < len(KINDS), s.sample).otherwise(2 * s.sample))
     rows = sorted((r.kind, r.key, r.text, r.spans) for r in rows.collect())  # bounded by ``sample``
     return [(t, [(v[i], v[i + 1], v[i + 2]) for i in range(0, len(v), 3)]) for _, _, t, v in rows]
 
