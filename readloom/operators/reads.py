@@ -59,9 +59,14 @@ def read_stats(reads: DataFrame, shares: tuple[int, ...] = (50, 90), group: str
     )
 
 
-def first_reads(reads: DataFrame, n: int = 1000, order: str = "read_id") -> DataFrame:
-    """The first ``n`` reads of each sample, ranked; the rank filter is pushed below the shuffle by Spark."""
-    w = Window.partitionBy("sample").orderBy(order)
+def file_order(reads: DataFrame) -> list[str]:
+    """The columns that give the reads' order in their files, or the read_id for reads that are from no file."""
+    return ["path", "offset"] if {"path", "offset"} <= set(reads.columns) else ["read_id"]
+
+
+def first_reads(reads: DataFrame, n: int = 1000, order: list[str] | None = None) -> DataFrame:
+    """The first ``n`` reads of each sample, in file order if no other is given; Spark pushes the rank's bound below the shuffle."""
+    w = Window.partitionBy("sample").orderBy(*(order or file_order(reads)))
     return reads.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n)
 
 

@@ -113,9 +113,12 @@ def a2(spark, d):
     return rd.read_stats(fx.reads(spark, d))
 
 
-@query("n1_first_reads", sql("reads", "SELECT sample, read_id, nth FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY read_id) AS nth FROM reads) WHERE nth <= 1000"))
+@query("n1_first_reads", sql("reads", "SELECT sample, read_id::VARCHAR AS read_id, nth FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY md5('n' || read_id)) AS nth FROM reads) WHERE nth <= 1000"))
 def n1(spark, d):
-    return rd.first_reads(fx.reads(spark, d)).select("sample", "read_id", F.col("nth").cast("long").alias("nth"))
+    """Files with their reads in an order of their own, of which the first ones are taken."""
+    path = stage_path(spark, "fastq")
+    files.write_reads(fx.reads(spark, d).withColumn("place", F.md5(F.concat(F.lit("n"), F.col("read_id").cast("string")).cast("binary"))), path, "place")
+    return rd.first_reads(files.read_written(spark, path)).select("sample", "read_id", F.col("nth").cast("long").alias("nth"))
 
 
 PHRED = "list_sum(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33))"
@@ -514,10 +517,15 @@ def r8(spark, d):
     return files.read_xmfa_blocks(spark, path)
 
 
-@query("w1_write_reads", sql("reads", "SELECT sample, read_id::VARCHAR AS read_id, md5(seq) AS seq_md5, md5(qual) AS qual_md5 FROM reads"))
+@query("w1_write_reads", sql("reads", """SELECT sample, read_id::VARCHAR AS read_id, CASE WHEN read_id % 4 = 0 THEN '>' ELSE '@' END || read_id || ' of ' || sample AS header,
+  md5(seq) AS seq_md5, md5(CASE WHEN read_id % 4 <> 0 THEN qual END) AS qual_md5 FROM reads"""))
 def w1(spark, d):
-    rows = files.read_written(spark, written_reads(spark, d))
-    return rows.select("sample", "read_id", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), F.md5(F.col("qual").cast("binary")).alias("qual_md5"))
+    """Every fourth read is without quality, so that both formats are written; whole headers come back."""
+    path = stage_path(spark, "fastq")
+    r = fx.reads(spark, d).withColumn("header", F.concat(F.lit("@"), F.col("read_id").cast("string"), F.lit(" of "), F.col("sample")))
+    files.write_reads(r.withColumn("qual", F.when(F.col("read_id") % 4 != 0, F.col("qual"))), path)
+    rows = files.read_written(spark, path)
+    return rows.select("sample", "read_id", "header", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), F.md5(F.col("qual").cast("binary")).alias("qual_md5"))
 
 
 @query("r2_read_fastq", sql("reads", "SELECT read_id::VARCHAR AS read_id, '@' || read_id AS header, length(seq)::BIGINT AS n, md5(qual) AS qual_md5 FROM reads"))

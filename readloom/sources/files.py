@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from readloom.functions.sequence import EXTENSIONS, accepted_extension, read_id, sample_name
+from readloom.functions.sequence import EXTENSIONS, accepted_extension, sample_name
+from readloom.sources.records import read_records, write_reads  # noqa: F401
 from readloom.sources.stages import stage_table
 
 
@@ -64,11 +65,8 @@ def numbered_lines(spark: SparkSession, paths: str | list[str], name: str = "*")
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Rows (sample, read_id, header, seq, qual): records of four lines."""
-    rows = numbered_lines(spark, paths).withColumn("record", F.floor(F.col("line_no") / 4)).withColumn("part", F.col("line_no") % 4)
-    part = lambda i: F.max(F.when(F.col("part") == i, F.col("value")))
-    rows = rows.groupBy("path", "record").agg(part(0).alias("header"), part(1).alias("seq"), part(3).alias("qual"))
-    return rows.where(F.col("header").startswith("@")).select(sample_name("path").alias("sample"), read_id("header").alias("read_id"), "header", "seq", "qual")
+    """Rows (sample, read_id, header, seq, qual, path, offset): records in the files' order by (path, offset)."""
+    return read_records(spark, paths)
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -102,19 +100,9 @@ def read_xmfa_blocks(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("entry", F.array_join(F.transform("a", lambda x: x["seq"]), "").alias("aligned"))
 
 
-def write_reads(reads: DataFrame, path: str) -> None:
-    """One folder of FASTQ.gz per sample: ``sample=.../part-*.txt.gz``."""
-    record = F.concat_ws("\n", F.concat(F.lit("@"), F.col("read_id").cast("string")), "seq", F.lit("+"), "qual").alias("value")
-    reads.select("sample", record).write.partitionBy("sample").option("compression", "gzip").text(path)
-
-
 def read_written(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (sample, read_id, seq, qual) of what ``write_reads`` wrote; the sample is the folder's."""
-    rows = numbered_lines(spark, path).withColumn("sample", F.url_decode(F.regexp_extract("path", "/sample=([^/]*)/", 1)))
-    rows = rows.withColumn("record", F.floor(F.col("line_no") / 4)).withColumn("part", F.col("line_no") % 4)
-    part = lambda i: F.max(F.when(F.col("part") == i, F.col("value")))
-    rows = rows.groupBy("sample", "path", "record").agg(part(0).alias("header"), part(1).alias("seq"), part(3).alias("qual"))
-    return rows.select("sample", read_id("header").alias("read_id"), "seq", "qual")
+    """Rows of what ``write_reads`` wrote; the sample is the file's, whatever characters it has."""
+    return read_records(spark, path, written=True)
 
 
 def write_contigs(contigs: DataFrame, path: str) -> None:

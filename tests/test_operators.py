@@ -234,18 +234,6 @@ def test_files(spark, tmp_path):
         files.discover_samples(spark, str(none))
 
 
-def test_large_fastq_over_many_blocks(spark, tmp_path):
-    text = "".join(f"@q{i}\n{'ACGT' * (i % 9)}\n+\n{'@+I!' * (i % 9)}\n" for i in range(4000))
-    (tmp_path / "x.fastq").write_text(text)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
-    try:
-        rows = files.read_fastq(spark, str(tmp_path / "x.fastq")).collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert {(r.read_id, r.seq, r.qual) for r in rows} == {(f"q{i}", "ACGT" * (i % 9), "@+I!" * (i % 9)) for i in range(4000)}
-
-
 def test_xmfa_blocks_join_in_order(spark, tmp_path):
     (tmp_path / "a.xmfa").write_text("#FormatVersion\n>1:1-4 + s\nAC\nGT\n>2:1-4 + s\nA-GT\n=\n>1:9-10 + s\nTT\n>2:7-8 + s\nTA\n=\n")
     got = {r.entry: r.aligned for r in files.read_xmfa_blocks(spark, str(tmp_path / "a.xmfa")).collect()}
