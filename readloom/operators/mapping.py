@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from readloom.functions.sequence import reverse_complement
+from readloom.operators.chaining import chain_anchors
 from readloom.operators.kmers import broadcast_if_small, minimizers
 from readloom.operators.reads import best_of_group
 
 
-def map_reads(reads: DataFrame, refs: DataFrame, w: int = 10, k: int = 15, band: int = 500, least: int = 3, revcomp: bool = True) -> DataFrame:
+def map_reads(reads: DataFrame, refs: DataFrame, w: int = 10, k: int = 15, least: int = 3, revcomp: bool = True) -> DataFrame:
     """Rows (sample, read_id, ref_id, strand, qstart, qend, tstart, tend, n_anchors, flag): hits of every read, or one row without.
 
-    Equal minimizers of read and reference are anchors; anchors on one diagonal band are a hit if there are ``least`` of
-    them. Strand ``-`` counts on the reverse complement of the reference. Flag: 4 without hit, 16 on strand ``-``, and
+    Equal minimizers of read and reference are anchors; a colinear chain of ``least`` of them is a hit, whatever small
+    insertions and deletions lie between. Strand ``-`` counts on the reverse complement of the reference. Flag: 4 without hit, 16 on strand ``-``, and
     256 for any hit but the best (most anchors, then ref_id, strand, start).
     """
     targets = refs.select("ref_id", F.lit("+").alias("strand"), "seq")
@@ -23,15 +24,9 @@ def map_reads(reads: DataFrame, refs: DataFrame, w: int = 10, k: int = 15, band:
         targets = targets.unionByName(refs.select("ref_id", F.lit("-").alias("strand"), reverse_complement("seq").alias("seq")))
     t = broadcast_if_small(minimizers(targets, ["ref_id", "strand"], w, k).withColumnRenamed("pos", "tpos"))
     q = minimizers(reads, ["sample", "read_id"], w, k).withColumnRenamed("pos", "qpos")
-    diagonal = F.floor((F.col("tpos") - F.col("qpos")) / band)
-    hits = (
-        q.join(t, "kmer")
-        .groupBy("sample", "read_id", "ref_id", "strand", diagonal.alias("diagonal"))
-        .agg(F.min("qpos").alias("qstart"), (F.max("qpos") + k).alias("qend"), F.min("tpos").alias("tstart"), (F.max("tpos") + k).alias("tend"), F.count("*").alias("n_anchors"))
-        .where(F.col("n_anchors") >= least)
-    )
+    hits = chain_anchors(q.join(t, "kmer"), ["sample", "read_id", "ref_id", "strand"], k, least)
     best = Window.partitionBy("sample", "read_id").orderBy(F.desc("n_anchors"), "ref_id", "strand", "tstart")
-    hits = hits.withColumn("nth", F.row_number().over(best)).drop("diagonal")
+    hits = hits.withColumn("nth", F.row_number().over(best))
     flag = F.when(F.col("nth").isNull(), 4).otherwise(F.when(F.col("strand") == "-", 16).otherwise(0) + F.when(F.col("nth") > 1, 256).otherwise(0))
     return reads.select("sample", "read_id").distinct().join(hits, ["sample", "read_id"], "left").withColumn("flag", flag.cast("int")).drop("nth")
 
@@ -53,17 +48,18 @@ def coordinate_sort(alignments: DataFrame) -> DataFrame:
     return alignments.where(F.col("flag").bitwiseAND(4) == 0).withColumn("place", F.row_number().over(w))
 
 
-def overlap_pairs(reads: DataFrame, least: int = 3000, w: int = 10, k: int = 15, band: int = 500) -> DataFrame:
-    """Rows (sample, a, b, overlap), a < b: reads of a sample whose shared minimizers on one diagonal band span ``least`` bases.
+def overlap_pairs(reads: DataFrame, least: int = 3000, w: int = 10, k: int = 15) -> DataFrame:
+    """Rows (sample, a, b, overlap), a < b: reads of a sample with a chain of shared minimizers that spans ``least`` bases.
 
     Every minimizer that two reads or more share counts, however many share it, so that deep samples lose no overlap;
-    those of one read leave before the self-join, whose frequent keys Spark splits.
+    those of one read leave before the self-join, whose frequent keys Spark splits. The overlap is the longest chain's
+    shorter side.
     """
     m = minimizers(reads, ["sample", "read_id"], w, k)
     shared = m.groupBy("sample", "kmer").agg(F.min("read_id").alias("low"), F.max("read_id").alias("high")).where("low <> high")
     usable = m.join(shared.select("sample", "kmer"), ["sample", "kmer"])
-    a = usable.select("sample", "kmer", F.col("read_id").alias("a"), F.col("pos").alias("pa"))
-    b = usable.select("sample", "kmer", F.col("read_id").alias("b"), F.col("pos").alias("pb"))
-    met = a.join(b, ["sample", "kmer"]).where("a < b")
-    spans = met.groupBy("sample", "a", "b", F.floor((F.col("pa") - F.col("pb")) / band).alias("d")).agg(F.least(F.max("pa") - F.min("pa"), F.max("pb") - F.min("pb")).alias("span"))
-    return spans.groupBy("sample", "a", "b").agg((F.max("span") + k).cast("long").alias("overlap")).where(F.col("overlap") >= least)
+    a = usable.select("sample", "kmer", F.col("read_id").alias("a"), F.col("pos").alias("qpos"))
+    b = usable.select("sample", "kmer", F.col("read_id").alias("b"), F.col("pos").alias("tpos"))
+    chains = chain_anchors(a.join(b, ["sample", "kmer"]).where("a < b"), ["sample", "a", "b"], k, 1)
+    spans = chains.groupBy("sample", "a", "b").agg(F.max(F.least(F.col("qend") - F.col("qstart"), F.col("tend") - F.col("tstart"))).alias("overlap"))
+    return spans.where(F.col("overlap") >= least)

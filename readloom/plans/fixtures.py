@@ -66,13 +66,14 @@ def adapters(spark: SparkSession) -> DataFrame:
 
 
 def adapter_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads with adapters in front, behind and inside, some with one changed base."""
+    """Reads with adapters in front, behind and inside, some with one changed base in front and behind, or one lost inside."""
     (_, a5), (_, a3) = ADAPTERS
     bad = lambda a: F.when(F.col("read_id") % 5 == 0, F.lit(a[:9] + ("A" if a[9] != "A" else "C") + a[10:])).otherwise(F.lit(a))
     half = F.floor(F.length("seq") / 2).cast("int")
     r = reads(spark, sf_dir)
     inside = F.col("read_id") % 50 == 0
-    put = lambda c, x: F.when(inside, F.concat(F.substr(F.col(c), F.lit(1), half), F.lit(x), F.substr(F.col(c), half + 1))).otherwise(F.col(c))
+    short = F.col("read_id") % 100 == 0
+    put = lambda c, x: F.when(inside, F.concat(F.substr(F.col(c), F.lit(1), half), F.when(short, F.lit(x[:9] + x[10:])).otherwise(F.lit(x)), F.substr(F.col(c), half + 1))).otherwise(F.col(c))
     r = r.select("sample", "read_id", put("seq", a5).alias("s"), put("qual", "I" * 20).alias("q"))
     front, behind = F.col("read_id") % 3 == 0, F.col("read_id") % 4 == 0
     no = F.lit("")
@@ -142,8 +143,8 @@ SQL = {
         SELECT sample, seq, n, 1 + {sql_draw("'r' || sample || '|' || (n // 2)")} % (length(seq) - {READ - 1}) AS start FROM genomes, range(40) t(n)))""",
     "mutated_reads": "SELECT sample, read_id, " + sql_changed("seq", f"{sql_draw("'m' || read_id || '|' || i")} % 40 = 0") + " AS seq FROM genome_reads",
     "inner_reads": f"""SELECT sample, read_id,
-        CASE WHEN read_id % 50 = 0 THEN substr(seq, 1, length(seq) // 2) || '{A5}' || substr(seq, length(seq) // 2 + 1) ELSE seq END AS s,
-        CASE WHEN read_id % 50 = 0 THEN substr(qual, 1, length(qual) // 2) || '{PAD}' || substr(qual, length(qual) // 2 + 1) ELSE qual END AS q FROM reads""",
+        CASE WHEN read_id % 50 = 0 THEN substr(seq, 1, length(seq) // 2) || CASE WHEN read_id % 100 = 0 THEN '{A5[:9] + A5[10:]}' ELSE '{A5}' END || substr(seq, length(seq) // 2 + 1) ELSE seq END AS s,
+        CASE WHEN read_id % 50 = 0 THEN substr(qual, 1, length(qual) // 2) || CASE WHEN read_id % 100 = 0 THEN '{PAD[1:]}' ELSE '{PAD}' END || substr(qual, length(qual) // 2 + 1) ELSE qual END AS q FROM reads""",
     "adapter_reads": f"""SELECT sample, read_id,
         CASE WHEN read_id % 3 = 0 THEN {sql_bad(A5)} ELSE '' END || s || CASE WHEN read_id % 4 = 0 THEN {sql_bad(A3)} ELSE '' END AS seq,
         CASE WHEN read_id % 3 = 0 THEN '{PAD}' ELSE '' END || q || CASE WHEN read_id % 4 = 0 THEN '{PAD}' ELSE '' END AS qual FROM inner_reads""",
@@ -168,5 +169,6 @@ def with_fixtures(names: str, body: str) -> str:
 
     for name in names.split():
         add(name)
+    recursive = "RECURSIVE " if "UNION ALL SELECT" in body else ""
     head = ", ".join(f"{n} AS MATERIALIZED ({SQL[n]})" for n in order)
-    return f"WITH {head}{body}" if body.startswith(",") else f"WITH {head} {body}"
+    return f"WITH {recursive}{head}{body}" if body.startswith(",") else f"WITH {recursive}{head} {body}"

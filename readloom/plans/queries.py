@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from readloom.functions import sequence as fn
 from readloom.operators import adapters as ad
 from readloom.operators import assembly as asm
+from readloom.operators import chaining as ch
 from readloom.operators import kmers as km
 from readloom.operators import logs as lg
 from readloom.operators import mapping as mp
@@ -213,12 +215,36 @@ def a14(spark, d):
 
 # --- mapping ---------------------------------------------------------------------------------------------------------
 
+def sql_chains(anchors: str, keys: str, least: int, k: int = 15) -> str:
+    """CTEs that end in ``chains``: anchors numbered per pair, linked one after the other by recursion, and named by their chains.
+
+    ``links`` carries the scores so far of every pair; the best predecessor is the nearest of the best ones. A chain keeps
+    its beginning where its end, the best anchor below, is the best of all that branch off there.
+    """
+    on = " AND ".join(f"x.{c.strip()} = y.{c.strip()}" for c in keys.split(","))
+    own = lambda t: ", ".join(f"{t}.{c.strip()}" for c in keys.split(","))
+    cost = lambda g: f"CASE WHEN {g} > 0 THEN {ch.OPEN} + {g} // {ch.EXTEND} ELSE 0 END"
+    value = f"""CASE WHEN dt <= 0 OR dq <= 0 OR dt > {ch.GAP} OR dq > {ch.GAP} OR abs(dt - dq) > {ch.BAND} THEN -1 ELSE f + least(dt, dq, {k}) - ({cost('abs(dt - dq)')}) END"""
+    for name, text in (("dt", "(ts[i + 1] - ts[j])"), ("dq", "(qs[i + 1] - qs[j])")):
+        value = re.sub(rf"\b{name}\b", text, value)
+    value = re.sub(r"\bf\b", "fs[j]", value)
+    return f""", an AS MATERIALIZED (SELECT {keys}, list(tpos ORDER BY tpos, qpos) AS ts, list(qpos ORDER BY tpos, qpos) AS qs, count(*) AS n FROM {anchors} GROUP BY {keys} HAVING count(*) >= {least}),
+  links AS (SELECT {keys}, ts, qs, n, 1::BIGINT AS i, [{k}::BIGINT] AS fs, [0::BIGINT] AS ps FROM an
+    UNION ALL SELECT {keys}, ts, qs, n, i + 1, list_append(fs, CASE WHEN list_max(vs) > {k} THEN list_max(vs) ELSE {k} END), list_append(ps, CASE WHEN list_max(vs) > {k} THEN i + 1 - list_position(list_reverse(vs), list_max(vs)) ELSE 0 END)
+    FROM (SELECT *, list_transform(range(1, i + 1), lambda j: ({value})::BIGINT) AS vs FROM links WHERE i < n)),
+  node AS MATERIALIZED (SELECT {keys}, i, ts[i] AS t, qs[i] AS q, fs[i] AS f, ps[i] AS p FROM (SELECT * EXCLUDE (i), unnest(range(1, n + 1)) AS i FROM links WHERE i = n)),
+  up AS (SELECT {keys}, i, f, p FROM node UNION ALL SELECT {own('x')}, y.i, x.f, y.p FROM up x JOIN node y ON {on} AND x.p = y.i),
+  heir AS MATERIALIZED (SELECT {own('y')}, y.p, arg_max(y.i, {{'w': x.w, 'i': -y.i}}) AS i FROM (SELECT {keys}, i, max(f) AS w FROM up GROUP BY {keys}, i) x JOIN node y ON {on} AND x.i = y.i WHERE y.p > 0 GROUP BY {own('y')}, y.p),
+  walk AS (SELECT {own('y')}, y.i AS head, y.i, y.t, y.q FROM node y LEFT JOIN heir x ON {on} AND x.i = y.i AND x.p = y.p WHERE x.i IS NULL
+    UNION ALL SELECT {own('x')}, x.head, y.i, y.t, y.q FROM walk x JOIN heir h ON {on.replace('y.', 'h.')} AND h.p = x.i JOIN node y ON {on} AND y.i = h.i),
+  chains AS (SELECT {keys}, min(q) AS qstart, max(q) + {k} AS qend, min(t) AS tstart, max(t) + {k} AS tend, count(*) AS n_anchors FROM walk GROUP BY {keys}, head HAVING count(*) >= {least})"""
+
+
 SQL_MAP = f""", tg AS (SELECT 'ref' AS ref_id, '+' AS strand, seq FROM ref UNION ALL SELECT 'ref', '-', translate(reverse(seq), 'ACGT', 'TGCA') FROM ref),
   rq AS (SELECT sample, read_id, CASE WHEN read_id % 3 = 0 THEN translate(reverse(seq), 'ACGT', 'TGCA') ELSE seq END AS seq, qual FROM genome_reads),
   t AS ({sql_minimizers('tg', 'ref_id, strand')}), q AS ({sql_minimizers('rq', 'sample, read_id')}),
-  hit AS (SELECT sample, read_id, ref_id, strand, min(q.pos) AS qstart, max(q.pos) + 15 AS qend, min(t.pos) AS tstart, max(t.pos) + 15 AS tend, count(*) AS n_anchors
-    FROM q JOIN t USING (kmer) GROUP BY sample, read_id, ref_id, strand, floor((t.pos - q.pos) / 500) HAVING count(*) >= 3),
-  nth AS (SELECT *, row_number() OVER (PARTITION BY sample, read_id ORDER BY n_anchors DESC, ref_id, strand, tstart) AS nth FROM hit),
+  met AS (SELECT sample, read_id, ref_id, strand, q.pos AS qpos, t.pos AS tpos FROM q JOIN t USING (kmer)) {sql_chains('met', 'sample, read_id, ref_id, strand', 3)},
+  nth AS (SELECT *, row_number() OVER (PARTITION BY sample, read_id ORDER BY n_anchors DESC, ref_id, strand, tstart) AS nth FROM chains),
   aln AS (SELECT g.sample, g.read_id, ref_id, strand, qstart, qend, tstart, tend, n_anchors,
     CASE WHEN nth IS NULL THEN 4 ELSE CASE WHEN strand = '-' THEN 16 ELSE 0 END + CASE WHEN nth > 1 THEN 256 ELSE 0 END END AS flag
     FROM (SELECT DISTINCT sample, read_id FROM rq) g LEFT JOIN nth ON g.sample = nth.sample AND g.read_id = nth.read_id)"""
@@ -278,9 +304,8 @@ def o1(spark, d):
 
 @query("j9_overlap_pairs", sql("genome_reads", f""", m AS ({sql_minimizers('genome_reads', 'sample, read_id')}),
   f AS (SELECT sample, kmer FROM m GROUP BY ALL HAVING count(DISTINCT read_id) >= 2), u AS (SELECT m.* FROM m JOIN f USING (sample, kmer)),
-  s AS (SELECT a.sample, a.read_id AS a, b.read_id AS b, least(max(a.pos) - min(a.pos), max(b.pos) - min(b.pos)) AS span
-    FROM u a JOIN u b ON a.sample = b.sample AND a.kmer = b.kmer AND a.read_id < b.read_id GROUP BY a.sample, a.read_id, b.read_id, floor((a.pos - b.pos) / 500))
-  SELECT sample, a, b, (max(span) + 15)::BIGINT AS overlap FROM s GROUP BY ALL HAVING max(span) + 15 >= 200"""))
+  met AS (SELECT a.sample, a.read_id AS a, b.read_id AS b, a.pos AS qpos, b.pos AS tpos FROM u a JOIN u b ON a.sample = b.sample AND a.kmer = b.kmer AND a.read_id < b.read_id) {sql_chains('met', 'sample, a, b', 1)}
+  SELECT sample, a, b, max(least(qend - qstart, tend - tstart)) AS overlap FROM chains GROUP BY ALL HAVING max(least(qend - qstart, tend - tstart)) >= 200"""))
 def j9(spark, d):
     return mp.overlap_pairs(fx.genome_reads(spark, d), least=200)
 
@@ -288,31 +313,43 @@ def j9(spark, d):
 # --- adapters --------------------------------------------------------------------------------------------------------
 
 
-def sql_places(window: str, a: str) -> str:
-    return f"list_filter(range(0, length({window}) - {len(a)} + 1), lambda j: hamming(substr({window}, j + 1, {len(a)}), '{a}') <= 2)"
+def sql_edits(text: str, a: str, ends: bool = True, most: int = 2) -> str:
+    """For every place of a text the least edits between the adapter and a part that ends there (or begins there)."""
+    part = "substr(x, j - l + 1, l)" if ends else "substr(x, j, l)"
+    fits = "l <= j" if ends else "j + l - 1 <= length(x)"
+    lengths = f"range({len(a) - most}, {len(a) + most + 1})"
+    return f"list_transform([{text}], lambda x: list_transform(range(1, length(x) + 1), lambda j: COALESCE(list_min(list_transform(list_filter({lengths}, lambda l: {fits}), lambda l: levenshtein({part}, '{a}'))), 99)))[1]"
+
+
+def sql_best(d: str, earlier: bool = True, most: int = 2) -> str:
+    """The places of a list of edits that are best among those within ``most``, the first of equals, or the last."""
+    before, behind = (">", ">=") if earlier else (">=", ">")
+    near = lambda lo, hi, op: f"COALESCE(list_min(d[{lo}:{hi}]), 99) {op} d[j]"
+    return f"list_transform([{d}], lambda d: list_filter(range(1, len(d) + 1), lambda j: d[j] <= {most} AND {near(f'greatest(j - {most}, 1)', 'j - 1', before)} AND {near('j + 1', f'j + {most}', behind)}))[1]"
 
 
 HEAD, TAIL = "substr(seq, 1, 150)", "substr(seq, greatest(length(seq) - 149, 1), 150)"
 
 
 @query("j6_detect_adapters", sql("adapter_reads", ", f AS (SELECT seq FROM (SELECT seq, row_number() OVER (PARTITION BY sample ORDER BY read_id) AS nth FROM adapter_reads) WHERE nth <= 1000) SELECT *, n_reads >= 0.01 * n_checked AS present FROM (" + " UNION ALL ".join(
-    f"SELECT '{name}' AS name, count(*) FILTER (WHERE len({sql_places(HEAD, a)}) > 0 OR len({sql_places(TAIL, a)}) > 0) AS n_reads, count(*) AS n_checked FROM f" for name, a in fx.ADAPTERS) + ")"))
+    f"SELECT '{name}' AS name, count(*) FILTER (WHERE list_min({sql_edits(HEAD, a)}) <= 2 OR list_min({sql_edits(TAIL, a)}) <= 2) AS n_reads, count(*) AS n_checked FROM f" for name, a in fx.ADAPTERS) + ")"))
 def j6(spark, d):
     return ad.detect_adapters(fx.adapter_reads(spark, d), fx.adapters(spark))
 
 
-@query("j7_trim_adapters", sql("adapter_reads", f""", c AS (SELECT *, greatest(0, {', '.join(f"COALESCE(list_max({sql_places(HEAD, a)}) + {len(a)}, 0)" for _, a in fx.ADAPTERS)}) AS lo,
-  least(length(seq), {', '.join(f"COALESCE(list_min({sql_places(TAIL, a)}) + greatest(length(seq) - 150, 0), length(seq))" for _, a in fx.ADAPTERS)}) AS hi FROM adapter_reads)
+@query("j7_trim_adapters", sql("adapter_reads", f""", c AS (SELECT *, greatest(0, {', '.join(f"COALESCE(list_max({sql_best(sql_edits(HEAD, a))}), 0)" for _, a in fx.ADAPTERS)}) AS lo,
+  least(length(seq), {', '.join(f"COALESCE(list_min({sql_best(sql_edits(TAIL, a, False), False)}) - 1 + greatest(length(seq) - 150, 0), length(seq))" for _, a in fx.ADAPTERS)}) AS hi FROM adapter_reads)
   SELECT sample, read_id, md5(substr(seq, lo + 1, hi - lo)) AS seq_md5, md5(substr(qual, lo + 1, hi - lo)) AS qual_md5 FROM c WHERE hi > lo"""))
 def j7(spark, d):
     rows = ad.trim_adapters(fx.adapter_reads(spark, d), fx.adapters(spark))
     return rows.select("sample", "read_id", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), F.md5(F.col("qual").cast("binary")).alias("qual_md5"))
 
 
-@query("j8_split_chimeras", sql("adapter_reads", f""", s AS (SELECT sample, read_id, qual, string_split(seq, '{fx.A5}') AS parts FROM adapter_reads),
-  e AS (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM s),
-  g AS (SELECT sample, read_id, i, parts[i] AS part, qual, COALESCE(list_sum(list_transform(parts[1:i-1], lambda x: length(x) + 20)), 0)::BIGINT AS ahead FROM e)
-  SELECT sample, read_id, read_id || '_' || i AS fragment_id, md5(part) AS seq_md5, md5(substr(qual, ahead + 1, length(part))) AS qual_md5 FROM g WHERE part <> ''"""))
+@query("j8_split_chimeras", sql("adapter_reads", f""", e AS (SELECT sample, read_id, seq, qual, {sql_best(sql_edits('seq', fx.A5))} AS ends FROM adapter_reads),
+  h AS (SELECT *, list_transform(ends, lambda j: j - list_min(list_transform(list_filter(range(18, 23), lambda l: l <= j), lambda l: {{'d': levenshtein(substr(seq, j - l + 1, l), '{fx.A5}'), 'o': abs(l - 20), 'l': l}})).l) AS starts FROM e),
+  g AS (SELECT *, unnest(range(1, len(ends) + 2)) AS i FROM h),
+  p AS (SELECT *, COALESCE(list_max(ends[1:i-1]), 0) AS lo, CASE WHEN i <= len(ends) THEN starts[i] ELSE length(seq) END AS hi FROM g)
+  SELECT sample, read_id, read_id || '_' || i AS fragment_id, md5(substr(seq, lo + 1, hi - lo)) AS seq_md5, md5(substr(qual, lo + 1, hi - lo)) AS qual_md5 FROM p WHERE hi > lo"""))
 def j8(spark, d):
     rows = ad.split_chimeras(fx.adapter_reads(spark, d), fx.A5)
     return rows.select("sample", "read_id", "fragment_id", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), F.md5(F.col("qual").cast("binary")).alias("qual_md5"))
