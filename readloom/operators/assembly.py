@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from readloom.operators.kmers import broadcast_if_small, kmers
+from readloom.operators.packed import run_kmers
 from readloom.operators.variants import unique_flanks
 from readloom.sources.stages import stage_table
 
@@ -61,7 +62,8 @@ def unitigs(seqs: DataFrame, k: int = 31, min_count: int = 1, max_rounds: int =
     node has one way in and one way out. Each edge points to its predecessor; pointers double their reach each round, so
     a path of n edges takes log2(n) rounds, each a stage table. A cycle without branches is cut at its smallest k-mer.
     """
-    edges = kmers(seqs, k, []).groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
+    solid = run_kmers(seqs, k, []).groupBy("minimizer", "kmer").agg(F.sum("n").alias("n")) if k <= 31 else kmers(seqs, k, []).groupBy("kmer").agg(F.count("*").alias("n"))
+    edges = solid.where(F.col("n") >= min_count)
     edges = stage_table(edges.select("kmer", F.substring("kmer", 1, k - 1).alias("src"), F.substring("kmer", 2, k - 1).alias("dst")), "edges")
     ins = edges.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("n_in"), F.min("kmer").alias("prev"))
     outs = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("n_out"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from readloom.functions.sequence import hamming, reverse_complement
+from readloom.operators import packed
+from readloom.sources.stages import stage_table
 
 #: Rows up to which a k-mer table is offered for broadcast; a row is some 100 bytes.
 SMALL_ROWS = 500_000
@@ -52,8 +54,14 @@ def both_strands(ref: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def bait_kmers(reads: DataFrame, ref: DataFrame, k: int = 31, revcomp: bool = False) -> DataFrame:
-    """Rows (sample, read_id, n_kmers): reads that share a k-mer with the reference, and how many of their k-mers do."""
+    """Rows (sample, read_id, n_kmers): reads that share a k-mer with the reference, and how many of their k-mers do.
+
+    Up to 31 bases k-mers are numbers, looked up where the reads lie; longer ones are texts and joined.
+    """
     source = both_strands(ref.select("seq")) if revcomp else ref.select("seq")
+    if k <= 31:
+        baits = stage_table(source.select(F.explode(packed.numbers("seq", k)).alias("code")).distinct(), "baits")
+        return packed.shared_counts(reads, baits, k)
     bait = broadcast_if_small(kmers(source, k, []).select("kmer").distinct())
     hits = kmers(reads, k, ["sample", "read_id"]).join(bait, "kmer", "left_semi")
     return hits.groupBy("sample", "read_id").agg(F.count("*").alias("n_kmers"))
@@ -89,7 +97,10 @@ def bait_kmers_hamming(reads: DataFrame, ref: DataFrame, k: int = 31, hdist: int
 def shared_kmers(seqs: DataFrame, k: int, sample: str = "sample") -> DataFrame:
     """K-mers that every sample has: an intersection as one aggregate."""
     n = seqs.select(sample).distinct().agg(F.count("*").alias("n_samples"))
-    own = kmers(seqs, k, [sample]).select(sample, "kmer").distinct().groupBy("kmer").agg(F.count("*").alias("n"))
+    if k <= 31:
+        own = packed.run_kmers(seqs, k, [sample]).groupBy("minimizer", "kmer").agg(F.count_distinct(sample).alias("n"))
+    else:
+        own = kmers(seqs, k, [sample]).select(sample, "kmer").distinct().groupBy("kmer").agg(F.count("*").alias("n"))
     return own.join(F.broadcast(n), F.col("n") == F.col("n_samples")).select("kmer")  # n: one row
 
 
@@ -101,7 +112,7 @@ def choose_k(seqs: DataFrame, ks: list[int], share: float = 0.99, sample: str =
     own = seqs.join(F.broadcast(median), sample, "left_semi")
     counted = None
     for k in ks:
-        one = kmers(own, k, []).groupBy("kmer").agg(F.count("*").alias("c")).agg(F.lit(k).alias("k"), F.count("*").alias("n_kmers"), F.count(F.when(F.col("c") == 1, 1)).alias("n_once"))
+        one = packed.run_kmers(own, k, []).groupBy("minimizer", "kmer").agg(F.sum("n").alias("c")).agg(F.lit(k).alias("k"), F.count("*").alias("n_kmers"), F.count(F.when(F.col("c") == 1, 1)).alias("n_once"))
         counted = one if counted is None else counted.unionByName(one)
     counted = counted.withColumn("unique_share", F.round(F.col("n_once") / F.col("n_kmers"), 6))
     chosen = F.min(F.when(F.col("n_once") >= share * F.col("n_kmers"), F.col("k"))).over(Window.partitionBy())  # one row per k
@@ -114,8 +125,13 @@ def kmer_pan_snps(seqs: DataFrame, k: int = 25, sample: str = "sample") -> DataF
     A flank pair that a sample has with two centres says nothing there and is left out of it.
     """
     h = k // 2
-    own = kmers(seqs, k, [sample]).select(sample, F.substring("kmer", 1, h).alias("left"), F.substring("kmer", h + 1, 1).alias("base"), F.substring("kmer", h + 2, h).alias("right"))
-    own = own.distinct().groupBy(sample, "left", "right").agg(F.count("*").alias("n"), F.min("base").alias("base")).where("n = 1")
+    # A k-mer without its centre: the numbers of its flanks side by side.
+    low = F.col("code").bitwiseAND(4**h - 1)
+    flanks = F.shiftright("code", 2 * h + 2) * 4**h + low
+    own = seqs.select(sample, F.explode(packed.numbers("seq", k)).alias("code"))
+    own = own.select(sample, flanks.alias("flanks"), F.shiftright("code", 2 * h).bitwiseAND(3).cast("int").alias("base"))
+    own = own.groupBy("flanks", sample).agg(F.count_distinct("base").alias("n"), F.min("base").alias("base")).where("n = 1")
     total = F.broadcast(seqs.select(sample).distinct().agg(F.count("*").alias("total")))
-    sites = own.groupBy("left", "right").agg(F.count_distinct("base").alias("n_bases"), F.count("*").alias("n_samples")).where("n_bases > 1")
-    return sites.crossJoin(total).select("left", "right", "n_bases", "n_samples", (F.col("n_samples") == F.col("total")).alias("core"))
+    sites = own.groupBy("flanks").agg(F.count_distinct("base").alias("n_bases"), F.count("*").alias("n_samples")).where("n_bases > 1")
+    sites = sites.withColumn("both", packed.text_of("flanks", 2 * h))
+    return sites.crossJoin(total).select(F.substring("both", 1, h).alias("left"), F.substring("both", h + 1, h).alias("right"), "n_bases", "n_samples", (F.col("n_samples") == F.col("total")).alias("core"))
