@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,10 +45,22 @@ def reverse_complement(seq: str | Column) -> Column:
 
 
 def phred_sum(qual: str, least: int = 0) -> Column:
-    """Sum of the quality values that are ``least`` or more."""
-    values = F.transform(F.split(F.col(qual), ""), lambda c: F.ascii(c) - PHRED_OFFSET)
-    total = F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + F.when(x >= least, x).otherwise(0))
-    return F.when(F.length(qual) > 0, total).otherwise(F.lit(0).cast("long"))
+    """Sum of the quality values that are ``least`` or more; 0 without quality. A batch's qualities are one array of bytes."""
+
+    @F.arrow_udf("bigint")
+    def total(quals: pa.Array) -> pa.Array:
+        quals = quals.fill_null("").cast(pa.large_binary())
+        ends = np.frombuffer(quals.buffers()[1], dtype=np.int64)[quals.offset : quals.offset + len(quals) + 1]
+        out = np.zeros(len(quals), dtype=np.int64)
+        data = np.frombuffer(quals.buffers()[2] or b"", dtype=np.uint8)
+        full = np.flatnonzero(np.diff(ends))  # reduceat takes no empty parts
+        if len(full):
+            value = data[ends[0] : ends[-1]].astype(np.int16) - PHRED_OFFSET
+            value[value < least] = 0
+            out[full] = np.add.reduceat(value, ends[full] - ends[0], dtype=np.int64)
+        return pa.array(out)
+
+    return total(F.col(qual).cast("string"))
 
 
 def hamming(a: Column, b: Column) -> Column:

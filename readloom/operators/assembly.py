@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from readloom.operators.kmers import broadcast_if_small, kmers
 from readloom.operators.packed import run_kmers
+from readloom.operators.ranks import ranked
 from readloom.operators.variants import unique_flanks
 from readloom.sources.stages import stage_table
 
@@ -51,8 +51,8 @@ def assembly_stats(contigs: DataFrame, reads: DataFrame) -> DataFrame:
 
 def renumber_contigs(contigs: DataFrame, order: str = "contig_no") -> DataFrame:
     """Contigs named ``{sample}_{n}`` in file order."""
-    w = Window.partitionBy("sample").orderBy(order)
-    return contigs.withColumn("contig_id", F.concat_ws("_", F.col("sample").cast("string"), F.row_number().over(w).cast("string")))
+    rows = ranked(contigs, ["sample"], [order], "_place")
+    return rows.withColumn("contig_id", F.concat_ws("_", F.col("sample").cast("string"), F.col("_place").cast("string"))).drop("_place")
 
 
 def unitigs(seqs: DataFrame, k: int = 31, min_count: int = 1, max_rounds: int = 40) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from readloom.functions.sequence import reverse_complement
 from readloom.operators.chaining import chain_anchors
 from readloom.operators.kmers import broadcast_if_small, minimizers
+from readloom.operators.ranks import ranked
 from readloom.operators.reads import best_of_group
 
 
@@ -43,9 +44,8 @@ def mark_duplicates(alignments: DataFrame, score: str) -> DataFrame:
 
 
 def coordinate_sort(alignments: DataFrame) -> DataFrame:
-    """Mapped reads with their place in each sample's coordinate order; rows lie in that order within their partitions."""
-    w = Window.partitionBy("sample").orderBy("ref_id", "tstart", "read_id")
-    return alignments.where(F.col("flag").bitwiseAND(4) == 0).withColumn("place", F.row_number().over(w))
+    """Mapped reads with their place in each sample's coordinate order: by reference, start, then read_id."""
+    return ranked(alignments.where(F.col("flag").bitwiseAND(4) == 0), ["sample"], ["ref_id", "tstart", "read_id"], "place")
 
 
 def overlap_pairs(reads: DataFrame, least: int = 3000, w: int = 10, k: int = 15) -> DataFrame:

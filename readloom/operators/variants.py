@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from readloom.functions.sequence import draw
 from readloom.operators.kmers import broadcast_if_small, kmers
+from readloom.operators.ranks import ranked
 
 
 def unique_flanks(seqs: DataFrame, keep: list[str], h: int) -> DataFrame:
@@ -105,7 +106,7 @@ def bootstrap_patterns(sites: DataFrame, core: DataFrame, reps: int = 100, seed:
     n = core.count()
     if not n:
         return columns.select(F.lit(0).alias("rep"), "pattern", F.lit(1).cast("long").alias("weight")).limit(0)
-    numbered = columns.withColumn("site", F.row_number().over(Window.partitionBy().orderBy("pos")) - 1)
+    numbered = ranked(columns, [], ["pos"], "site").withColumn("site", F.col("site") - 1)
     drawn = numbered.join(bootstrap_sites(sites.sparkSession, n, reps, seed), "site")
     return drawn.groupBy("rep", "pattern").agg(F.sum("weight").alias("weight"))
 

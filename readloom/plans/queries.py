@@ -297,7 +297,7 @@ def n3(spark, d):
     return rd.best_of_group(r, ["sample", "bin"], [F.desc("len"), "read_id"]).select("sample", "read_id")
 
 
-@query("o1_coordinate_sort", sql("genome_reads ref", SQL_MAP + " SELECT sample, read_id, row_number() OVER (PARTITION BY sample ORDER BY ref_id, tstart, read_id)::INT AS place FROM aln WHERE flag & 4 = 0 AND flag & 256 = 0"))
+@query("o1_coordinate_sort", sql("genome_reads ref", SQL_MAP + " SELECT sample, read_id, row_number() OVER (PARTITION BY sample ORDER BY ref_id, tstart, read_id) AS place FROM aln WHERE flag & 4 = 0 AND flag & 256 = 0"))
 def o1(spark, d):
     return mp.coordinate_sort(rd.primary_only(alignments(spark, d))).select("sample", "read_id", "place")
 
