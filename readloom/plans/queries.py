@@ -540,6 +540,62 @@ def r1(spark, d):
     return files.samples_of(fx.paths(spark, d))
 
 
+@query("r1_discover_folder", sql("reads", "SELECT DISTINCT sample, sample || '.fastq.gz' AS file FROM reads"))
+def r1_folder(spark, d):
+    """The samples of a folder of files."""
+    found = files.discover_samples(spark, written_reads(spark, d))
+    return found.select("sample", fn.base_name("path").alias("file"))
+
+
+@query("r6_validate_inputs", sql("reads ref_items", "SELECT DISTINCT sample || '.fastq.gz' AS file, true AS accepted FROM reads UNION ALL SELECT 'ref.fasta', true"))
+def r6(spark, d):
+    """A folder of reads and a reference that pass; a folder with another file, and a reference that is none, are refused."""
+    path, other = written_reads(spark, d), stage_path(spark, "inputs")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ref_id", "seq"))), lambda x: F.concat(F.lit(">"), x["ref_id"].cast("string"), F.lit("\n"), x["seq"])), "\n")
+    files.write_texts(fx.ref_items(spark, d).agg(F.lit("ref.fasta").alias("name"), text.alias("text")), other)
+    files.write_texts(spark.range(1).select(F.lit("bad/notes.txt").alias("name"), F.lit("no sequence").alias("text")), other)
+    files.validate_inputs(spark, path, f"{other}/ref.fasta")
+    for folder, reference in ((f"{other}/bad", f"{other}/ref.fasta"), (path, f"{other}/bad/notes.txt")):
+        try:
+            files.validate_inputs(spark, folder, reference)
+        except ValueError:
+            continue
+        raise AssertionError("inputs that are wrong were accepted")
+    names = files.list_files(spark, path).unionByName(files.list_files(spark, other).where(~F.col("path").contains("/bad/")))
+    return names.select(fn.base_name("path").alias("file"), fn.accepted_extension("path").alias("accepted"))
+
+
+@query("r7_list_assemblies", sql("genomes", "SELECT sample::VARCHAR AS sample, sample || '.fasta' AS file FROM genomes"))
+def r7(spark, d):
+    path = stage_path(spark, "assemblies")
+    g = fx.genomes(spark, d).withColumn("sample", F.col("sample").cast("string"))
+    files.write_texts(g.select(F.concat("sample", F.lit(".fasta")).alias("name"), F.concat(F.lit(">"), "sample", F.lit("\n"), "seq", F.lit("\n")).alias("text")), path)
+    return files.list_assemblies(spark, path).select("sample", fn.base_name("path").alias("file"))
+
+
+def log_folder(spark, d, name):
+    """Each sample's log lines as one file, whose name the column gives."""
+    path = stage_path(spark, "logs")
+    rows = fx.log_lines(spark, d).groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("a"))
+    files.write_texts(rows.select(name.alias("name"), F.array_join(F.transform("a", lambda x: x["line"]), "\n").alias("text")), path)
+    return path
+
+
+SQL_LINES = f"""SELECT sample, (i - 1)::BIGINT AS line_no, ls[i] AS line FROM (SELECT sample, unnest(range(1, 13)) AS i, ['[start] nothing', 'Total read length: ' || k, 'Total read length: ' || n, 'Reads N50/N90: ' || k || ' / 7',
+  chr(9) || 'Total length:' || chr(9) || n, CASE WHEN k % 3 = 0 THEN 'none' ELSE chr(9) || 'Fragments:' || chr(9) || k END, chr(9) || 'Mean coverage:' || chr(9) || k, 'Total number of reads is ' || k || '.',
+  'Total number of raw bases is ' || n || '.', 'N50 for read length is ' || k || ' bases.', 'Total length of assembled sequence is ' || n, CASE WHEN k % 3 = 0 THEN 'none' ELSE 'The assembly graph has ' || k || ' vertices and' END] AS ls FROM ({SQL_LOG_SUMS}))"""
+
+
+@query("r4_read_log_lines", SQL_LINES)
+def r4(spark, d):
+    return files.read_log_lines(spark, log_folder(spark, d, F.concat("sample", F.lit("/flye.log"))))
+
+
+@query("r5_read_stdout_lines", SQL_LINES)
+def r5(spark, d):
+    return files.read_stdout_lines(spark, log_folder(spark, d, F.concat("sample", F.lit("_shasta_stdout.txt"))))
+
+
 @query("r3_read_fasta", sql("reads", "SELECT sum(length(seq))::BIGINT AS total_bases FROM reads"))
 def r3(spark, d):
     path = stage_path(spark, "fasta")

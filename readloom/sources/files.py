@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from readloom.functions.sequence import EXTENSIONS, accepted_extension, sample_name
-from readloom.sources.records import read_records, write_reads  # noqa: F401
+from readloom.sources.records import opened, read_records, write_reads  # noqa: F401
 from readloom.sources.stages import stage_table
 
 
@@ -105,6 +108,22 @@ def read_written(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark, path, written=True)
 
 
+def write_texts(rows: DataFrame, folder: str) -> None:
+    """Rows (name, text) as one file each below ``folder``; a name may hold folders. Each text is one row, as a task holds it."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = opened(folder.rstrip("/"))
+        for b in batches:
+            for name, text in zip(b.column("name").to_pylist(), b.column("text").to_pylist(), strict=True):
+                path = f"{top}/{name}"
+                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(path, compression=None) as out:
+                    out.write(text.encode())
+            yield b.select(["name"])
+
+    rows.select("name", "text").mapInArrow(write, "name string").count()
+
+
 def write_contigs(contigs: DataFrame, path: str) -> None:
     """One folder of FASTA per sample, with headers ``>{contig_id}``."""
     record = F.concat(F.lit(">"), F.col("contig_id"), F.lit("\n"), F.col("seq")).alias("value")
