@@ -18,6 +18,8 @@ BLOCK, GRID = 8, 3
 SIGNS, SETS = 20, 16
 #: Classes of a component that are compared at once when links are counted.
 TILE = 256
+#: Cosines so near to the threshold are computed by one formula wherever they are compared with it.
+EDGE = 1e-9
 #: Room for rounding in the block budgets; verification is exact.
 SLACK = 1e-5
 
@@ -161,6 +163,11 @@ def scaled(x: np.ndarray) -> np.ndarray:
         return x / np.abs(x).max(axis=1, keepdims=True)
 
 
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The cosine of each row of ``x`` with the same row of ``y``: the one formula that decides a link."""
+    return np.einsum("ij,ij->i", x, y) / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
+
+
 def verified(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
     """The pairs of equal label whose cosine in double precision is ``cosine`` or more."""
 
@@ -168,8 +175,7 @@ def verified(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
         for b in batches:
             for dim, _, rows in by_dim(b, "va"):
                 x, y = (scaled(np.asarray(rows.column(c).flatten(), dtype=np.float64).reshape(-1, dim)) for c in ("va", "vb"))
-                found = np.einsum("ij,ij->i", x, y) / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
-                keep = rows.filter(pa.array(found >= cosine))
+                keep = rows.filter(pa.array(cosines(x, y) >= cosine))
                 yield pa.RecordBatch.from_arrays([keep.column("a"), keep.column("b")], names=["a", "b"])
 
     side = lambda k: classes.select(F.col("cid").alias(k), F.col("v").alias(f"v{k}"), F.col("label").alias(f"l{k}"))
@@ -185,8 +191,13 @@ def link_counts(classes: DataFrame, cosine: float) -> DataFrame:
     """
 
     def count(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        x, y = (z / np.sqrt(np.einsum("ij,ij->i", z, z))[:, None] for z in (x, y))
-        return x @ y.T >= cosine
+        u, v = (z / np.sqrt(np.einsum("ij,ij->i", z, z))[:, None] for z in (x, y))
+        found = u @ v.T
+        linked = found >= cosine
+        # A product of matrices rounds otherwise; at the threshold the formula of ``verified`` decides, in either order.
+        a, b = np.nonzero(np.abs(found - cosine) < EDGE)
+        linked[a, b] = cosines(x[a], y[b]) >= cosine
+        return linked
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

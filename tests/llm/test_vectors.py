@@ -101,3 +101,21 @@ def test_a_dense_group_keeps_all_links(spark):
     x = rng.normal(size=32)
     rows = [(i, [float(z) for z in np.float32(near(rng, x, 0.996))], 0) for i in range(150)]
     check(spark, rows)
+
+
+def test_links_at_the_edge_agree_with_components(spark):
+    """Pairs whose cosine is the threshold but for rounding: whoever has a link shares a component, and the other way round."""
+    rng = generator(21)
+    rows = []
+    for c in range(300):
+        x = rng.normal(size=48)
+        for y in (x, near(rng, x, 0.98)):
+            rows.append((len(rows), [float(z) for z in y], c % 2))
+    df = spark.createDataFrame([(i, v, lab) for i, v, lab in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()}
+    both = 0
+    for i in range(0, len(rows), 2):
+        together = got[i][1] == got[i + 1][1]
+        assert got[i][0] == got[i + 1][0] == int(together)
+        both += together
+    assert 20 < both < 280
