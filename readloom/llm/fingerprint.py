@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +21,15 @@ LOWEST = -(2**63)
 
 @dataclass(frozen=True)
 class Settings:
-    """``samples`` per signature; ``cached`` bounds the words whose draws a task keeps (12 bytes per word and sample)."""
+    """``samples`` per signature; ``cached`` bounds the words whose draws a task keeps (12 bytes per word and sample).
+
+    A text's words are drawn and compared ``slice`` at a time, so that memory does not grow with their number.
+    """
 
     samples: int = 128
     seed: int = 3
     cached: int = 50_000
+    slice: int = 2_048
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -45,6 +50,7 @@ class Sampler:
         step = np.arange(1, s.samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         self.steps = [mixed(step + np.uint64(s.seed * 3 + i)) for i in range(3)]
         self.places: dict[bytes, int] = {}
+        self.width = max(1, min(s.slice, s.cached))
         self.room = 0
         self.grow(1024)
 
@@ -68,27 +74,34 @@ class Sampler:
         b = np.minimum(pair(2)[0], np.float32(1 - 2**-24))
         return r, b, np.log(c) + r * b - r
 
-    def add(self, words: set[bytes]) -> None:
+    def add(self, words: Collection[bytes]) -> None:
         """Keeps the draws of the words that it does not have yet; words as they were drawn give the same again."""
-        new = [w for w in words if w not in self.places]
-        if not new:
-            return
-        if len(self.places) + len(new) > self.s.cached:
-            self.places.clear()
-            new = list(words)
-        lo, hi = len(self.places), len(self.places) + len(new)
-        if hi > self.room:
-            self.grow(max(hi, min(2 * self.room, self.s.cached)))
-        self.places.update(zip(new, range(lo, hi), strict=True))
-        self.hashes[lo:hi] = [xxhash.xxh64_intdigest(w, self.s.seed) for w in new]
-        self.r[lo:hi], self.b[lo:hi], self.first[lo:hi] = self.draw(self.hashes[lo:hi])
-
-    def signature(self, counts: Counter) -> np.ndarray:
-        """For each sample the word, and its quantised weight, whose draw is least: 16 bits of their hash."""
-        if not counts:
-            return np.full(self.s.samples, 0xFFFF, dtype=np.uint16)
-        at = np.array([self.places[w] for w in counts], dtype=np.int64)
-        weight = np.array(list(counts.values()), dtype=np.float32)
+        words = list(words)
+        for lo in range(0, len(words), self.width):
+            self.look_up(words[lo : lo + self.width])
+
+    def look_up(self, words: list[bytes]) -> np.ndarray:
+        """Rows of the tables that hold the draws of at most ``width`` words; those not there yet are drawn."""
+        found = list(map(self.places.get, words))
+        if None in found:
+            new = [w for w, at in zip(words, found, strict=True) if at is None]
+            if len(self.places) + len(new) > self.s.cached:
+                self.places.clear()
+                new = words
+            lo, hi = len(self.places), len(self.places) + len(new)
+            if hi > self.room:
+                self.grow(max(hi, min(2 * self.room, self.s.cached)))
+            self.places.update(zip(new, range(lo, hi), strict=True))
+            self.hashes[lo:hi] = [xxhash.xxh64_intdigest(w, self.s.seed) for w in new]
+            for at in range(lo, hi, 256):  # temporaries of a draw stay in the processor's cache
+                part = slice(at, min(at + 256, hi))
+                self.r[part], self.b[part], self.first[part] = self.draw(self.hashes[part])
+            found = list(map(self.places.__getitem__, words))
+        return np.array(found, dtype=np.int64)
+
+    def least(self, words: list[bytes], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of a slice of words, per sample: the least draw, and the hash of the word and quantised weight that give it."""
+        at = self.look_up(words)
         value = self.first[at]
         heavy = np.flatnonzero(weight > 1)
         level = None
@@ -103,7 +116,25 @@ class Sampler:
             place[heavy] = np.arange(len(heavy))
             k = np.flatnonzero(place[best] >= 0)
             t[k] = level[place[best[k]], k].astype(np.int64).astype(np.uint64)
-        return (mixed(self.hashes[at[best]] ^ (t * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(48)).astype(np.uint16)
+        return value[best, np.arange(self.s.samples)], mixed(self.hashes[at[best]] ^ (t * np.uint64(0x9E3779B97F4A7C15)))
+
+    def signature(self, counts: Counter) -> np.ndarray:
+        """For each sample the word, and its quantised weight, whose draw is least: 16 bits of their hash.
+
+        The words go slice by slice; a running minimum keeps the least draw so far, of equal ones the first.
+        """
+        if not counts:
+            return np.full(self.s.samples, 0xFFFF, dtype=np.uint16)
+        rest, weights = iter(counts), iter(counts.values())
+        least = found = None
+        while words := list(islice(rest, self.width)):
+            value, hashed = self.least(words, np.fromiter(islice(weights, self.width), np.float32, len(words)))
+            if least is None:
+                least, found = value, hashed
+            else:
+                better = value < least
+                least[better], found[better] = value[better], hashed[better]
+        return (found >> np.uint64(48)).astype(np.uint16)
 
 
 def edited(text: str, following: str) -> str:
@@ -184,13 +215,11 @@ def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 if held is None and extra:
                     continue
                 counts = Counter(text.encode().split())
-                sampler.add(counts.keys())
                 own = sampler.signature(counts)
                 if held is not None:
                     changed = edited(held[2], text)
                     raw = changed.encode()
                     words = Counter(raw.split())
-                    sampler.add(words.keys())
                     other = sampler.signature(words)
                     out.append((held[1], len(held[2]), sha256(raw).hexdigest(), hexed(held[3]), hexed(other), float((held[3] == other).mean()), float((held[3] == own).mean())))
                 held = None if extra else (bucket, doc_id, text, own)

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -92,3 +93,17 @@ def test_a_likeness_has_the_error_of_128_samples():
     sampler = fingerprint.Sampler(fingerprint.Settings())
     sampler.add({b"one", b"two"})
     assert len(hexed := fingerprint.hexed(sampler.signature(Counter([b"one", b"two"])))) == 512 and set(hexed) <= set("0123456789abcdef")
+
+
+def test_slices_change_nothing_and_bound_memory():
+    texts = invented(generator(8), 20, words=400)
+    narrow, wide = (fingerprint.Sampler(fingerprint.Settings(slice=n)) for n in (7, 10**6))
+    for t in texts:
+        counts = Counter((t + " " + t[: len(t) // 2]).encode().split())
+        assert (narrow.signature(counts) == wide.signature(counts)).all()
+    many = Counter({b"%d" % i: 1 + i % 3 for i in range(300_000)})
+    sampler = fingerprint.Sampler(fingerprint.Settings(samples=16))
+    tracemalloc.start()
+    sampler.signature(many)
+    assert tracemalloc.get_traced_memory()[1] < 50_000_000  # all draws at once would take 250 MB and more
+    tracemalloc.stop()
