@@ -24,7 +24,7 @@ class Settings:
     dim: int = 12
     shortest: int = 2
     longest: int = 4
-    epochs: int = 6
+    epochs: int = 8
     rate: float = 2.0
     bias_rate: float = 0.02
     seed: int = 11
@@ -59,24 +59,16 @@ def pair_buckets(first: np.ndarray, second: np.ndarray, s: Settings) -> np.ndarr
     return ((x >> np.uint64(32)) % np.uint64(s.buckets)).astype(np.int64)
 
 
-def patterns(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Per word a number for the word n-gram that begins there, its words renamed in order of appearance.
-
-    Of four words in a row it tells which are equal: "a a a a", "a b a b", "a b c d" and so on. Words of another text
-    (another ``owner``) equal none.
-    """
-    n, far = len(hashes), 3
-    h = np.concatenate([hashes, np.zeros(far, dtype=hashes.dtype)])
-    text = np.concatenate([owner, np.full(far, -1)])
-    code = np.zeros(n, dtype=np.int64)
-    for bit, (i, j) in enumerate([(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]):
-        same = (h[i : n + i] == h[j : n + j]) & (text[:n] == text[j : n + j])
-        code |= same.astype(np.int64) << bit
-    return code
+def ends_of(word: bytes) -> tuple[int, int, int, int]:
+    """The word's last and first one and two bytes as numbers that no word's hash equals."""
+    parts = (word[-1:], word[-2:], word[:1], word[:2])
+    return tuple(int.from_bytes(x, "big") | len(x) << 40 for x in parts)
 
 
-def pattern_buckets(s: Settings) -> np.ndarray:
-    return np.array([crc32(b"<pattern %d>" % i) % s.buckets for i in range(64)], dtype=np.int64)
+def joint_buckets(ends: np.ndarray, s: Settings) -> tuple[np.ndarray, ...]:
+    """Buckets of the character n-grams that span the space between neighbouring words, of three characters and twice of four."""
+    last, first = ends[:-1], ends[1:]
+    return tuple(pair_buckets(last[:, i], first[:, j], s) for i, j in ((0, 2), (0, 3), (1, 2)))
 
 
 def features(text: bytes | None, s: Settings, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +78,8 @@ def features(text: bytes | None, s: Settings, known: dict[bytes, np.ndarray]) ->
         if w not in known:
             known[w] = np.array(subwords(w, s), dtype=np.int64)
     hashes = np.fromiter(map(crc32, words), np.uint64, len(words))
-    renamed = pattern_buckets(s)[patterns(hashes, np.zeros(len(words)))] if words[0] else hashes[:0].astype(np.int64)
-    every = np.concatenate([*(known[w] for w in words), pair_buckets(hashes[:-1], hashes[1:], s), renamed])
+    ends = np.array([ends_of(w) for w in words], dtype=np.uint64)
+    every = np.concatenate([*(known[w] for w in words), pair_buckets(hashes[:-1], hashes[1:], s), *joint_buckets(ends, s)])
     ids, counts = np.unique(every, return_counts=True)
     return ids.astype(np.int32), (counts / len(every)).astype(np.float32)
 
@@ -120,22 +112,23 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: list[int], s: Setting
 
 
 class Scorer:
-    """Scores texts block by block; of each word that it meets it keeps the sum over its features, their number and the word's hash."""
+    """Scores texts block by block; of each word that it meets it keeps the sum over its features, their number, the word's hash and its ends."""
 
     def __init__(self, model: Model, s: Settings):
         self.model, self.s = model, s
         self.known: dict[bytes, int] = {}
-        self.renamed = model.odds[pattern_buckets(s)]
         self.sums, self.sizes, self.hashes = np.zeros(1024), np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.uint64)
+        self.ends = np.zeros((1024, 4), dtype=np.uint64)
 
     def place(self, word: bytes) -> int:
         at = self.known.get(word)
         if at is None:
             at = self.known[word] = len(self.known)
             if at == len(self.sums):
-                self.sums, self.sizes, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sums, self.sizes, self.hashes))
+                self.sums, self.sizes, self.hashes, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sums, self.sizes, self.hashes, self.ends))
             ids = subwords(word, self.s)
             self.sums[at], self.sizes[at], self.hashes[at] = self.model.odds[ids].sum(), len(ids), crc32(word)
+            self.ends[at] = ends_of(word)
         return at
 
     def score(self, texts: list[bytes | None]) -> np.ndarray:
@@ -151,12 +144,11 @@ class Scorer:
         pairs = np.zeros(len(at))
         hashes = self.hashes[at]
         pairs[:-1] = self.model.odds[pair_buckets(hashes[:-1], hashes[1:], self.s)]
+        for found in joint_buckets(self.ends[at], self.s):
+            pairs[:-1] += self.model.odds[found]
         pairs[starts + n - 1] = 0  # the last word of a text has no neighbour
-        pairs += self.renamed[patterns(hashes, np.repeat(np.arange(len(n)), n))]
-        blank = np.array([not w[0] for w in words])
-        pairs[starts[blank]] = 0
         total = np.add.reduceat(self.sums[at] + pairs, starts)
-        return 1 / (1 + np.exp(-total / (np.add.reduceat(self.sizes[at], starts) + 2 * n - 1 - blank) - self.model.bias))
+        return 1 / (1 + np.exp(-total / (np.add.reduceat(self.sizes[at], starts) + 4 * (n - 1)) - self.model.bias))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, keep: Settings, held: int = 2) -> DataFrame:
