@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from hashlib import sha256
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The mark that stands for a space.
 SPACE = "▁"
 #: Characters of distinct segments that are indexed at once, characters of the texts that they come from, and the
-#: segment length from which a heap orders the merges.
+#: segment length from which its merges are queued by rank.
 INDEXED, READ, LONG = 1_000_000, 1_000_000, 64
+#: A segment longer than this is encoded alone and indexed in overlapping chunks of so many characters.
+WIDE = 1 << 16
 
 
 @dataclass
@@ -63,11 +67,22 @@ class Vocabulary:
         rows[np.arange(self.deepest)[None] >= length[:, None]] = 0xFFFF
         return low, as_keys(rows), length, np.array(self.multi), np.array([order[self.scores[i]] for i in self.multi], dtype=np.int64)
 
+    @cached_property
+    def prefixes(self) -> np.ndarray:
+        """Per longer piece (row of ``table``) and length: the row of the piece that is its prefix of that length, or -1."""
+        row = {self.pieces[i]: k for k, i in enumerate(self.multi)}
+        found = np.full((len(self.multi), self.deepest + 1), -1, dtype=np.int32)
+        for k, i in enumerate(self.multi):
+            p = self.pieces[i]
+            for n in range(2, len(p) + 1):
+                found[k, n] = row.get(p[:n], -1)
+        return found
+
     @cached_property
     def by_point(self) -> tuple[np.ndarray, np.ndarray]:
         """By code point: its symbol in the index (the last one if no longer piece has it), and its own piece or -1."""
-        symbol = np.full(0x110000, len(self.symbols) + 1, dtype=np.int64)
-        single = np.full(0x110000, -1, dtype=np.int64)
+        symbol = np.full(0x110000, len(self.symbols) + 1, dtype=np.int32)
+        single = np.full(0x110000, -1, dtype=np.int32)
         for table, known in ((symbol, self.symbols), (single, self.single)):
             table[[ord(c) for c in known]] = list(known.values())
         return symbol, single
@@ -76,6 +91,20 @@ class Vocabulary:
         """The text, spaces marked and one put in front, cut where no piece can span."""
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def runs(self, text: str) -> Iterator[list[str]]:
+        """The text's segments, those of a long text in runs of some ``READ`` characters, so that not all are held at once."""
+        if len(text) <= READ:
+            yield self.segments(text)
+            return
+        run, size = [], 0
+        for m in self.cut.finditer(SPACE + text.replace(" ", SPACE)):
+            run.append(m[0])
+            size += len(m[0])
+            if size >= READ:
+                yield run
+                run, size = [], 0
+        yield run
+
     def of_char(self, c: str) -> list[int]:
         """Ids of a character that no longer piece covers: its own piece, or its UTF-8 bytes, or the unknown piece."""
         if c in self.single:
@@ -83,7 +112,8 @@ class Vocabulary:
         return [self.bytes_at[b] for b in c.encode()] if self.bytes_at else [self.unknown]
 
     def decode(self, ids: np.ndarray) -> str:
-        text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        parts = [b"".join(map(self.raw.__getitem__, ids[lo : lo + WIDE].tolist())) for lo in range(0, len(ids), WIDE)]
+        text = b"".join(parts).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -124,9 +154,9 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
         span *= 2
 
 
-def edges_of(symbols: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All occurrences of the longer pieces, by position: start, end, piece id, merge rank."""
-    low, high, length, ids, rank = vocabulary.table
+def occurrences(symbols: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """All occurrences of the longer pieces, by position: start, row of the vocabulary's table."""
+    low, high, *_ = vocabulary.table
     order = suffix_array(symbols, vocabulary.deepest)
     padded = np.concatenate([symbols, np.zeros(vocabulary.deepest, dtype=symbols.dtype)]).astype(">u2")
     keys = as_keys(np.lib.stride_tricks.sliding_window_view(padded, vocabulary.deepest)[order])
@@ -135,8 +165,13 @@ def edges_of(symbols: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     piece = np.repeat(np.arange(len(n)), n)
     start = order[np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
     by_place = np.argsort(start)
-    start, piece = start[by_place], piece[by_place]
-    return start, start + length[piece], ids[piece], rank[piece]
+    return start[by_place], piece[by_place]
+
+
+def longest_at(start: np.ndarray, row: np.ndarray, vocabulary: Vocabulary, out: np.ndarray) -> None:
+    """Notes in ``out`` the row of the longest piece that begins at each start; all others there are its prefixes."""
+    by_length = np.argsort(vocabulary.table[2][row], kind="stable")
+    out[start[by_length]] = row[by_length]
 
 
 def relax(owner: np.ndarray, start: np.ndarray, end: np.ndarray, ids: np.ndarray, rank: np.ndarray, bound: np.ndarray, token: np.ndarray) -> None:
@@ -167,56 +202,133 @@ def relax(owner: np.ndarray, start: np.ndarray, end: np.ndarray, ids: np.ndarray
         owner, start, end, ids, rank = (x[alive] for x in (owner, start, end, ids, rank))
 
 
-def relax_long(lo: int, hi: int, start: np.ndarray, end: np.ndarray, ids: np.ndarray, rank: np.ndarray, bound: np.ndarray, token: np.ndarray) -> None:
-    """The same for one long segment, with a heap of the merges that neighbours offer."""
-    edge = {(int(s), int(e)): (int(r), int(i)) for s, e, i, r in zip(start, end, ids, rank, strict=True)}
-    after = {p: p + 1 for p in range(lo, hi)}
-    before = {p + 1: p for p in range(lo, hi)}
-    offers = [(edge[p, p + 2][0], p, p + 1, p + 2) for p in range(lo, hi - 1) if (p, p + 2) in edge]
-    heapify(offers)
-    while offers:
-        _, s, m, e = heappop(offers)
-        if after.get(s) != m or after.get(m) != e:
+class Merges:
+    """Offered merges in the order of rank, then start; starts of one rank wait in an array, so that millions take little room."""
+
+    def __init__(self, rank: np.ndarray, start: np.ndarray):
+        order = np.argsort(rank, kind="stable")  # starts ascend
+        rank, start = rank[order], start[order].astype(np.int32)
+        heads = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if len(rank) else []
+        self.waiting = {int(rank[a]): array("i", start[a:b].tobytes()) for a, b in pairwise([*heads, len(rank)])}
+        self.ranks = sorted(self.waiting)  # a heap
+        self.rank, self.at, self.now = -1, 0, array("i")
+        self.early: list[tuple[int, int]] = []  # offers up to the rank at hand
+
+    def add(self, rank: int, start: int) -> None:
+        if rank <= self.rank:
+            heappush(self.early, (rank, start))
+        elif (found := self.waiting.get(rank)) is not None:
+            found.append(start)
+        else:
+            self.waiting[rank] = array("i", [start])
+            heappush(self.ranks, rank)
+
+    def take(self) -> tuple[int, int] | None:
+        """The next rank and start, None at the end."""
+        while True:
+            more = self.at < len(self.now)
+            if self.early and (not more or self.early[0] < (self.rank, self.now[self.at])):
+                return heappop(self.early)
+            if more:
+                self.at += 1
+                return self.rank, self.now[self.at - 1]
+            if not self.ranks:
+                return None
+            self.rank, self.at = heappop(self.ranks), 0
+            self.now = array("i", np.sort(np.frombuffer(self.waiting.pop(self.rank), dtype=np.int32)).tobytes())
+
+
+def relax_long(longest: np.ndarray, vocabulary: Vocabulary, bound: np.ndarray, token: np.ndarray) -> None:
+    """The same for one long segment, given the longest piece that begins at each of its characters.
+
+    Of two neighbouring symbols s..m and m..e an edge joins them if a piece of length e - s begins at s, which the
+    prefixes of the longest piece there tell. An offer whose symbols have merged otherwise meanwhile has another rank,
+    or none, when its turn comes.
+    """
+    n, deepest = len(longest), vocabulary.deepest
+    prefixes, ids, ranks = vocabulary.prefixes, vocabulary.table[3], vocabulary.table[4]
+    known = np.flatnonzero(longest >= 0)
+    pair = prefixes[longest[known], 2]
+    offers = Merges(ranks[pair[pair >= 0]], known[pair >= 0])
+    after, before = (memoryview(np.arange(n + 1, dtype=np.int32) + k) for k in (1, -1))
+    # The C buffers of the arrays: single items are read as plain numbers.
+    longest_of, prefix_of = memoryview(longest), memoryview(prefixes).cast("B").cast("i")
+    ids_of, ranks_of = memoryview(ids.astype(np.int32)), memoryview(ranks.astype(np.int32))
+    bounds, tokens = memoryview(bound.view(np.uint8)), memoryview(token)
+
+    def joined(s: int, e: int) -> int:
+        """Row of the piece from s to e, or -1."""
+        return prefix_of[longest_of[s] * (deepest + 1) + e - s] if longest_of[s] >= 0 and e - s <= deepest else -1
+
+    while (best := offers.take()) is not None:
+        rank, s = best
+        m = after[s]
+        if not bounds[s] or m >= n:
+            continue
+        e = after[m]
+        row = joined(s, e)
+        if row < 0 or ranks_of[row] != rank:
             continue
-        bound[m], token[s] = False, edge[s, e][1]
-        after[s], before[e] = e, s
-        del after[m]
-        if e < hi and (x := edge.get((s, after[e]))):
-            heappush(offers, (x[0], s, e, after[e]))
-        if s > lo and (x := edge.get((before[s], e))):
-            heappush(offers, (x[0], before[s], s, e))
+        bounds[m], tokens[s] = 0, ids_of[row]
+        after[s] = e
+        if e < n:
+            before[e] = s
+            if (row := joined(s, after[e])) >= 0:
+                offers.add(ranks_of[row], s)
+        if s > 0 and (row := joined(before[s], e)) >= 0:
+            offers.add(ranks_of[row], before[s])
 
 
-def encode_segments(segments: list[str], vocabulary: Vocabulary) -> list[bytes]:
+def encode_segments(segments: list[str], vocabulary: Vocabulary, step: int | None = None) -> list[bytes]:
     """Ids of each segment, as little-endian 32-bit numbers.
 
-    All segments are indexed as one text, with a symbol that no piece has between them.
+    All segments are indexed as one text, with a symbol that no piece has between them; in chunks of ``step`` characters
+    and what a piece may reach beyond, if it is given.
     """
-    text = "\0".join(segments) + "\0"
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    points = np.frombuffer(("\0".join(segments) + "\0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.array([len(s) + 1 for s in segments])
     heads = np.cumsum(sizes) - sizes
     symbol_of, single_of = vocabulary.by_point
     symbols, token = symbol_of[points], single_of[points]
     symbols[heads + sizes - 1] = 0
-    start, end, ids, rank = edges_of(symbols, vocabulary)
-    owner = np.searchsorted(heads, start, "right") - 1
+    _, _, length, piece_ids, ranks = vocabulary.table
     bound = np.ones(len(points) + 1, dtype=bool)
-    long = sizes[owner] > LONG
-    relax(*(x[~long] for x in (owner, start, end, ids, rank)), bound, token)
-    for k in np.unique(owner[long]):
-        a, b = np.searchsorted(owner, [k, k + 1])
-        relax_long(int(heads[k]), int(heads[k] + sizes[k] - 1), start[a:b], end[a:b], ids[a:b], rank[a:b], bound, token)
+    long = sizes > LONG
+    longest = np.full(len(points), -1, dtype=np.int32) if long.any() else None
+    step = step or len(points)
+    short = []
+    for lo in range(0, len(points), step):
+        start, row = occurrences(symbols[lo : lo + step + vocabulary.deepest - 1], vocabulary)
+        own = start < step  # later ones are the next chunk's
+        start, row = start[own] + lo, row[own]
+        owner = np.searchsorted(heads, start, "right") - 1
+        if longest is not None:
+            far = long[owner]
+            longest_at(start[far], row[far], vocabulary, longest)
+            start, row, owner = start[~far], row[~far], owner[~far]
+        short.append((owner, start, row))
+    owner, start, row = (np.concatenate([x[i] for x in short]) for i in range(3))
+    relax(owner, start, start + length[row], piece_ids[row], ranks[row], bound, token)
+    for k in np.flatnonzero(long):
+        a, b = int(heads[k]), int(heads[k] + sizes[k] - 1)
+        relax_long(longest[a:b], vocabulary, bound[a:b], token[a:b])
     places = np.flatnonzero(bound[:-1] & (symbols != 0))
-    found = token[places].astype("<i4")
-    raw = found.tobytes()
+    found = token[places]
     cuts = np.searchsorted(places, np.concatenate([heads, [len(points)]]))
-    out = [raw[a:b] for a, b in zip((4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist(), strict=True)]
-    # Characters without a piece of their own become bytes or the unknown piece.
-    for k in np.unique(np.searchsorted(cuts, np.flatnonzero(found < 0), "right") - 1):
-        own = [i for j in range(cuts[k], cuts[k + 1]) for i in ([found[j]] if found[j] >= 0 else vocabulary.of_char(text[places[j]]))]
-        out[k] = np.array(own, dtype="<i4").tobytes()
-    return out
+    lost = np.flatnonzero(found < 0)
+    if len(lost):  # characters without a piece of their own become bytes or the unknown piece
+        chars, which = np.unique(points[places[lost]], return_inverse=True)
+        parts = [vocabulary.of_char(chr(c)) for c in chars]
+        size = np.array([len(x) for x in parts])
+        width = np.ones(len(found), dtype=np.int64)
+        width[lost] = n = size[which]
+        ends = np.cumsum(width)
+        found = np.repeat(found, width)
+        turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        found[np.repeat(ends[lost] - n, n) + turn] = np.concatenate(parts)[np.repeat((np.cumsum(size) - size)[which], n) + turn]
+        cuts = np.concatenate([[0], ends])[cuts]
+    raw = found.astype("<i4").tobytes()
+    return [raw[a:b] for a, b in pairwise((4 * cuts).tolist())]
 
 
 class Encoder:
@@ -226,27 +338,35 @@ class Encoder:
         self.vocabulary = vocabulary
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text. A block ends where its distinct segments or its texts are long enough."""
-        out: list[np.ndarray] = []
-        block: list[list[str]] = []
+        """Ids of each text. A block ends where its distinct segments or its texts are long enough, in a long text too."""
+        found: list[list[bytes]] = [[] for _ in texts]
+        block: list[tuple[int, list[str]]] = []
         own: set[str] = set()
         read = size = 0
-        for t in texts:
-            block.append(self.vocabulary.segments(t or ""))
-            new = set(block[-1]) - own
-            own |= new
-            read += len(t or "")
-            size += sum(map(len, new)) + len(new)
-            if size > INDEXED or read > READ:
-                out += self._finish(block, own)
-                block, own, read, size = [], set(), 0, 0
-        return out + self._finish(block, own)
-
-    def _finish(self, block: list[list[str]], own: set[str]) -> list[np.ndarray]:
-        names = list(own)
-        found = encode_segments(names, self.vocabulary) if names else []
-        ids = dict(zip(names, found, strict=True))
-        return [np.frombuffer(b"".join(map(ids.__getitem__, x)), dtype="<i4") for x in block]
+        for i, t in enumerate(texts):
+            for run in self.vocabulary.runs(t or ""):
+                block.append((i, run))
+                new = set(run) - own
+                own |= new
+                read += min(len(t or ""), READ)
+                size += sum(map(len, new)) + len(new)
+                if size > INDEXED or read > READ:
+                    self._finish(block, own, found)
+                    block, own, read, size = [], set(), 0, 0
+        self._finish(block, own, found)
+        return [np.frombuffer(b"".join(x), dtype="<i4") for x in found]
+
+    def _finish(self, block: list[tuple[int, list[str]]], own: set[str], found: list[list[bytes]]) -> None:
+        """Adds the ids of the block's segments to those of their texts."""
+        ids: dict[str, bytes] = {}
+        group = [s for s in own if len(s) <= WIDE]
+        if group:
+            ids.update(zip(group, encode_segments(group, self.vocabulary), strict=True))
+        for s in own:
+            if len(s) > WIDE:
+                ids[s] = encode_segments([s], self.vocabulary, WIDE)[0]
+        for i, run in block:
+            found[i].append(b"".join(map(ids.__getitem__, run)))
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -263,8 +383,10 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def encode(docs: DataFrame, vocabulary: Vocabulary, ids: bool = True) -> DataFrame:
     """Rows (doc_id, n_chars, n_tokens, ids_sha256, round_trip) and, if asked for, token_ids, for every row.
 
-    Each task cuts a batch of texts into segments that no piece spans, builds a suffix array over its distinct segments, finds every piece's range of occurrences by binary search, sorts the occurrences by position, and merges
-    neighbours by rank until no occurrence joins two. Ids equal those of the SentencePiece library for the model.
+    Each task cuts a batch of texts into segments that no piece spans, builds a suffix array over its distinct
+    segments, finds every piece's range of occurrences by binary search, sorts the occurrences by position, and merges
+    neighbours by rank until no occurrence joins two. A long text is cut and encoded in runs of segments, and a segment
+    that is long itself is indexed in overlapping chunks. Ids equal those of the SentencePiece library for the model.
     ``ids_sha256`` is of the ids as little-endian 32-bit numbers; ``round_trip`` tells whether decoding them gives the
     text, which holds unless the text has the space mark itself. Whole texts are encoded, of any length. A null text
     counts as empty; an empty text has no ids. Rows that repeat are encoded alike. Only doc_id and text are read.
@@ -285,7 +407,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, ids: bool = True) -> DataFra
                     "round_trip": pa.array([encoder.vocabulary.decode(x) == t for x, t in zip(found, texts, strict=True)]),
                 }
                 if ids:
-                    columns["token_ids"] = pa.array([x.tolist() for x in found], pa.list_(pa.int32()))
+                    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                    columns["token_ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
                 yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

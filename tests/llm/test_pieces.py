@@ -68,3 +68,13 @@ def test_decode_takes_nulls_and_broken_bytes(spark, vocabulary):
     broken = vocabulary.bytes_at[0xE6]
     rows = spark.createDataFrame([(1, None), (2, []), (3, [broken])], "doc_id long, token_ids array<int>")
     assert {r.doc_id: r.text for r in pieces.decode(rows, vocabulary).collect()} == {1: None, 2: "", 3: "�"}
+
+
+def test_chunks_of_one_long_segment_change_nothing(vocabulary, library, monkeypatch):
+    rng = generator(11)
+    long = ["x" * 3000, " " * 2001, "ab" * 900, "".join(rng.choice(list("aeioutnrsl日é"), 4000)), "".join(w.strip() for w in invented(rng, 3)).replace(" ", "")]
+    for wide, read in ((65, 10**6), (700, 50)):
+        monkeypatch.setattr(pieces, "WIDE", wide)
+        monkeypatch.setattr(pieces, "READ", read)
+        for t, got, want in zip(long, pieces.Encoder(vocabulary).encode(long), library.encode(long), strict=True):
+            assert got.tolist() == want, t[:40]
