@@ -30,8 +30,9 @@ BLOCK = frozenset(
     thead tr ul""".split()
 )
 #: Elements that never hold the article; they are stripped as markup is.
-CLUTTER = frozenset("footer aside form dialog select button fieldset svg canvas object audio video math datalist".split())
-#: Words of class, id and role that mark such elements, whole or as the start of a word.
+CLUTTER = frozenset("footer aside dialog select button fieldset svg canvas object audio video math datalist".split())
+#: Words of class, id and role that mark such elements too. A name that is one of them, or made of them alone, is a strong
+#: mark; a name with one among its parts ("share-price-report") is a weak one.
 MARKS = frozenset(
     """ad ads adv advertisement advert banner comment comments commentlist consent cookie cookies disclaimer disqus footer login masthead
     modal newsletter notice notices notification overlay paywall popup promo promotion recommended related respond reactions replies reply
@@ -43,6 +44,8 @@ MENUS = frozenset("nav menu".split())
 MENU_WORDS = frozenset("breadcrumb breadcrumbs menu nav navbar navigation pager pagination toolbar".split())
 #: The same for what is a header only outside the article.
 TOPS = frozenset("header top topbar site-header".split())
+#: Marks of an article element that is a reader's comment or points to another page.
+REMARKS = frozenset("comment comments teaser related reply".split())
 #: Start tags that close an open element of the same set.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -51,12 +54,15 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 class Settings:
     """``window`` lines make a block of lines; text surges where a block weighs more than ``surge`` characters.
 
-    A line in an article or main element weighs ``marked`` times its characters.
+    A line in an article or main element weighs ``marked`` times its characters. An element that tags or names mark as
+    clutter is none if it holds more than a share of the page's characters, ``weak`` or ``strong`` by the mark.
     """
 
     window: int = 3
     surge: int = 86
     marked: int = 2
+    weak: float = 0.5
+    strong: float = 0.9
 
 
 @dataclass
@@ -67,20 +73,34 @@ class Line:
     plain: int
     menu: bool
     article: bool
+    mark: int = 0
+
+
+@dataclass(frozen=True)
+class Mark:
+    """A marked element: the number of the marked one around it, and the share of the page's weight that refutes the mark.
+
+    If ``alone``, an article outside the element upholds the mark whatever the element weighs.
+    """
+
+    outer: int
+    share: float
+    alone: bool
 
 
 @dataclass
 class Element:
-    """An open element, and whether text in it is clutter, a menu's, or the article's."""
+    """An open element: whether text in it is clutter in any case, a menu's, or the article's, and the innermost mark's number."""
 
     name: str
     clutter: bool = False
     menu: bool = False
     article: bool = False
+    mark: int = 0
 
 
 def words_of(attributes: str) -> set[str] | None:
-    """Words of class, id and role; None for a hidden element."""
+    """Names in class, id and role, whole; None for a hidden element."""
     words: set[str] = set()
     if not attributes or attributes.isspace():
         return words
@@ -89,22 +109,23 @@ def words_of(attributes: str) -> set[str] | None:
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             return None
         if key in ("class", "id", "role"):
-            words.update(re.split(r"[\s_:-]+", value))
+            words.update(value.split())
     return words
 
 
-def element_of(name: str, attributes: str, outer: Element) -> Element:
-    """The element that a start tag opens inside ``outer``."""
-    words = set() if name in ("html", "body", "main", "head") else words_of(attributes)
-    if words is None or name in CLUTTER or (name == "header" and not outer.article):
-        clutter = True
-    elif name == "article":
-        clutter = bool(words & {"comment", "comments", "teaser", "related", "reply"})
-    else:
-        clutter = bool(words & MARKS) or (not outer.article and bool(words & TOPS))
-    article = name in ("article", "main") or ROLE.search(attributes) is not None
-    menu = name in MENUS or bool(words and words & MENU_WORDS)
-    return Element(name, outer.clutter or clutter, outer.menu or menu, outer.article or (article and not clutter))
+def refuting_share(name: str, words: set[str], outer: Element, settings: Settings) -> tuple[float, bool] | None:
+    """What an element's tag and names mark it as: the share of the page's weight that refutes it, and if only without an article elsewhere."""
+    known = MARKS if outer.article else MARKS | TOPS
+    parts = [set(filter(None, re.split(r"[_:-]+", w))) for w in words]
+    if name == "article":
+        return (settings.strong, True) if any(p & REMARKS for p in parts) else None
+    if words & known or any(p and p <= known for p in parts):
+        return settings.strong, True
+    if name == "form":
+        return settings.weak, True
+    if any(p & MARKS or (len(p) > 1 and p & MENU_WORDS) for p in parts):
+        return settings.weak, False
+    return None
 
 
 class Page:
@@ -114,8 +135,12 @@ class Page:
     of open ones by name: a closing tag without its element costs nothing, and one with it pays for what it closes.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, settings: Settings) -> None:
+        self.settings = settings
         self.lines: list[Line] = []
+        # Marked elements in the order of their start, number 0 being the page; and how many articles begin inside each, less those in inner marks.
+        self.marks: list[Mark] = [Mark(0, 0.0, False)]
+        self.articles: list[int] = [0]
         self.stack: list[Element] = [Element("")]
         self.scopes: list[int] = [0]
         self.open: Counter[str] = Counter()
@@ -133,7 +158,7 @@ class Page:
             text = " ".join("".join(self.parts).split())
             top = self.stack[-1]
             if text and not top.clutter:
-                self.lines.append(Line(text, 0 if top.menu else self.plain, top.menu, top.article))
+                self.lines.append(Line(text, 0 if top.menu else self.plain, top.menu, top.article, top.mark))
             self.parts.clear()
         self.plain = 0
 
@@ -191,8 +216,8 @@ class Page:
             return
         if name == "a":
             self.end_link(False)
-        found = element_of(name, attributes, self.stack[-1])
-        if found.clutter and not self.stack[-1].clutter:
+        found = self.element(name, attributes)
+        if (found.clutter and not self.stack[-1].clutter) or found.mark != self.stack[-1].mark:
             self.flush()
         if name == "a" and LINKED.search(attributes):
             self.link, self.link_block = len(self.stack), self.blocks
@@ -215,14 +240,49 @@ class Page:
         place = len(self.stack) - 1
         while self.stack[place].name != name:
             place -= 1
-        if self.stack[place].clutter:
+        if self.stack[place].clutter or self.stack[place].mark != self.stack[place - 1].mark:
             self.flush()
         self.cut(place)
 
-
-def lines_of(html: str) -> list[Line]:
+    def element(self, name: str, attributes: str) -> Element:
+        """The element that a start tag opens inside the innermost open one."""
+        outer = self.stack[-1]
+        words = set() if name in ("html", "body", "main", "head") else words_of(attributes)
+        clutter = outer.clutter or words is None or name in CLUTTER or (name == "header" and not outer.article)
+        mark, marked = outer.mark, None
+        if not clutter and (words or name == "form") and (marked := refuting_share(name, words, outer, self.settings)):
+            mark = len(self.marks)
+            self.marks.append(Mark(outer.mark, *marked))
+            self.articles.append(0)
+        article = not clutter and not marked and (name in ("article", "main") or ROLE.search(attributes) is not None)
+        if article and not outer.article:
+            self.articles[mark] += 1
+        menu = name in MENUS or bool(words and words & MENU_WORDS)
+        return Element(name, clutter, outer.menu or menu, outer.article or article, mark)
+
+    def upheld(self) -> list[Line]:
+        """The lines less those in an element whose mark holds.
+
+        An element's weight are the characters outside links and menus in it; one that holds more than its mark's share
+        of the page's weight is no clutter, whatever its names say. Marks inside it are judged by themselves.
+        """
+        n = len(self.marks)
+        weight, articles = [0] * n, list(self.articles)
+        for x in self.lines:
+            weight[x.mark] += x.plain
+        for k in range(n - 1, 0, -1):  # an inner mark has a higher number
+            weight[self.marks[k].outer] += weight[k]
+            articles[self.marks[k].outer] += articles[k]
+        gone = [False] * n
+        for k, m in enumerate(self.marks[1:], 1):
+            refuted = weight[k] > m.share * weight[0] and not (m.alone and articles[k] < articles[0])
+            gone[k] = gone[m.outer] or not refuted
+        return [x for x in self.lines if not gone[x.mark]]
+
+
+def lines_of(html: str, settings: Settings = Settings()) -> list[Line]:
     """The page's blocks in order, less markup and clutter."""
-    page = Page()
+    page = Page(settings)
     at, end, quotes = 0, len(html), True
     while at < end:
         m = OPENING.search(html, at)
@@ -256,7 +316,7 @@ def lines_of(html: str) -> list[Line]:
             page.start(name, attributes)
     page.flush()
     page.end_link(False)
-    return page.lines
+    return page.upheld()
 
 
 def kept(lines: list[Line], settings: Settings) -> list[bool]:
@@ -298,17 +358,19 @@ def kept(lines: list[Line], settings: Settings) -> list[bool]:
 
 def main_text(html: str | None, settings: Settings = Settings()) -> str:
     """The article's blocks, one a line."""
-    lines = lines_of(html or "")
+    lines = lines_of(html or "", settings)
     return "\n".join(x.text for x, k in zip(lines, kept(lines, settings), strict=True) if k)
 
 
 def extract(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows (page_id, url, text, n_chars): the main text of every page, from its whole html.
 
-    Markup is stripped to one line per block, and so are scripts, styles, forms, hidden elements, and what tags or class
-    names mark as header, footer, sidebar, notice, advert or reader comments. The text is what lies between the surge
-    and dive points of the lines' window sums; text in links and menus weighs nothing. Character references are decoded, white space in a block becomes one space, blocks
-    are joined by a line feed in page order. A null or empty html, or one without text, gives an empty text. Unclosed
+    Markup is stripped to one line per block, and so are scripts, styles, hidden elements, and what tags or class names
+    mark as form, header, footer, sidebar, notice, advert or reader comments, unless a form or a name so marks most of
+    the page. The text is what lies between the surge
+    and dive points of the lines' window sums; text in links and menus weighs
+    nothing. Character references are decoded, white space in a block becomes one space, blocks are joined by a line
+    feed in page order. A null or empty html, or one without text, gives an empty text. Unclosed
     tags end with what holds them, an unclosed link with its line, an unclosed comment or script at the end of the page.
     Time grows in proportion to the page, however broken its tags are. Rows that repeat are treated
     alike. Only page_id, url and html are read. An empty table gives an empty result.

@@ -48,6 +48,41 @@ def test_main_text(html, want):
     assert main_text(html) == want
 
 
+FOUR = "".join(f"<p>{LONG} {i}</p>" for i in range(4))
+PARAGRAPHS = "\n".join(f"{LONG} {i}" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<div class="content no-sidebar">{FOUR}</div>',
+        f'<div class="main ad-free">{FOUR}</div>',
+        f'<article><div class="share-price-report">{FOUR}</div></article>',
+        f'<div id="search-for-meaning">{FOUR}</div>',
+        f'<div class="related-work">{FOUR}</div>',
+        f'<body><form id="aspnetForm"><div><a href=x>Home</a></div>{FOUR}</form></body>',
+        f'<div class="content no-nav">{FOUR}</div>',
+        f'<div class="widget">{FOUR}</div><ul><li><a href=x>Short</a></ul>',
+        f'<form><div class="widget"><div class="ad-free">{FOUR}</div></div></form>',
+        f'<form>{FOUR}<div class="comments"><p>{LONG}</p></div><div class="share-buttons">Share this</div></form>',
+        f'<div class="layout no-sidebar">{FOUR}<div class="sidebar"><p>{LONG}</p></div><div class="cookie-notice">{LONG}</div></div>',
+    ],
+)
+def test_names_do_not_empty_a_page(html):
+    assert main_text(html) == PARAGRAPHS
+
+
+def test_an_article_elsewhere_upholds_a_mark():
+    for clutter in (f'<section class="comments">{FOUR}</section>', f"<form>{FOUR}</form>", f'<div class="widget">{FOUR}</div>'):
+        assert main_text(f"<article><p>{LONG}</p></article>{clutter}") == LONG
+
+
+def test_nested_marks_take_linear_time():
+    began = process_time()
+    assert main_text('<div class="ad">' * 60_000 + LONG) == LONG
+    assert process_time() - began < 10
+
+
 def test_generic_pages_keep_the_surge():
     menu = "".join(f"<div><a href='/{i}'>Item {i}</a></div>" for i in range(20))
     body = "".join(f"<div>{LONG} {i}</div>" for i in range(5))
