@@ -7,6 +7,7 @@ from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
 from itertools import islice
+from sys import byteorder
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,13 @@ class Settings:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser: a uniform value per input."""
-    x = x ^ (x >> np.uint64(30))
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(27)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 class Sampler:
@@ -64,14 +66,18 @@ class Sampler:
 
     def draw(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """r, b and the value ``ln c + r b - r`` that a word of weight 1 takes; three 64-bit numbers give five uniform ones."""
-        low, half, unit = np.uint64(0xFFFFFFFF), np.float32(0.5), np.float32(2.0**-32)
-
-        def pair(i: int) -> tuple[np.ndarray, np.ndarray]:
-            x = mixed(hashes[:, None] ^ self.steps[i])
-            return ((x >> np.uint64(32)).astype(np.float32) + half) * unit, ((x & low).astype(np.float32) + half) * unit
-
-        r, c = (-np.log(u * v) for u, v in (pair(0), pair(1)))
-        b = np.minimum(pair(2)[0], np.float32(1 - 2**-24))
+        half, unit = np.float32(0.5), np.float32(2.0**-32)
+
+        def uniform(x: np.ndarray, part: int) -> np.ndarray:
+            """The low or high half of 64-bit numbers, as a number above 0 and up to 1."""
+            u = x.view(np.uint32)[:, (part ^ (byteorder == "big")) :: 2].astype(np.float32)
+            u += half
+            u *= unit
+            return u
+
+        x, y, z = (mixed(hashes[:, None] ^ steps) for steps in self.steps)
+        r, c = (-np.log(uniform(v, 1) * uniform(v, 0)) for v in (x, y))
+        b = np.minimum(uniform(z, 1), np.float32(1 - 2**-24))
         return r, b, np.log(c) + r * b - r
 
     def add(self, words: Collection[bytes]) -> None:
