@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from readloom.functions.sequence import draw
-from readloom.operators.kmers import broadcast_if_small, kmers
+from readloom.operators.kmers import broadcast_if_small, kmers, tiles
 from readloom.operators.ranks import ranked
 
 
@@ -31,6 +31,68 @@ def call_snps(genomes: DataFrame, ref: DataFrame, h: int = 12) -> DataFrame:
     return called_sites(genomes, ref, h).where("base <> ref_base")
 
 
+def unique_kmers(seqs: DataFrame, keep: list[str], k: int) -> DataFrame:
+    """Rows (keep, kmer, pos): k-mers that occur once within ``keep``, with their 0-based place."""
+    own = kmers(seqs, k, keep).groupBy(*keep, "kmer").agg(F.count("*").alias("n"), F.min("pos").alias("pos"))
+    return own.where("n = 1").drop("n")
+
+
+def parts_at(seqs: DataFrame, keep: list[str], places: DataFrame, at: str, size: str, longest: int, name: str, tile: int = 256) -> DataFrame:
+    """``places`` with the ``size`` bases from the 0-based place ``at`` of their sequence on, ``longest`` at most, as ``name``.
+
+    The sequence is joined in overlapping tiles, so that none is walked from its start for every place. The place behind
+    its last base has a tile, too, as a part of no bases may lie there.
+    """
+    padded = seqs.select(*keep, F.concat("seq", F.repeat(F.lit("-"), F.lit(longest + 1))).alias("seq"))
+    own = tiles(padded, keep, longest + 1, longest, tile=tile).withColumnRenamed("o", "_o").withColumnRenamed("t", "_t")
+    found = places.withColumn("_o", (F.floor(F.col(at) / tile) * tile).cast("int")).join(own, [*keep, "_o"])
+    return found.withColumn(name, F.substr("_t", F.col(at) - F.col("_o") + 1, F.col(size))).drop("_o", "_t")
+
+
+def gap_variants(genomes: DataFrame, ref: DataFrame, k: int = 21, longest: int = 200) -> DataFrame:
+    """Rows (sample, pos, ref_text, text): what differs between neighbouring runs of k-mers that are unique in reference and sample.
+
+    A run is unbroken on one diagonal. The end of each is paired with the next start that lies behind it in both
+    sequences, at most ``longest`` bases on; so changes need no unchanged flanks between them. Where the gap is as long in both,
+    it is compared base by base; else what both texts begin and end with is cut off, and the rest is one change, placed
+    as far left as the gap allows: an insertion has an empty ``ref_text``, a deletion an empty ``text``. Where runs overlap, as
+    in repeats, the gap begins earlier by that overlap. ``pos`` is 0-based in the reference. Only the ends of runs are
+    paired, by bins of the reference, so no window holds a genome. Null or short sequences give none.
+    """
+    r = unique_kmers(ref.select("seq"), [], k).withColumnRenamed("pos", "p")
+    own = unique_kmers(genomes, ["sample"], k).withColumnRenamed("pos", "q")
+    anchors = own.join(broadcast_if_small(r), "kmer").select("sample", "p", "q", (F.col("q") - F.col("p")).alias("d"))
+    # Each anchor says of itself that it is there, and of both neighbours that they have one: one shuffle finds all ends.
+    says = F.explode(F.array(*[F.struct((F.col("p") + x).alias("p"), F.lit(x).alias("x")) for x in (-1, 0, 1)]))
+    near = anchors.select("sample", "d", says.alias("s")).groupBy("sample", "d", "s.p").agg(F.collect_set("s.x").alias("x"))
+    edge = near.where(F.array_contains("x", 0) & (F.size("x") < 3))
+    reach = k + longest
+    last = edge.where(~F.array_contains("x", -1)).select("sample", F.floor(F.col("p") / reach).alias("bin"), F.col("p").alias("pe"), (F.col("p") + F.col("d")).alias("qe"))
+    first = edge.where(~F.array_contains("x", 1)).select("sample", F.col("p").alias("ps"), (F.col("p") + F.col("d")).alias("qs"))
+    bins = F.explode(F.array(F.floor(F.col("ps") / reach), F.floor(F.col("ps") / reach) - 1))
+    met = last.join(first.withColumn("bin", bins), ["sample", "bin"])
+    met = met.where((F.col("ps") > F.col("pe")) & (F.col("qs") > F.col("qe")) & (F.col("ps") - F.col("pe") <= reach) & (F.col("qs") - F.col("qe") <= reach))
+    gaps = met.groupBy("sample", "pe", "qe").agg(F.min(F.struct("ps", "qs")).alias("s")).select("sample", "pe", "qe", "s.ps", "s.qs")
+    gaps = gaps.withColumn("over", F.greatest(F.lit(0), F.col("pe") + k - F.col("ps"), F.col("qe") + k - F.col("qs")))
+    gaps = gaps.select(
+        "sample", (F.col("pe") + k - F.col("over")).alias("a"), (F.col("ps") - F.col("pe") - k + F.col("over")).alias("an"),
+        (F.col("qe") + k - F.col("over")).alias("b"), (F.col("qs") - F.col("qe") - k + F.col("over")).alias("bn"),
+    )
+    gaps = parts_at(genomes, ["sample"], gaps, "b", "bn", reach, "y")
+    gaps = parts_at(ref, [], gaps, "a", "an", reach, "x").select("sample", F.col("a").alias("pos"), "x", "y")
+    places = F.filter(F.sequence(F.lit(1), F.length("x")), lambda i: F.substr("x", i, F.lit(1)) != F.substr("y", i, F.lit(1)))
+    alike = gaps.where((F.length("x") == F.length("y")) & (F.length("x") > 0)).withColumn("i", F.explode(places))
+    alike = alike.select("sample", (F.col("pos") + F.col("i") - 1).alias("pos"), F.expr("substr(x, i, 1)").alias("ref_text"), F.expr("substr(y, i, 1)").alias("text"))
+    shorter = F.least(F.length("x"), F.length("y"))
+    common = lambda cut: F.size(F.filter(F.sequence(F.lit(0), shorter), lambda n: cut("x", n) == cut("y", n))) - 1
+    tail = common(lambda c, n: F.when(n > 0, F.right(F.col(c), n)).otherwise(""))
+    other = gaps.where(F.length("x") != F.length("y")).withColumn("n", tail)
+    other = other.select("sample", "pos", F.expr("left(x, length(x) - n)").alias("x"), F.expr("left(y, length(y) - n)").alias("y"))
+    other = other.withColumn("n", common(lambda c, n: F.left(F.col(c), n)))
+    other = other.select("sample", (F.col("pos") + F.col("n")).alias("pos"), F.expr("substr(x, n + 1)").alias("ref_text"), F.expr("substr(y, n + 1)").alias("text"))
+    return alike.unionByName(other).select("sample", F.col("pos").cast("long").alias("pos"), "ref_text", "text")
+
+
 def coverage_cutoff(sites: DataFrame, ref_len: int, least: float = 0.1) -> DataFrame:
     """Rows (sample, covered, share): samples that cover at least ``least`` of the reference."""
     rows = sites.groupBy("sample").agg(F.count_distinct("pos").alias("covered"))

@@ -13,6 +13,8 @@ QUALS = "".join(chr(38 + i * 7 % 30) for i in range(52))
 ADAPTERS = [("A5", "ACGTTGCAAGTCCATGGTAC"), ("A3", "TTGACCAGTACGATCGGCAA")]
 #: Length of the reads that are cut from genomes.
 READ = 600
+#: Reads per sample that are cut from genomes, and the number of genomes.
+READS, NATIONS = 40, 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,13 +50,26 @@ def genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def genome_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows (sample, read_id, start, seq, qual): 40 reads per genome; reads 2m and 2m+1 share a start."""
-    rows = genomes(spark, sf_dir).select("sample", "seq", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("n"))
+    """Rows (sample, read_id, start, seq, qual): one read per document, 40 a sample; reads 2m and 2m+1 of a sample share a start.
+
+    Samples grow with the documents, and each is drawn from the genome of one nation, so depth is the same at every size.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / READS).cast("int").alias("sample"), (F.col("doc_id") % READS).cast("int").alias("n"))
+    own = genomes(spark, sf_dir).select(F.col("sample").alias("genome"), "seq")  # one row per nation, of which there are 25 at any size
+    rows = ids.repartition(parts, "sample").withColumn("genome", F.col("sample") % NATIONS).join(F.broadcast(own), "genome")
     rows = rows.withColumn("start", 1 + draw("r", F.col("sample"), "|", F.floor(F.col("n") / 2)) % (F.length("seq") - (READ - 1)))
-    rows = rows.select("sample", (F.col("sample") * 1000 + F.col("n")).cast("long").alias("read_id"), "start", F.expr(f"substr(seq, cast(start as int), {READ})").alias("seq"))
+    rows = rows.select("sample", (F.col("sample").cast("long") * 1000 + F.col("n")).alias("read_id"), "start", F.expr(f"substr(seq, cast(start as int), {READ})").alias("seq"))
     return rows.withColumn("qual", F.when(F.col("read_id") % 2 == 0, F.translate("seq", "ACGT", "5:?I")).otherwise(F.translate("seq", "ACGT", "I?:5")))
 
 
+def varied_genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows (sample, seq): the genomes with some bases lost and some texts of three bases put in."""
+    at = lambda i: draw("v", F.col("sample"), "|", i + 1) % 1999
+    bases = F.transform(F.split("seq", ""), lambda b, i: F.when(at(i) == 0, "").when(at(i) == 1, F.concat(b, F.lit("ACG"))).otherwise(b))
+    return genomes(spark, sf_dir).withColumn("seq", F.array_join(bases, ""))
+
+
 def mutated_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = lambda i: draw("m", F.col("read_id"), "|", i + 1) % 40 == 0
     bases = F.transform(F.split("seq", ""), lambda b, i: F.when(changed(i), F.translate(b, "ACGT", "CGTA")).otherwise(b))
@@ -140,7 +155,10 @@ SQL = {
     + " AS seq FROM nation, ref",
     "genome_reads": f"""SELECT *, CASE WHEN read_id % 2 = 0 THEN translate(seq, 'ACGT', '5:?I') ELSE translate(seq, 'ACGT', 'I?:5') END AS qual FROM (
         SELECT sample, (sample * 1000 + n)::BIGINT AS read_id, start, substr(seq, start, {READ}) AS seq FROM (
-        SELECT sample, seq, n, 1 + {sql_draw("'r' || sample || '|' || (n // 2)")} % (length(seq) - {READ - 1}) AS start FROM genomes, range(40) t(n)))""",
+        SELECT d.sample, seq, n, 1 + {sql_draw("'r' || d.sample || '|' || (n // 2)")} % (length(seq) - {READ - 1}) AS start
+        FROM (SELECT (doc_id // {READS})::INT AS sample, (doc_id % {READS})::INT AS n FROM documents) d JOIN genomes g ON d.sample % {NATIONS} = g.sample))""",
+    "varied_genomes": f"""SELECT sample, array_to_string(list_transform(list_transform(string_split(seq, ''), lambda b, i: {{'b': b, 'v': {sql_draw("'v' || sample || '|' || i")} % 1999}}),
+        lambda x: CASE x.v WHEN 0 THEN '' WHEN 1 THEN x.b || 'ACG' ELSE x.b END), '') AS seq FROM genomes""",
     "mutated_reads": "SELECT sample, read_id, " + sql_changed("seq", f"{sql_draw("'m' || read_id || '|' || i")} % 40 = 0") + " AS seq FROM genome_reads",
     "inner_reads": f"""SELECT sample, read_id,
         CASE WHEN read_id % 50 = 0 THEN substr(seq, 1, length(seq) // 2) || CASE WHEN read_id % 100 = 0 THEN '{A5[:9] + A5[10:]}' ELSE '{A5}' END || substr(seq, length(seq) // 2 + 1) ELSE seq END AS s,
@@ -153,7 +171,7 @@ SQL = {
         '@read' || doc_id || ' len=' || n_chars AS header FROM documents""",
 }
 NEEDS = {
-    "ref": ["ref_items"], "genomes": ["ref"], "genome_reads": ["genomes"], "mutated_reads": ["genome_reads"], "inner_reads": ["reads"], "adapter_reads": ["inner_reads"],
+    "ref": ["ref_items"], "genomes": ["ref"], "genome_reads": ["genomes"], "mutated_reads": ["genome_reads"], "varied_genomes": ["genomes"], "inner_reads": ["reads"], "adapter_reads": ["inner_reads"],
 }
 
 

@@ -380,6 +380,26 @@ def j10(spark, d):
     return va.call_snps(fx.genomes(spark, d), fx.ref(spark, d)).withColumn("pos", F.col("pos").cast("long"))
 
 
+def sql_unique(t: str, c: str, pos: str, k: int = 21) -> str:
+    keep = f"{c}, " if c else ""
+    return f"SELECT {keep}kmer, min(pos) AS {pos} FROM ({sql_kmers(t, c, k)}) GROUP BY {keep}kmer HAVING count(*) = 1"
+
+
+#: Runs by gaps and islands, each paired with the first later one that is near enough in both sequences.
+SQL_GAPS = f""", anchor AS (SELECT sample, p, q, q - p AS d FROM ({sql_unique('ref', '', 'p')}) JOIN ({sql_unique('varied_genomes', 'sample', 'q')}) USING (kmer)),
+  run AS (SELECT sample, d, min(p) AS ps, max(p) AS pe, min(q) AS qs, max(q) AS qe FROM (SELECT *, p - row_number() OVER (PARTITION BY sample, d ORDER BY p) AS island FROM anchor) GROUP BY sample, d, island),
+  pair AS (SELECT a.sample, a.pe, a.qe, min({{'ps': b.ps, 'qs': b.qs}}) AS s FROM run a JOIN run b ON a.sample = b.sample AND b.ps > a.pe AND b.qs > a.qe AND b.ps - a.pe <= 221 AND b.qs - a.qe <= 221 GROUP BY ALL),
+  cut AS (SELECT *, greatest(0, pe + 21 - s.ps, qe + 21 - s.qs) AS o FROM pair),
+  gap AS (SELECT cut.sample, pe + 21 - o AS pos, substr(ref.seq, pe + 22 - o, s.ps - pe - 21 + o) AS x, substr(g.seq, qe + 22 - o, s.qs - qe - 21 + o) AS y FROM cut JOIN varied_genomes g USING (sample), ref),
+  tail AS (SELECT sample, pos, x[:length(x) - n] AS x, y[:length(y) - n] AS y FROM (SELECT *, len(list_filter(range(1, least(length(x), length(y)) + 1), lambda i: right(x, i) = right(y, i))) AS n FROM gap WHERE length(x) <> length(y)))"""
+
+
+@query("j10_gap_variants", sql("varied_genomes", SQL_GAPS + """ SELECT sample, pos + i - 1 AS pos, x[i] AS ref_text, y[i] AS text FROM (SELECT *, unnest(range(1, length(x) + 1)) AS i FROM gap WHERE length(x) = length(y)) WHERE x[i] <> y[i]
+  UNION ALL SELECT sample, pos + n AS pos, x[n + 1:] AS ref_text, y[n + 1:] AS text FROM (SELECT *, len(list_filter(range(1, least(length(x), length(y)) + 1), lambda i: x[:i] = y[:i])) AS n FROM tail)"""))
+def j10_gaps(spark, d):
+    return va.gap_variants(fx.varied_genomes(spark, d), fx.ref(spark, d))
+
+
 @query("f6_coverage_cutoff", sql("genomes", SQL_SITES + " SELECT sample, count(DISTINCT pos) AS covered, round(count(DISTINCT pos) / (SELECT length(seq) FROM ref), 6) AS share FROM sites GROUP BY sample HAVING count(DISTINCT pos) >= 0.1 * (SELECT length(seq) FROM ref)"))
 def f6(spark, d):
     n = rd.fasta_length(fx.ref(spark, d)).first().total_bases
