@@ -86,15 +86,16 @@ def windows(window: int) -> tuple[Column, Column]:
     return F.substr(F.col("seq"), F.lit(1), F.lit(window)), F.substr(F.col("seq"), F.greatest(F.length("seq") - window + 1, F.lit(1)), F.lit(window))
 
 
-def detect_adapters(reads: DataFrame, adapters: DataFrame, check: int = 1000, window: int = 150, most: int = 2, share: float = 0.01) -> DataFrame:
+def detect_adapters(reads: DataFrame, adapters: DataFrame, check: int = 1000, window: int = 150, most: int = 2, share: float = 0.01, by_sample: bool = False) -> DataFrame:
     """Rows (name, n_reads, n_checked, present): how many of each sample's first ``check`` reads have the adapter at an end.
 
-    It is there where a window's part is within ``most`` edits of it: substitutions, insertions and deletions.
+    With ``by_sample`` rows (sample, name, ...), each sample being judged by its own reads. It is there where a window's part is within ``most`` edits of it: substitutions, insertions and deletions.
     """
     known = adapter_rows(adapters)
-    rows = first_reads(reads, check).select("seq")
+    keys = ["sample"] if by_sample else []
+    rows = first_reads(reads, check).select(*keys, "seq")
     if not known:
-        return rows.select(F.lit("").alias("name"), F.lit(0).cast("long").alias("n_reads"), F.lit(0).cast("long").alias("n_checked"), F.lit(False).alias("present")).limit(0)
+        return rows.select(*keys, F.lit("").alias("name"), F.lit(0).cast("long").alias("n_reads"), F.lit(0).cast("long").alias("n_checked"), F.lit(False).alias("present")).limit(0)
 
     @F.arrow_udf("array<boolean>")
     def found(head: pa.Array, tail: pa.Array) -> pa.Array:
@@ -106,8 +107,8 @@ def detect_adapters(reads: DataFrame, adapters: DataFrame, check: int = 1000, wi
         return pa.array(np.stack(hits, axis=1).tolist(), pa.list_(pa.bool_()))
 
     names = F.array(*[F.lit(name) for name, _ in known])
-    hits = rows.select(F.explode(F.arrays_zip(names.alias("name"), found(*windows(window)).alias("hit"))).alias("f"))
-    hits = hits.groupBy("f.name").agg(F.sum(F.col("f.hit").cast("long")).alias("n_reads"), F.count("*").alias("n_checked"))
+    hits = rows.select(*keys, F.explode(F.arrays_zip(names.alias("name"), found(*windows(window)).alias("hit"))).alias("f"))
+    hits = hits.groupBy(*keys, "f.name").agg(F.sum(F.col("f.hit").cast("long")).alias("n_reads"), F.count("*").alias("n_checked"))
     return hits.withColumn("present", F.col("n_reads") >= share * F.col("n_checked"))
 
 

@@ -14,7 +14,7 @@ from readloom.operators import reads as rd
 from readloom.operators import trees as tr
 from readloom.operators import variants as va
 from readloom.sources import files
-from readloom.sources.stages import materialize_stage, stage_table
+from readloom.sources.stages import by_sample, materialize_samples, materialize_stage, stage_table
 
 
 def bait(reads: DataFrame, ref: DataFrame, method: str = "minimizers", k: int = 99, hdist: int = 2, dedupe: bool = False) -> DataFrame:
@@ -44,44 +44,55 @@ def run(
     spark: SparkSession, reads: DataFrame, ref: DataFrame, out: str, adapters: DataFrame | None = None, method: str = "minimizers", size: int = 0, k: int = 99, min_size: int = 0,
     reps: int = 100, dedupe: bool = False, assembler: str = "consensus", least_covered: float = 0.1,
 ) -> dict[str, DataFrame]:
-    """All stages; each finished one is kept under ``out`` and not run again. ``size`` overrides the reference's length.
+    """All stages; what is finished is kept under ``out`` and not run again. ``size`` overrides the reference's length.
+
+    The stages up to the assembly are kept by sample: with more samples in ``reads``, those alone are computed, and each
+    sample's adapters are sought in its own reads. The comparison is of all samples, so it is kept under their number and a hash of their names.
 
     Adapters that are found are trimmed, and reads are split where they hold one. ``assembler`` is ``consensus`` (one
     sequence per sample, which goes on to the comparison) or ``unitigs`` (these are kept beside it). Samples that cover less
-    than ``least_covered`` of the reference are not compared; those of unusual length are listed.
+    than ``least_covered`` of the reference are not compared; those of unusual length are listed. ``variants`` are the
+    changes between runs of unique k-mers, ``sites`` those between unique flanks, which the comparison uses.
     """
     if assembler not in ("consensus", "unitigs"):
         raise ValueError("assembler is consensus or unitigs")
     n = size or rd.fasta_length(ref).first().total_bases
-    done = {"extracted": materialize_stage(spark, f"{out}/1_extracted", lambda: bait(reads, ref, method, k, dedupe=dedupe))}
+    done = {"extracted": materialize_samples(spark, f"{out}/1_extracted", reads, lambda own: bait(own, ref, method, k, dedupe=dedupe))}
     done["empty"] = rd.empty_samples(reads, done["extracted"])
 
-    def trimmed() -> DataFrame:
+    def trimmed(rows: DataFrame) -> DataFrame:
         if adapters is None:
-            return done["extracted"]
-        found = ad.detect_adapters(done["extracted"], adapters).where("present").select("name")
-        present = adapters.join(found, "name", "left_semi")
-        rows = ad.trim_adapters(done["extracted"], present).select("sample", F.col("read_id").cast("string").alias("read_id"), "seq", "qual")
-        for _, seq in ad.adapter_rows(present):
-            rows = ad.split_chimeras(rows, seq).select("sample", F.col("fragment_id").alias("read_id"), "seq", "qual")
-        return rows
-
-    done["trimmed"] = materialize_stage(spark, f"{out}/2_trimmed", trimmed)
-    done["filtered"] = materialize_stage(spark, f"{out}/3_filtered", lambda: rd.filter_best_bases(rd.min_length(done["trimmed"], min_size), n))
-    done["assembled"] = materialize_stage(spark, f"{out}/4_assembled", lambda: asm.pileup_consensus(done["filtered"], ref))
+            return rows
+        found = ad.detect_adapters(rows, adapters, by_sample=True).where("present").groupBy("sample").agg(F.sort_array(F.collect_set("name")).alias("names"))
+        found = stage_table(found, "adapters")
+        out = by_sample(rows, found, "left_anti").select("sample", F.col("read_id").cast("string").alias("read_id"), "seq", "qual")
+        for (names,) in found.select("names").distinct().collect():  # the sets of adapters that samples have; there are few adapters
+            present = adapters.where(F.col("name").isin(names))
+            own = ad.trim_adapters(by_sample(rows, found.where(F.col("names") == F.lit(names)), "left_semi"), present).select("sample", F.col("read_id").cast("string").alias("read_id"), "seq", "qual")
+            for _, seq in ad.adapter_rows(present):
+                own = ad.split_chimeras(own, seq).select("sample", F.col("fragment_id").alias("read_id"), "seq", "qual")
+            out = out.unionByName(own)
+        return out
+
+    done["trimmed"] = materialize_samples(spark, f"{out}/2_trimmed", done["extracted"], trimmed)
+    done["filtered"] = materialize_samples(spark, f"{out}/3_filtered", done["trimmed"], lambda own: rd.filter_best_bases(rd.min_length(own, min_size), n))
+    done["assembled"] = materialize_samples(spark, f"{out}/4_assembled", done["filtered"], lambda own: asm.pileup_consensus(own, ref))
     if assembler == "unitigs":
-        done["unitigs"] = materialize_stage(spark, f"{out}/4_unitigs", lambda: unitigs_of(done["filtered"]))
+        done["unitigs"] = materialize_samples(spark, f"{out}/4_unitigs", done["filtered"], unitigs_of)
     done["stats"] = asm.assembly_stats(done["assembled"], done["filtered"])
     done["outliers"] = rd.size_outliers(done["assembled"])
     rd.require_min_samples(done["assembled"])
     every = rd.add_reference(done["assembled"], ref)
-    called = materialize_stage(spark, f"{out}/5_compared/called", lambda: va.called_sites(every, ref))
+    names = every.select("sample").distinct().agg(F.count("*"), F.sum(F.xxhash64("sample").cast("decimal(38,0)"))).first()
+    compared = f"{out}/5_compared/{names[0]}_{names[1]}"
+    called = materialize_stage(spark, f"{compared}/called", lambda: va.called_sites(every, ref))
+    done["variants"] = materialize_stage(spark, f"{compared}/variants", lambda: va.gap_variants(done["assembled"], ref))
     covered = stage_table(va.coverage_cutoff(called, rd.fasta_length(ref).first().total_bases, least_covered), "covered").select("sample")
     genomes, sites = every.join(covered, "sample", "left_semi"), called.join(covered, "sample", "left_semi")
     core = va.core_sites(sites, genomes)
     done["sites"], done["alignment"] = sites, va.core_alignment(sites, core)
     boot = va.bootstrap_distance(va.bootstrap_patterns(sites, core, reps), genomes)
-    done["support"] = materialize_stage(spark, f"{out}/5_compared/support", lambda: tr.clade_support(tr.nj_clades(boot, genomes), reps))
+    done["support"] = materialize_stage(spark, f"{compared}/support", lambda: tr.clade_support(tr.nj_clades(boot, genomes), reps))
     done["samples"] = genomes.select("sample")
     return done
 

@@ -21,7 +21,7 @@ from readloom.operators import variants as va
 from readloom.plans import fixtures as fx
 from readloom.plans.fixtures import with_fixtures as sql
 from readloom.sources import files
-from readloom.sources.stages import materialize_stage, stage_path, stage_table
+from readloom.sources.stages import forget_samples, materialize_samples, materialize_stage, stage_path, stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -669,6 +669,18 @@ def w4(spark, d):
     return materialize_stage(spark, path, lambda: rd.nx(fx.reads(spark, d)).limit(0))
 
 
+@query("w4_materialize_samples", sql("reads", SQL_NX + ", w AS (SELECT min(sample) AS low, max(sample) AS high FROM reads) SELECT nx.*, CASE WHEN sample = low THEN 3 WHEN sample = high THEN 2 ELSE 1 END AS computed FROM nx, w"))
+def w4_samples(spark, d):
+    """All samples but the last, then all, then all once more with the first one forgotten: each time, what is open is computed."""
+    path, reads = stage_path(spark, "stage"), fx.reads(spark, d)
+    named = reads.agg(F.min("sample").alias("low"), F.max("sample").alias("high"))  # one row
+    step = lambda n: lambda own: rd.nx(own).withColumn("computed", F.lit(n))
+    materialize_samples(spark, path, reads.join(F.broadcast(named), F.col("sample") != F.col("high"), "left_semi"), step(1))
+    materialize_samples(spark, path, reads, step(2))
+    forget_samples(named.select(F.col("low").alias("sample")), path)
+    return materialize_samples(spark, path, reads, step(3))
+
+
 # --- the five stages in one plan ----------------------------------------------------------------------------------------
 
 

@@ -19,7 +19,7 @@ from readloom.operators import trees as tr
 from readloom.operators import variants as va
 from readloom.plans import pipeline
 from readloom.sources import files
-from readloom.sources.stages import materialize_stage
+from readloom.sources.stages import forget_samples, materialize_samples, materialize_stage
 
 READS = "sample string, read_id long, seq string, qual string"
 
@@ -258,6 +258,35 @@ def test_stages_run_once(spark, tmp_path):
     assert materialize_stage(spark, path, lambda: spark.range(9).toDF("x")).count() == 3
 
 
+def test_stages_by_sample_compute_what_is_open(spark, tmp_path):
+    path, runs = str(tmp_path / "stage"), []
+    table = lambda rows: spark.createDataFrame(rows, "sample string, x int")
+
+    def total(own):
+        runs.append(sorted((r.sample is not None, r.sample or "") for r in own.select("sample").distinct().collect()))
+        return own.where("x > 0").groupBy("sample").agg(F.sum("x").alias("x"))
+
+    use = lambda rows: {(r.sample, r.x) for r in materialize_samples(spark, path, table(rows), total).collect()}
+    assert use([("007", 1), ("007", 2), ("b", 0), (None, 5)]) == {("007", 3), (None, 5)}
+    assert use([("007", 9), ("b", 9), (None, 9), ("c", 4)]) == {("007", 3), (None, 5), ("c", 4)}  # b is finished without rows
+    assert use([("c", 7)]) == {("c", 4)}
+    forget_samples(table([("007", 0)]).select("sample"), path)
+    assert use([("007", 8), ("c", 7)]) == {("007", 8), ("c", 4)}
+    table([("c", 99)]).write.parquet(f"{path}/rows/run=rdead")  # a run that died before its entry
+    assert use([("c", 7)]) == {("c", 4)}
+    assert runs == [[(False, ""), (True, "007"), (True, "b")], [(True, "c")], [(True, "007")]]
+    assert materialize_samples(spark, str(tmp_path / "none"), table([]), total).count() == 0
+
+
+def test_adapters_of_each_sample(spark):
+    a = "ACGTTGCAAGTCCATGGTAC"
+    body = sequence(np.random.default_rng(12), 300)
+    r = reads(spark, [("with", i, a + body) for i in range(5)] + [("without", i, body) for i in range(500)])
+    known = spark.createDataFrame([("A", a)], "name string, seq string")
+    assert {(x.sample, x.n_reads, x.present) for x in ad.detect_adapters(r, known, by_sample=True).collect()} == {("with", 5, True), ("without", 0, False)}
+    assert ad.detect_adapters(r, known).first().present is False
+
+
 def test_too_few_samples(spark):
     with pytest.raises(ValueError):
         rd.require_min_samples(reads(spark, [("a", 1, "A"), ("b", 2, "A")]))
