@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from readloom.functions.sequence import phred_sum
+from readloom.functions.sequence import phred_sum, quality_profile
+from readloom.sources.stages import stage_table
+
+#: The score of a read where no other is given.
+MEAN_QUALITY = "mean_quality"
 
 
 def read_metrics(reads: DataFrame) -> DataFrame:
@@ -70,14 +76,33 @@ def first_reads(reads: DataFrame, n: int = 1000, order: list[str] | None = None)
     return reads.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n)
 
 
-def filter_best_bases(reads: DataFrame, ref_len: int, keep_percent: int = 95, depth: int = 100, least: int = 500) -> DataFrame:
+def read_scores(reads: DataFrame, score_expr: str = MEAN_QUALITY, window: int = 250, name: str = "score") -> DataFrame:
+    """``reads`` with a score: an SQL expression over ``length``, ``mean_quality`` and ``worst_window``.
+
+    ``worst_window`` is the least mean quality of ``window`` neighbouring bases, of the whole read if it is shorter. Each
+    quality text is decoded once. Reads without bases score null; columns of ``reads`` with those names are hidden from the expression.
+    """
+    if score_expr == MEAN_QUALITY:
+        return reads.withColumn(name, phred_sum("qual") / F.nullif(F.length("seq"), F.lit(0)))
+    length, total, worst, width = (f"_{c}_of_read" for c in ("length", "total", "worst", "width"))
+    rows = reads.withColumn("_profile", quality_profile("qual", window)).withColumn(length, F.length("seq").cast("long"))
+    rows = rows.select("*", *[F.col(f"_profile.{c.split('_')[1]}").alias(c) for c in (total, worst, width)]).drop("_profile")
+    known = {"length": length, "mean_quality": f"({total} / nullif({length}, 0))", "worst_window": f"({worst} / nullif({width}, 0))"}
+    text = re.sub(r"\b(length|mean_quality|worst_window)\b(?!\s*\()", lambda m: known[m[1]], score_expr)
+    return rows.withColumn(name, F.expr(text).cast("double")).drop(length, total, worst, width)
+
+
+def filter_best_bases(
+    reads: DataFrame, ref_len: int, keep_percent: int = 95, depth: int = 100, least: int = 500, score_expr: str = MEAN_QUALITY, window: int = 250, step: float = 0.005
+) -> DataFrame:
     """Each sample's best reads up to ``keep_percent`` of its bases or ``depth`` times the reference, the crossing read included.
 
-    Score: mean quality, then length, then read_id. Reads are bucketed by score; only sums per bucket are added up in
-    order, and each bucket ranks its own reads, so that no sample is one sorted group.
+    Score: as ``read_scores`` has it, then length, then read_id; a null score is the worst. Reads are bucketed by score, in
+    steps of ``step``; only sums per bucket are added up in order, and each bucket ranks its own reads, so that no sample is one
+    sorted group. Scored reads are a stage table, as sums and ranks both read them.
     """
-    rows = min_length(reads, least).withColumn("_len", F.length("seq").cast("long")).withColumn("_score", phred_sum("qual") / F.col("_len"))
-    rows = rows.withColumn("_bucket", F.floor(F.col("_score") * 200))
+    rows = read_scores(min_length(reads, least), score_expr, window, "_score").withColumn("_len", F.length("seq").cast("long"))
+    rows = stage_table(rows.withColumn("_score", F.coalesce("_score", F.lit(float("-inf")))).withColumn("_bucket", F.floor(F.col("_score") / step)), "scored")
     h = rows.groupBy("sample", "_bucket").agg(F.sum("_len").alias("_sum"))
     w = Window.partitionBy("sample")
     h = h.withColumn("_ahead", F.coalesce(F.sum("_sum").over(w.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

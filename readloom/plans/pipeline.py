@@ -31,25 +31,22 @@ def bait(reads: DataFrame, ref: DataFrame, method: str = "minimizers", k: int =
 
 
 def bait_filter_stats(reads: DataFrame, ref: DataFrame, k: int = 31) -> DataFrame:
-    """Exact k-mer baiting, length and quality filters, and statistics per sample.
-
-    The baited reads are a stage table, as the filter reads them twice.
-    """
+    """Exact k-mer baiting, length and quality filters, and statistics per sample."""
     n = rd.fasta_length(ref).first().total_bases
-    kept = rd.filter_best_bases(stage_table(bait(reads, ref, "kmers", k, 0), "baited"), n)
+    kept = rd.filter_best_bases(bait(reads, ref, "kmers", k, 0), n)
     return rd.read_stats(kept)
 
 
 def run(
     spark: SparkSession, reads: DataFrame, ref: DataFrame, out: str, adapters: DataFrame | None = None, method: str = "minimizers", size: int = 0, k: int = 99, min_size: int = 0,
-    reps: int = 100, dedupe: bool = False, assembler: str = "consensus", least_covered: float = 0.1,
+    reps: int = 100, dedupe: bool = False, assembler: str = "consensus", least_covered: float = 0.1, score_expr: str = rd.MEAN_QUALITY,
 ) -> dict[str, DataFrame]:
     """All stages; what is finished is kept under ``out`` and not run again. ``size`` overrides the reference's length.
 
     The stages up to the assembly are kept by sample: with more samples in ``reads``, those alone are computed, and each
     sample's adapters are sought in its own reads. The comparison is of all samples, so it is kept under their number and a hash of their names.
 
-    Adapters that are found are trimmed, and reads are split where they hold one. ``assembler`` is ``consensus`` (one
+    ``score_expr`` ranks reads for the filter, as ``read_scores`` takes it. Adapters that are found are trimmed, and reads are split where they hold one. ``assembler`` is ``consensus`` (one
     sequence per sample, which goes on to the comparison) or ``unitigs`` (these are kept beside it). Samples that cover less
     than ``least_covered`` of the reference are not compared; those of unusual length are listed. ``variants`` are the
     changes between runs of unique k-mers, ``sites`` those between unique flanks, which the comparison uses.
@@ -75,7 +72,7 @@ def run(
         return out
 
     done["trimmed"] = materialize_samples(spark, f"{out}/2_trimmed", done["extracted"], trimmed)
-    done["filtered"] = materialize_samples(spark, f"{out}/3_filtered", done["trimmed"], lambda own: rd.filter_best_bases(rd.min_length(own, min_size), n))
+    done["filtered"] = materialize_samples(spark, f"{out}/3_filtered", done["trimmed"], lambda own: rd.filter_best_bases(rd.min_length(own, min_size), n, score_expr=score_expr))
     done["assembled"] = materialize_samples(spark, f"{out}/4_assembled", done["filtered"], lambda own: asm.pileup_consensus(own, ref))
     if assembler == "unitigs":
         done["unitigs"] = materialize_samples(spark, f"{out}/4_unitigs", done["filtered"], unitigs_of)

@@ -135,6 +135,26 @@ def n2(spark, d):
     return rd.filter_best_bases(fx.reads(spark, d), n).select("sample", "read_id", F.length("seq").cast("long").alias("len"))
 
 
+#: Sums of up to 250 neighbouring quality values, of which the least counts; the score weighs it with the mean.
+SQL_WORST = """, q AS (SELECT sample, read_id, length(seq)::BIGINT AS len, unnest(range(1, length(qual) + 1)) AS i, unnest(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) AS v FROM reads WHERE length(seq) >= 500),
+ w AS (SELECT sample, read_id, len, i, sum(v) OVER x AS part, sum(v) OVER (PARTITION BY sample, read_id) AS total FROM q WINDOW x AS (PARTITION BY sample, read_id ORDER BY i ROWS BETWEEN 249 PRECEDING AND CURRENT ROW)),
+ s AS (SELECT sample, read_id, len, any_value(total)::BIGINT AS total, min(part)::BIGINT AS worst FROM w WHERE i >= 250 GROUP BY ALL),
+ t AS (SELECT *, (worst / 250) * 0.5 + (total / len) * 0.5 AS score FROM s)"""
+
+
+@query("n2_worst_windows", sql("reads", SQL_WORST + " SELECT sample, read_id, round(total / len, 6) AS mean_quality, round(worst / 250, 6) AS worst_window FROM t"))
+def n2_worst(spark, d):
+    rows = rd.min_length(fx.reads(spark, d)).withColumn("p", fn.quality_profile("qual"))
+    return rows.select("sample", "read_id", F.round(F.col("p.total") / F.length("seq"), 6).alias("mean_quality"), F.round(F.col("p.worst") / F.col("p.width"), 6).alias("worst_window"))
+
+
+@query("n2_filter_by_windows", sql("reads", SQL_WORST + """, p AS (SELECT *, COALESCE(sum(len) OVER (PARTITION BY sample ORDER BY score DESC, len DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior,
+   floor(sum(len) OVER (PARTITION BY sample) * 60 / 100) AS target FROM t) SELECT sample, read_id, len FROM p WHERE prior < target"""))
+def n2_windows(spark, d):
+    kept = rd.filter_best_bases(fx.reads(spark, d), 1 << 40, keep_percent=60, score_expr="worst_window * 0.5D + mean_quality * 0.5D")
+    return kept.select("sample", "read_id", F.length("seq").cast("long").alias("len"))
+
+
 # --- k-mers ----------------------------------------------------------------------------------------------------------
 
 
