@@ -36,10 +36,14 @@ def kmers(df: DataFrame, k: int, keep: list[str], seq: str = "seq") -> DataFrame
 
 
 def minimizers(df: DataFrame, keep: list[str], w: int = 10, k: int = 15, seq: str = "seq") -> DataFrame:
-    """Rows (keep, pos, kmer): of each ``w`` neighbouring k-mers the least, leftmost on ties; each place once."""
+    """Rows (keep, pos, kmer): of each ``w`` neighbouring k-mers the one with the least md5, then least and leftmost on ties; each place once.
+
+    The order by digest is as good as chance: by letters, all sequences with a run of one base would share its k-mer.
+    """
     t = tiles(df, keep, k + w - 1, k + w - 2, seq)
-    own = F.transform(F.sequence(F.lit(1), F.length("t") - (k - 1)), lambda j: F.struct(F.substr(F.col("t"), j, F.lit(k)).alias("kmer"), (F.col("o") + j - 1).alias("pos")))
-    t = t.select(*keep, own.alias("a"))
+    kmer = lambda j: F.substr(F.col("t"), j, F.lit(k))
+    named = lambda j: F.struct(F.substring(F.md5(kmer(j).cast("binary")), 1, 8).alias("turn"), kmer(j).alias("kmer"), (F.col("o") + j - 1).alias("pos"))
+    t = t.select(*keep, F.transform(F.sequence(F.lit(1), F.length("t") - (k - 1)), named).alias("a"))
     least = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("a") - (w - 1)), lambda i: F.array_min(F.slice(F.col("a"), i, F.lit(w)))))
     return t.select(*keep, F.explode(least).alias("m")).select(*keep, "m.pos", "m.kmer").distinct()
 

@@ -46,8 +46,8 @@ def sql_kmers(t: str, c: str, k: int) -> str:
 
 def sql_minimizers(t: str, c: str, w: int = 10, k: int = 15) -> str:
     return f"""SELECT DISTINCT {c}, m.pos AS pos, m.kmer AS kmer FROM (
-        SELECT {c}, min({{'kmer': kmer, 'pos': pos}}) OVER x AS m, count(*) OVER x AS n
-        FROM ({sql_kmers(t, c, k)}) WINDOW x AS (PARTITION BY {c} ORDER BY pos ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING)) WHERE n = {w}"""
+        SELECT {c}, min({{'turn': turn, 'kmer': kmer, 'pos': pos}}) OVER x AS m, count(*) OVER x AS n
+        FROM (SELECT *, substr(md5(kmer), 1, 8) AS turn FROM ({sql_kmers(t, c, k)})) WINDOW x AS (PARTITION BY {c} ORDER BY pos ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING)) WHERE n = {w}"""
 
 
 # --- names, filters, metrics ---------------------------------------------------------------------------------------
