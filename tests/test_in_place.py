@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.functions import digests
+from readloom.operators import assembly as asm
 from readloom.operators import mapping as mp
 from readloom.operators import packed
 
@@ -66,3 +67,18 @@ def test_a_read_given_twice_is_mapped_once(spark):
     df = spark.createDataFrame([("s", 1, ref[100:700], "")] * 3 + [("s", 2, "A" * 100, "")] * 2, READS)
     got = mp.map_reads(df, spark.createDataFrame([("r", ref)], "ref_id string, seq string")).collect()
     assert sorted((r.read_id, r.flag) for r in got) == [(1, 0), (2, 4)]
+
+
+def test_consensus_shuffles_tiles_not_kmers_and_equals_the_join(spark, monkeypatch):
+    rng = random.Random(5)
+    ref = "".join(rng.choice("ACGT") for _ in range(2000))
+    swapped = lambda x, i: x[:i] + ("A" if x[i] != "A" else "C") + x[i + 1 :]
+    cut = [(300, 900), (300, 900), (1900, 2000), (0, 60), (700, 1300)]
+    texts = [swapped(ref[a:b], 30) for a, b in cut] + ["ACGT", "", ref[100:130] + "N" + ref[131:160]]
+    df = spark.createDataFrame([("st"[i % 2], i, x, "") for i, x in enumerate(texts)], READS).repartition(3)
+    t = spark.createDataFrame([(ref,)], "seq string")
+    assert max(asm.pileup(df, t).groupBy("sample", "o").count().select("count").toPandas()["count"]) <= 3
+    got = sorted(map(tuple, asm.pileup_consensus(df, t).collect()))
+    monkeypatch.setattr(asm, "SMALL_ROWS", 0)
+    assert got == sorted(map(tuple, asm.pileup_consensus(df, t).collect())) and [len(x[1]) for x in got] == [2000, 2000]
+    assert [sum(a != b for a, b in zip(x[1], ref, strict=True)) for x in got] == [3, 2]
