@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions import digests
 from readloom.operators import assembly as asm
+from readloom.operators import kmers as km
 from readloom.operators import mapping as mp
 from readloom.operators import packed
 
@@ -82,3 +83,20 @@ def test_consensus_shuffles_tiles_not_kmers_and_equals_the_join(spark, monkeypat
     monkeypatch.setattr(asm, "SMALL_ROWS", 0)
     assert got == sorted(map(tuple, asm.pileup_consensus(df, t).collect())) and [len(x[1]) for x in got] == [2000, 2000]
     assert [sum(a != b for a, b in zip(x[1], ref, strict=True)) for x in got] == [3, 2]
+
+
+@pytest.mark.parametrize(("k", "most"), [(31, 2), (16, 1), (9, 2), (12, 0), (31, 1)])
+def test_near_kmers_are_found_without_a_shuffle_of_kmers(spark, monkeypatch, k, most):
+    rng = random.Random(k)
+    ref = "".join(rng.choice("ACGT") for _ in range(400)) + "A" * 60
+    texts = ["".join(rng.choice("ACGTN") if rng.random() < 0.06 else c for c in ref[a : a + 150]) for a in range(0, 300, 50)] + ["A" * 80, "", "ACG", "N" * 50]
+    df = spark.createDataFrame([("s", i, x, "") for i, x in enumerate(texts)], READS)
+    t = spark.createDataFrame([(ref,)], "seq string")
+    baits = {ref[i : i + k] for i in range(len(ref) - k + 1)}
+    near = lambda x: any(sum(a != b for a, b in zip(x, y, strict=True)) <= most for y in baits)
+    want = {i: sum(near(x[j : j + k]) for j in range(len(x) - k + 1)) for i, x in enumerate(texts)}
+    rows = km.bait_kmers_hamming(df, t, k, most)
+    assert shuffles(rows) == 1
+    assert {r.read_id: r.n_kmers for r in rows.collect()} == {i: n for i, n in want.items() if n}
+    monkeypatch.setattr(km, "SMALL_ROWS", 0)
+    assert {r.read_id: r.n_kmers for r in km.bait_kmers_hamming(df, t, k, most).collect()} == {i: n for i, n in want.items() if n}
