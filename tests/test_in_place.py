@@ -100,3 +100,17 @@ def test_near_kmers_are_found_without_a_shuffle_of_kmers(spark, monkeypatch, k,
     assert {r.read_id: r.n_kmers for r in rows.collect()} == {i: n for i, n in want.items() if n}
     monkeypatch.setattr(km, "SMALL_ROWS", 0)
     assert {r.read_id: r.n_kmers for r in km.bait_kmers_hamming(df, t, k, most).collect()} == {i: n for i, n in want.items() if n}
+
+
+def test_small_samples_overlap_without_a_shuffle_of_anchors(spark, monkeypatch):
+    rng = random.Random(7)
+    ref = "".join(rng.choice("ACGT") for _ in range(3000)) + "AC" * 60
+    rows = [("xy"[i % 2], 100 - i, ref[a : a + 700], "") for i, a in enumerate(rng.randrange(2500) for _ in range(24))]
+    rows += [rows[0], ("x", 7, "", ""), ("y", 8, ref[:700].replace("A", "N", 3), ""), ("z", 1, ref[:500], ""), (None, 1, ref[:500], ""), (None, 2, ref[:500], "")]
+    df = spark.createDataFrame(rows, READS).repartition(3)
+    found = mp.overlap_pairs(df, 200)
+    assert shuffles(found) == 1
+    got = sorted(map(tuple, found.collect()))
+    for bound in (0, 1000):  # all samples, or all but the smallest, by the join
+        monkeypatch.setattr(mp, "WHOLE", bound)
+        assert got == sorted(map(tuple, mp.overlap_pairs(df, 200).collect())) and {r[0] for r in got} == {"x", "y"}
