@@ -114,3 +114,17 @@ def test_small_samples_overlap_without_a_shuffle_of_anchors(spark, monkeypatch):
     for bound in (0, 1000):  # all samples, or all but the smallest, by the join
         monkeypatch.setattr(mp, "WHOLE", bound)
         assert got == sorted(map(tuple, mp.overlap_pairs(df, 200).collect())) and {r[0] for r in got} == {"x", "y"}
+
+
+def test_kmer_counts_of_each_read_without_a_table_of_kmers(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(x) for _ in range(n)) for x, n in (("ACGT", 90), ("AC", 60), ("A", 50), ("ACGTN", 70), ("ACGT", 9), ("ACGT", 8), ("", 0))]
+    df = spark.createDataFrame([("s", i, x, "") for i, x in enumerate(texts)] + [("s", 0, texts[1], ""), (None, None, texts[0], "")], READS)
+    made = []
+    monkeypatch.setattr(km, "kmers", lambda df, *a, f=km.kmers: made.append({r.read_id for r in df.select("read_id").collect()}) or f(df, *a))
+    got = {(r["sample"], r.read_id): (r.n, r.n_distinct, r.least) for r in km.kmer_counts(df, 9).collect()}
+    own = {("s", i): [x[j : j + 9] for j in range(len(x) - 8)] for i, x in enumerate(texts)}
+    own["s", 0] += own["s", 1]
+    own[None, None] = [texts[0][j : j + 9] for j in range(82)]
+    assert got == {i: (len(x), len(set(x)), min(x)) for i, x in own.items() if x}
+    assert made == [{0, 3}]  # the read given twice and the one with another letter
