@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 from hashlib import sha256
 
 import numpy as np
@@ -89,6 +90,28 @@ def test_gradients_equal_differences():
             assert abs((hi - lo) / 2e-4 - slope[n][at]) < 2e-4
 
 
+def test_scores_leave_windows_that_have_ended_alone():
+    """Scores equal those of a window by itself, and many short windows beside a long one cost little."""
+    net, rng, lanes = pii.Network(pii.Settings()), generator(5), 400
+    sizes = np.sort(rng.integers(1, 60, lanes))[::-1]
+    sizes[0] = 600
+    ids = rng.integers(1, pii.SYMBOLS, (600, lanes)).astype(np.intp)
+    short = np.where(np.arange(600)[:, None] < sizes, ids, 0)
+    got = net.scores(short)
+    for x in (0, 1, 7, lanes - 1):
+        alone = net.scores(np.ascontiguousarray(short[: sizes[x], x : x + 1]))
+        assert np.allclose(got[: sizes[x], :, x], alone[:, :, 0], atol=1e-4)
+    state = net.forward(short[:, 1:3])[0][60:]
+    assert np.array_equal(state, np.broadcast_to(net.bias[:, None], state.shape))  # padding keeps the state at zero
+
+    def seconds(x):
+        start = time.process_time()
+        net.scores(x)
+        return time.process_time() - start
+
+    assert min(seconds(short) for _ in range(3)) < 0.6 * min(seconds(ids) for _ in range(3))
+
+
 def test_best_paths_equal_all_paths():
     """Every labelling of short windows, scored one by one."""
     s = pii.Settings(hidden=3, least=1, margin=0.0)
