@@ -17,7 +17,11 @@ from readloom.llm.common import fold, fresh
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the labelled rows that are fitted; all rows are scored. The rest are the model's sizes."""
+    """``sample`` bounds the labelled rows that are fitted; all rows are scored. The rest are the model's sizes.
+
+    Few rows are passed more than ``epochs`` times, until ``least_steps`` steps are done: with fewer steps the fit stops near
+    the share of label 1, on whose one side all scores then lie.
+    """
 
     sample: int = 3000
     buckets: int = 1 << 17
@@ -25,6 +29,7 @@ class Settings:
     shortest: int = 2
     longest: int = 4
     epochs: int = 8
+    least_steps: int = 8000
     rate: float = 2.0
     bias_rate: float = 0.02
     seed: int = 11
@@ -94,8 +99,9 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: list[int], s: Setting
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
     out, bias = np.zeros((s.dim, 2), dtype=np.float32), np.zeros(2, dtype=np.float32)
-    steps, done = max(1, len(docs) * s.epochs), 0
-    for _ in range(s.epochs):
+    epochs = max(s.epochs, -(-s.least_steps // max(1, len(docs))))
+    steps, done = max(1, len(docs) * epochs), 0
+    for _ in range(epochs if docs else 0):
         for i in rng.permutation(len(docs)):
             ids, share = docs[i]
             rest, done = 1 - done / steps, done + 1

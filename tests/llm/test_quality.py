@@ -87,6 +87,15 @@ def test_the_fit_descends_the_loss(spark):
     assert loss(model) < loss(flat) / 2
 
 
+def test_few_rows_are_fitted_until_both_labels_are_told_apart():
+    """Of 64 rows, one in eight of label 0 by its words alone: scores of the fitted rows lie on both sides of 0.7."""
+    s, known = quality.Settings(), {}
+    labels = [int(i % 8 > 0) for i in range(64)]
+    texts = [t.encode() for t in invented(generator(9), 64)]
+    model = quality.fit([quality.features(t, s, known) for t in texts], labels, s)
+    assert ((quality.Scorer(model, s).score(texts) >= 0.7) == np.array(labels)).all()
+
+
 def test_characters_across_a_space_are_features():
     known = {}
     one, two = (dict(zip(*map(list, quality.features(t, SMALL, known)), strict=True)) for t in (b"ab cd", b"ab"))
