@@ -84,23 +84,26 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
 
     Alternates large-star and small-star steps: each round links every node's larger neighbours, then its smaller
     ones, to the smallest node around it, until only stars are left. Each round is a stage table, so no plan grows and
-    no round is lost with an executor. Links never reach the driver; it sees two numbers a round.
+    no round is lost with an executor. Links never reach the driver; it sees whether a node is left that belongs to no star.
     """
     star = stage_table(
         edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
-    seen = None
     for _ in range(max_rounds):
-        now = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == seen:
+        if only_stars(star):
             return star.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = tuple(now)
         both = star.select("u", "v").unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        )
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        star = stage_table(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "star")
+        # A node and its smaller neighbour both go to the smallest one; links that repeat go in the one shuffle of distinct().
+        ends = F.explode(F.array("u", "v")).alias("u")
+        star = stage_table(large.join(low, "u").select(ends, F.col("m").alias("v")).where("u <> v").distinct(), "star")
     raise RuntimeError(f"components still change after {max_rounds} rounds")
+
+
+def only_stars(links: DataFrame) -> bool:
+    """True where every node of the distinct ``links`` (u, v), u > v, has one smaller neighbour and no larger one, or larger ones alone."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("down")), F.struct(F.col("v").alias("node"), F.lit(0).alias("down")))).alias("end"))
+    nodes = ends.groupBy("end.node").agg(F.sum("end.down").alias("down"), F.count("*").alias("n"))
+    return nodes.where("down > 0 AND n > 1").agg(F.count("*")).first()[0] == 0

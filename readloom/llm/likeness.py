@@ -107,7 +107,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
 
 
 def frequency_levels(rows: DataFrame) -> np.ndarray:
-    """Per cell of the sketch the power of two of the number of shingles that fall in it. Only the sketch reaches the driver."""
+    """Per cell of the sketch the power of two of the number of shingles that fall in it. Only these levels reach the driver, a byte per cell."""
 
     def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
@@ -117,11 +117,14 @@ def frequency_levels(rows: DataFrame) -> np.ndarray:
                 total[block] = total[block] + found if block in total else found
         yield pd.DataFrame({"block": list(total), "counts": [t.tobytes() for t in total.values()]})
 
-    kinds = "block int, counts binary"
-    counts = rows.where("block IS NOT NULL").select("block", "counts").mapInPandas(add, kinds)  # one row a block and task
+    def log(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in add(parts):
+            yield pd.DataFrame({"block": rows.block, "levels": [np.log2(np.frombuffer(n, dtype=np.int64) + 1).astype(np.uint8).tobytes() for n in rows.counts]})
+
+    counts = rows.where("block IS NOT NULL").select("block", "counts").mapInPandas(add, "block int, counts binary")  # one row a block and task
     levels = np.zeros(CELLS, dtype=np.uint8)
-    for r in counts.repartition(CELLS // BLOCK, "block").mapInPandas(add, kinds).collect():
-        levels[r.block * BLOCK : (r.block + 1) * BLOCK] = np.log2(np.frombuffer(bytes(r.counts), dtype=np.int64) + 1)
+    for r in counts.repartition(CELLS // BLOCK, "block").mapInPandas(log, "block int, levels binary").collect():
+        levels[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.levels, dtype=np.uint8)
     return levels
 
 

@@ -174,7 +174,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep: Settings, held: in
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Fit on the labelled sample.
 
-    Tasks turn its texts into features, at most one per bucket; the driver fits those of ``settings.sample`` rows at most.
+    Tasks turn its texts into features, at most one per bucket; the driver fits those of ``settings.sample`` rows at most,
+    from one Arrow table.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +192,12 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *parts], names=["doc_id", "label", "ids", "share"])
 
     rows = labelled_sample(docs, labels, settings).select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") != 0).cast("int").alias("label"), "text")
-    rows = sorted(rows.mapInArrow(run, "doc_id long, label int, ids binary, share binary").collect(), key=lambda r: r.doc_id)
-    pairs = [(np.frombuffer(bytes(r.ids), dtype=np.int32), np.frombuffer(bytes(r.share), dtype=np.float32)) for r in rows]
-    return fit(pairs, [r.label for r in rows], settings)
+    found = rows.mapInArrow(run, "doc_id long, label int, ids binary, share binary").toArrow()
+    order = np.argsort(found["doc_id"].to_numpy())
+    # Arrays over the table's own bytes: rows of Python objects would hold all features in the JVM and here several times over.
+    ids, share = (found[c] for c in ("ids", "share"))
+    pairs = [(np.frombuffer(ids[i].as_buffer(), dtype=np.int32), np.frombuffer(share[i].as_buffer(), dtype=np.float32)) for i in order.tolist()]
+    return fit(pairs, found["label"].to_numpy()[order].tolist(), settings)
 
 
 def score(docs: DataFrame, model: Model, settings: Settings = Settings(), keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -116,3 +117,17 @@ def test_odd_rows_and_empty_tables(spark):
     assert quality.score(no_documents(spark), odds, SMALL).count() == 0
     none = quality.train(no_documents(spark), labels.limit(0), SMALL)
     assert {r.score for r in quality.score(docs, none, SMALL).collect()} == {0.5}
+
+
+def test_features_reach_the_driver_once(spark, monkeypatch):
+    texts = invented(generator(7), 2000)
+    docs = spark.createDataFrame([(i, " ".join(texts[10 * i : 10 * i + 10])) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    sizes = []
+    monkeypatch.setattr(quality, "fit", lambda pairs, marks, s: sizes.append((len(marks), sum(a.nbytes + b.nbytes for a, b in pairs))))
+    tracemalloc.start()
+    quality.train(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n, size = sizes[0]
+    assert n > 100 and size > 3_000_000 and peak < 1.3 * size, (n, size, peak)
